@@ -95,7 +95,7 @@ def chapter_info(code: Column) -> Column:
     chapter = F.substring(code, 1, 2).cast("int")
     return F.when(
         hts_format_ok(code),
-        F.struct(chapter.alias("chapter"), F.coalesce(F.element_at(m, chapter), F.lit("Unknown")).alias("description")),
+        F.struct(chapter.alias("chapter"), F.coalesce(F.try_element_at(m, chapter), F.lit("Unknown")).alias("description")),
     )
 
 

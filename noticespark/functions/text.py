@@ -177,18 +177,23 @@ def rate_mentions(text: Column) -> Column:
         lens = F.transform(pieces, lambda p: F.length(p))
         mlens = F.transform(matches, lambda m: F.length(m))
 
-        def one(m, i, matches=matches, values=values, lens=lens, mlens=mlens):
-            start0 = F.aggregate(F.slice(F.concat(lens, F.array(F.lit(0))), 1, i + 1), F.lit(0), lambda a, b: a + b) + \
-                F.aggregate(F.slice(F.concat(mlens, F.array(F.lit(0))), 1, i), F.lit(0), lambda a, b: a + b)
-            end0 = start0 + F.length(m)
-            cs = F.greatest(F.lit(0), start0 - K.RATE_CONTEXT_CHARS)
-            ce = F.least(F.length(t), end0 + K.RATE_CONTEXT_CHARS)
-            return F.struct(
-                m.alias("rate_text"),
-                F.element_at(values, i + 1).alias("value"),
-                strip_ws(F.substring(t, cs + 1, ce - cs)).alias("context"),
-                start0.alias("start"),
-            )
-
-        out.append(F.transform(matches, one))
+        def make_one(values, lens, mlens):
+            return lambda m, i: _mention(t, m, i, values, lens, mlens)
+
+        out.append(F.transform(matches, make_one(values, lens, mlens)))
     return F.concat(*out)
+
+
+def _mention(t, m, i, values, lens, mlens):
+    """One match: start = sum of the first i+1 gap lengths and the first i match lengths."""
+    start0 = F.aggregate(F.slice(F.concat(lens, F.array(F.lit(0))), 1, i + 1), F.lit(0), lambda a, b: a + b) + \
+        F.aggregate(F.slice(F.concat(mlens, F.array(F.lit(0))), 1, i), F.lit(0), lambda a, b: a + b)
+    end0 = start0 + F.length(m)
+    cs = F.greatest(F.lit(0), start0 - K.RATE_CONTEXT_CHARS)
+    ce = F.least(F.length(t), end0 + K.RATE_CONTEXT_CHARS)
+    return F.struct(
+        m.alias("rate_text"),
+        F.element_at(values, i + 1).alias("value"),
+        strip_ws(F.substring(t, cs + 1, ce - cs)).alias("context"),
+        start0.alias("start"),
+    )

@@ -45,44 +45,65 @@ def _newest_k(df: DataFrame, keys: list[str], k: int) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
 
 
-def candidate_pairs(new: DataFrame, store: DataFrame, limit: int | None = K.LINK_CANDIDATE_LIMIT) -> DataFrame:
-    """J3 + W3: per new document, the newest ``limit`` store documents of another source
-    that share a code or were published less than 30 days apart.
-
-    Returns (new_id, id, ingestion_timestamp, ingest_seq, cand_rank).  ``limit=None`` returns
-    every candidate (no cut; still two equi-joins, no nested loop).
-    """
+def _sides(new: DataFrame, store: DataFrame):
     n = linkable(new).select(F.col("id").alias("new_id"), F.col("source").alias("new_source"), "codes",
                              F.to_date("publication_date").alias("new_date"))
     s = store.select("id", "source", "ingestion_timestamp", "ingest_seq", "codes",
                      F.to_date("publication_date").alias("pub"))
+    return n, s
+
+
+def code_branch(new: DataFrame, store: DataFrame, limit: int | None = K.LINK_CANDIDATE_LIMIT) -> DataFrame:
+    """F5 + F6: other-source store documents sharing a code; newest ``limit`` per new document.
 
-    # code branch
+    The store side is cut to the newest ``limit`` per (code, source) before the
+    join (Spark plans the filtered row_number as a partial WindowGroupLimit, so a
+    hot code contributes at most ``limit`` rows per map task to the shuffle).
+    """
+    n, s = _sides(new, store)
     s_codes = s.select("id", "source", "ingestion_timestamp", "ingest_seq", F.explode(F.array_distinct("codes")).alias("code"))
     if limit is not None:
         s_codes = _newest_k(s_codes, ["code", "source"], limit)
     n_codes = n.select("new_id", "new_source", F.explode(F.array_distinct("codes")).alias("code"))
     by_code = (n_codes.join(s_codes, "code").where(F.col("source") != F.col("new_source"))
                .select("new_id", "new_source", "id", "ingestion_timestamp", "ingest_seq"))
+    by_code = by_code.dropDuplicates(["new_id", "id"])
     if limit is not None:
-        by_code = _newest_k(by_code.dropDuplicates(["new_id", "id"]), ["new_id"], limit)
+        by_code = _newest_k(by_code, ["new_id"], limit)
+    return by_code
+
 
-    # band branch
+def band_branch(new: DataFrame, store: DataFrame, limit: int | None = K.LINK_CANDIDATE_LIMIT) -> DataFrame:
+    """F5 + F7: other-source store documents published less than 30 days apart; newest ``limit`` each.
+
+    Newest ``limit`` per (publication date, source) is a table bounded by the
+    number of distinct dates; each row is expanded to the 59 query dates it can
+    serve and equi-joined with the distinct (source, date) of the new documents.
+    """
+    n, s = _sides(new, store)
     s_dates = s.where(F.col("pub").isNotNull()).select("id", "source", "ingestion_timestamp", "ingest_seq", "pub")
     if limit is not None:
         s_dates = _newest_k(s_dates, ["pub", "source"], limit)
     served = s_dates.select("id", "source", "ingestion_timestamp", "ingest_seq",
                             F.explode(F.sequence(F.date_sub("pub", BAND), F.date_add("pub", BAND))).alias("qdate"))
-    qdates = n.select("new_source", F.col("new_date").alias("qdate")).distinct()
+    qdates = n.where(F.col("new_date").isNotNull()).select("new_source", F.col("new_date").alias("qdate")).distinct()
     per_date = qdates.join(served, "qdate").where(F.col("source") != F.col("new_source"))
     if limit is not None:
         w = Window.partitionBy("new_source", "qdate").orderBy(*_newest())
         per_date = per_date.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= limit).drop("_r")
-    by_date = (n.select("new_id", "new_source", F.col("new_date").alias("qdate"))
-               .join(per_date, ["new_source", "qdate"])
-               .select("new_id", "new_source", "id", "ingestion_timestamp", "ingest_seq"))
+    return (n.select("new_id", "new_source", F.col("new_date").alias("qdate"))
+            .join(per_date, ["new_source", "qdate"])
+            .select("new_id", "new_source", "id", "ingestion_timestamp", "ingest_seq"))
 
-    cands = by_code.unionByName(by_date).dropDuplicates(["new_id", "id"])
+
+def candidate_pairs(new: DataFrame, store: DataFrame, limit: int | None = K.LINK_CANDIDATE_LIMIT) -> DataFrame:
+    """J3 + W3: per new document, the newest ``limit`` store documents of another source
+    that share a code or were published less than 30 days apart.
+
+    Returns (new_id, id, ingestion_timestamp, ingest_seq, cand_rank).  ``limit=None`` returns
+    every candidate (no cut; still two equi-joins, no nested loop).
+    """
+    cands = code_branch(new, store, limit).unionByName(band_branch(new, store, limit)).dropDuplicates(["new_id", "id"])
     w = Window.partitionBy("new_id").orderBy(*_newest())
     cands = cands.withColumn("cand_rank", F.row_number().over(w))
     if limit is not None:

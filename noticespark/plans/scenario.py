@@ -12,14 +12,18 @@ Everything here is lazily planned; nothing is collected.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as X
 from . import pipelines as PL
 
+LAYOUT_VERSION = "v3"   # bump when a fixture or the store layout changes
+
 AS_OF = {"federal_register_prior": "2025-11-30 06:15:00", "ustr": "2025-12-01 08:00:00",
          "cbp_csms": "2025-12-02 00:30:00", "federal_register": "2026-01-01 06:15:00"}
 
@@ -33,13 +37,38 @@ class Landed:
     pdf_pages: DataFrame
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_by: list[str] | None = None) -> DataFrame:
+    """Write a derived table once into the shared checkpoint folder and read it back.
+
+    This is the landing zone / event store of the scenario: persisted Parquet,
+    so later jobs start from files (no lineage back to the fixtures, and a lost
+    executor only re-reads files).  Keyed by the input folder and layout version.
+    """
+    key = hashlib.md5(f"{sf_dir}|{LAYOUT_VERSION}".encode()).hexdigest()[:16]
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/noticespark-tables/{key}/{name}"
+    if not _exists(spark, path + "/_SUCCESS"):
+        w = build().write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+    return spark.read.parquet(path)
+
+
 def landed(spark: SparkSession, sf_dir: str) -> Landed:
+    """The landing zone derived from the driver tables (materialised once per input folder)."""
+    m = lambda name, fn: materialized(spark, sf_dir, name, fn)
     return Landed(
-        fr_raw=X.fr_raw(spark, sf_dir),
-        ustr=X.link_records(spark, sf_dir, "ustr"),
-        cbp=X.link_records(spark, sf_dir, "cbp_csms"),
-        pages=X.notice_pages(spark, sf_dir),
-        pdf_pages=X.notice_pdf_pages(spark, sf_dir),
+        fr_raw=m("fr_raw", lambda: X.fr_raw(spark, sf_dir)),
+        ustr=m("ustr_links", lambda: X.link_records(spark, sf_dir, "ustr")),
+        cbp=m("cbp_links", lambda: X.link_records(spark, sf_dir, "cbp_csms")),
+        pages=m("pages", lambda: X.notice_pages(spark, sf_dir)),
+        pdf_pages=m("pdf_pages", lambda: X.notice_pdf_pages(spark, sf_dir)),
     )
 
 
@@ -47,8 +76,8 @@ def prior_fr_raw(l: Landed) -> DataFrame:
     return l.fr_raw.where(F.col("landed_date") < F.lit(X.STORE_CUTOFF).cast("date"))
 
 
-def store_events(spark: SparkSession, sf_dir: str, l: Landed | None = None) -> DataFrame:
-    """Events already stored before the new FR run (union of three earlier runs, no linking)."""
+def build_store_events(spark: SparkSession, sf_dir: str, l: Landed | None = None) -> DataFrame:
+    """Events of the three earlier runs (no linking), as one plan."""
     l = l or landed(spark, sf_dir)
     ustr = PL.ustr_pipeline(l.ustr, l.pages, None, None, as_of=AS_OF["ustr"], link=False).events
     cbp = PL.cbp_pipeline(l.cbp, l.pages, None, as_of=AS_OF["cbp_csms"], link=False).events
@@ -56,6 +85,11 @@ def store_events(spark: SparkSession, sf_dir: str, l: Landed | None = None) -> D
     return fr.unionByName(ustr).unionByName(cbp)
 
 
+def store_events(spark: SparkSession, sf_dir: str, l: Landed | None = None) -> DataFrame:
+    """The events table before the new FR run: Parquet partitioned by source (pruned on source filters)."""
+    return materialized(spark, sf_dir, "events", lambda: build_store_events(spark, sf_dir, l), ["source"])
+
+
 def fr_run(spark: SparkSession, sf_dir: str, link_limit: int | None = 5, with_title: bool = True) -> PL.BatchResult:
     l = landed(spark, sf_dir)
     store = store_events(spark, sf_dir, l)

@@ -149,11 +149,14 @@ def notice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     paras = F.array_join(F.transform(lines, lambda ln: F.concat(F.lit("<p>"), ln.getField("sentence"), F.lit("</p>"))), "")
     rows = F.array_join(F.transform(lines, lambda ln: F.concat(
         F.lit("<tr><td> "), ln.getField("code"), F.lit("</td><td>"), ln.getField("descr_html"), F.lit("</td></tr>"))), "")
+    cbp = F.col("k") % 3 == 2   # CBP messages carry their text in a bulletin-content div
+    open_tag = F.when(cbp, F.lit('<div class="bulletin-content">')).otherwise(F.lit("<article>"))
+    close_tag = F.when(cbp, F.lit("</div>")).otherwise(F.lit("</article>"))
     html = F.concat(
         F.lit("<!DOCTYPE html><html><head><title>"), F.col("title"), F.lit("</title><style>td{padding:0}</style></head><body>"),
         F.lit("<nav><table><tr><td>9999.99.9999</td><td>decoy navigation</td></tr></table></nav>"),
-        F.lit("<article><h1>"), F.col("title"), F.lit("</h1>"), paras,
-        F.lit("<table><tr><th>HTS</th><th>Description</th></tr>"), rows, F.lit("</table></article>"),
+        open_tag, F.lit("<h1>"), F.col("title"), F.lit("</h1>"), paras,
+        F.lit("<table><tr><th>HTS</th><th>Description</th></tr>"), rows, F.lit("</table>"), close_tag,
         F.lit("<footer>Contact 0000.00.0001 &copy; office</footer></body></html>"),
     )
     return j.select("k", "url", html.alias("html"))
@@ -164,7 +167,7 @@ def notice_pdf_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = filings(spark, sf_dir).where(F.col("pdf_url").isNotNull()).select("k", "pk", "pdf_url")
     pl = parent_lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "code", "sentence")
     j = f.join(pl, f.pk == pl.l_orderkey)
-    w = Window.partitionBy("k").orderBy("l_linenumber", "l_partkey")
+    w = Window.partitionBy("k").orderBy("l_linenumber", "l_partkey", "sentence")
     return j.select(
         "k", "pdf_url", F.row_number().over(w).alias("page_no"), F.col("sentence").alias("text"),
         F.array(F.array(F.array(F.lit("HTS"), F.lit("Description")),
@@ -222,3 +225,21 @@ def listing_pages(spark: SparkSession, sf_dir: str, variant: str = "ustr") -> Da
                     F.array_join(F.transform("items", lambda it: F.concat(F.lit("<li>"), it.getField("a"), F.lit("</li>"))), ""),
                     F.lit("</ul></body></html>"))
     return per_page.select("page_id", F.concat(F.lit("https://listing.example/"), F.col("page_id").cast("string")).alias("url"), html.alias("html"))
+
+
+# FIXED VALUES of the fixture: supplier country spellings (names, codes, junk), by s_suppkey % 8.
+COUNTRY_SPELLINGS = ["China", "mexico", " Japan ", "ZZ", "Korea", "Atlantis", "U1", "United Kingdom"]
+
+
+def supplier_country_name(suppkey: Column) -> Column:
+    m = suppkey % len(COUNTRY_SPELLINGS)
+    out = None
+    for i, name in enumerate(COUNTRY_SPELLINGS):
+        out = F.when(m == i, F.lit(name)) if out is None else out.when(m == i, F.lit(name))
+    return out
+
+
+def rfc822_of(key: Column, ts: Column) -> Column:
+    """RFC-822 date of an order (weekday, day, month, year, 10:00:00, offset by key)."""
+    offs = F.when(key % 3 == 0, F.lit("+0000")).when(key % 3 == 1, F.lit("-0500")).otherwise(F.lit("+0930"))
+    return F.concat(F.date_format(ts, "EEE, dd MMM yyyy"), F.lit(" 10:00:00 "), offs)

@@ -1,0 +1 @@
+"""DuckDB oracle SQL for the registered queries."""

@@ -1,0 +1,11 @@
+"""Oracle SQL per registered query (DuckDB dialect, driver tables pre-registered as views)."""
+
+from __future__ import annotations
+
+from .fixtures_sql import with_ctes
+
+SQL: dict[str, str] = {}
+
+
+def all_sql() -> dict[str, str]:
+    return dict(SQL)
