@@ -154,9 +154,8 @@ def q_pdf_links(spark, sf):
 @query("scan_events")
 def q_scan_events(spark, sf):
     """The stored events, newest first (order is not part of the compare)."""
-    st = SC.store_events(spark, sf)
-    w = Window.orderBy(F.col("ingestion_timestamp").desc(), F.col("ingest_seq").desc())
-    return st.select("id", "source", "content_hash", "ingest_seq", F.row_number().over(w).alias("newest_rank"))
+    st = LD.scan_events(SC.store_events(spark, sf))   # range-partitioned global sort, no single-task window
+    return st.select("id", "source", "content_hash", "ingest_seq")
 
 
 @query("event_by_hash")
@@ -780,11 +779,11 @@ def q_rel_type(spark, sf):
 
 @query("check_constraints")
 def q_constraints(spark, sf):
-    """K5: violations of the table constraints in the store plus the FR run (events and edges)."""
-    r = SC.fr_run(spark, sf)
-    store = SC.store_events(spark, sf)
-    events = store.unionByName(r.events)
-    return Q.check_constraints(events, r.edges)
+    """K5: violations of the table constraints: store plus FR run events, and the run's no-title edges."""
+    new, other, store = _link_sides(spark, sf)
+    events = store.unionByName(_fr_new_events(spark, sf))
+    edges = L.link_documents(new, other, limit=None, with_title=False)
+    return Q.check_constraints(events, edges)
 
 
 @query("rule_table")

@@ -112,7 +112,7 @@ docs AS (
 CTES["docs2"] = """
 docs2 AS (
   SELECT *, len(codes) AS n_products,
-         len(list_filter(codes, x -> substr(x, 1, 2) <> '00')) AS n_valid,
+         len(list_filter(codes, lambda x: substr(x, 1, 2) <> '00')) AS n_valid,
          (pub_iso IS NOT NULL AND NOT coalesce(eff_iso < pub_iso, false)) AS date_valid
   FROM docs
 )"""
@@ -129,7 +129,7 @@ docs3 AS (
     CASE WHEN date_valid THEN 'verified' ELSE 'failed' END AS validation_status,
     sha256('{"document_type": "' || document_type || '", "fr_document_number": ' ||
            CASE WHEN fr_no IS NULL THEN 'null' ELSE '"' || fr_no || '"' END ||
-           ', "hts_codes": [' || coalesce(array_to_string(list_transform(codes, x -> '"' || x || '"'), ', '), '') ||
+           ', "hts_codes": [' || coalesce(array_to_string(list_transform(codes, lambda x: '"' || x || '"'), ', '), '') ||
            '], "publication_date": ' || CASE WHEN pub_iso IS NULL THEN 'null' ELSE '"' || pub_iso || '"' END ||
            ', "source": "' || source || '"}') AS content_hash
   FROM docs2
