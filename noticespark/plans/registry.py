@@ -792,6 +792,70 @@ def q_rules(spark, sf):
     return Q.rule_violations(SC.store_events(spark, sf))
 
 
+# ------------------------------------------------------------------ T: streaming, K1-K4 sinks
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/noticespark-runs/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@query("incremental_ingest")
+def q_incremental(spark, sf):
+    """The FR run as a file stream (availableNow, foreachBatch) into a copy of the events table."""
+    from ..streaming.incremental import incremental_ingest
+    l = SC.landed(spark, sf)
+    base = _scratch(spark, "stream")
+    l.fr_raw.repartition(4, "landed_date").write.parquet(base + "/landing")
+    SC.store_events(spark, sf, l).write.partitionBy("source").parquet(base + "/events")
+    incremental_ingest(spark, base + "/landing", l.fr_raw.schema, l.pages, l.pdf_pages, base + "/events",
+                       base + "/edges", base + "/checkpoint", SC.AS_OF["federal_register"], max_files_per_trigger=2)
+    ev = spark.read.parquet(base + "/events")
+    new = ev.where((F.col("source") == "federal_register") &
+                   (F.col("ingestion_timestamp") == F.to_timestamp(F.lit(SC.AS_OF["federal_register"]))))
+    return _event_cols(new)
+
+
+@query("append_events")
+def q_append_events(spark, sf):
+    """K1: the FR run's events appended to a copy of the events table, read back (new rows only)."""
+    from .sinks import append_events
+    l = SC.landed(spark, sf)
+    base = _scratch(spark, "append")
+    SC.store_events(spark, sf, l).write.partitionBy("source").parquet(base + "/events")
+    append_events(_fr_new_events(spark, sf), base + "/events")
+    ev = spark.read.parquet(base + "/events")
+    return _event_cols(ev.where(F.col("ingestion_timestamp") == F.to_timestamp(F.lit(SC.AS_OF["federal_register"]))))
+
+
+@query("append_relationships")
+def q_append_edges(spark, sf):
+    """K2: no-title edges of all candidates appended twice with upsert-ignore; read back."""
+    from .sinks import append_relationships, read_table_or_empty
+    new, other, _ = _link_sides(spark, sf)
+    edges = L.link_documents(new, other, limit=None, with_title=False).select(
+        "parent_event_id", "related_event_id", "relationship_type", "confidence_raw", "confidence", "matching_factors")
+    path = _scratch(spark, "edges")
+    for _ in range(2):
+        stored = read_table_or_empty(spark, path, edges)
+        append_relationships(DD.edge_upsert_ignore(edges, stored), path)
+    return spark.read.parquet(path).select("parent_event_id", "related_event_id", "relationship_type", "confidence_raw")
+
+
+@query("raw_zone")
+def q_raw_zone(spark, sf):
+    """K3 + K4: landed pages kept in the raw zone with their lineage names, then read back."""
+    from .sinks import raw_zone, read_raw
+    l = SC.landed(spark, sf)
+    src = F.when(F.col("k") % 3 == 0, F.lit("federal_register")).when(F.col("k") % 3 == 1, F.lit("ustr")).otherwise(F.lit("cbp_csms"))
+    bodies = l.pages.select(src.alias("source"), F.col("k").cast("string").alias("doc_id"), F.lit("html").alias("kind"),
+                            F.col("html").alias("body"))
+    path = _scratch(spark, "raw")
+    raw_zone(bodies, path, "2026-01-01 06:15:00")
+    back = read_raw(spark, path)
+    return back.select("source", "doc_id", "name", F.sha2("body", 256).alias("body_sha256"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

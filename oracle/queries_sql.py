@@ -530,3 +530,9 @@ SELECT rule, severity, violations::BIGINT AS violations FROM (
 
 def all_sql() -> dict[str, str]:
     return dict(SQL)
+
+# ----------------------------------------------------------------- T / K sinks (same rows as the batch results)
+
+SQL["incremental_ingest"] = SQL["fr_pipeline"]
+SQL["append_events"] = SQL["fr_pipeline"]
+SQL["append_relationships"] = SQL["edge_upsert_ignore"]
