@@ -70,8 +70,7 @@ def main():
 
     def hashed_fr():
         docs = PL.prepare_documents(PL.fr_documents(land.fr_raw), "federal_register", land.pages,
-                                    E.pdf_pages_to_doc(land.pdf_pages.withColumnRenamed("k", "doc_id"), "doc_id",
-                                                       "page_no", "text", "tables_raw"))
+                                    PL.fr_pdf_codes(land.pdf_pages))
         return DD.dedup_within_batch(DD.dedup_against_store(docs, store.select("source", "content_hash")))
 
     run("content_hash_dedup", hashed_fr)

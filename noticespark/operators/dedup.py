@@ -10,11 +10,23 @@ from ..functions import identity as I
 from ..functions.similarity import doc_similarity, dup_code_overlap, jaccard, title_ratio
 
 
+def first_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
+    """First row per key by ``order_cols`` as a ``min_by`` aggregate.
+
+    Unlike a row_number window, the aggregate is partial before the shuffle: a hot
+    key (a third of all rows sharing one hash) collapses to one row per map task,
+    so no single task ever sorts the hot group.
+    """
+    cols = [c for c in df.columns if c not in keys]
+    order = F.struct(*[F.col(c) for c in order_cols]) if len(order_cols) > 1 else F.col(order_cols[0])
+    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_first"))
+    return agg.select(*keys, "_first.*").select(*df.columns)
+
+
 def distinct_by_docnum(records: DataFrame, order_cols=("term_pos", "arrival_seq")) -> DataFrame:
     """A2: first record per document_number in result order; NULL/'' numbers dropped."""
-    w = Window.partitionBy("document_number").orderBy(*order_cols)
-    return (records.where(F.col("document_number").isNotNull() & (F.col("document_number") != ""))
-            .withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn"))
+    valid = records.where(F.col("document_number").isNotNull() & (F.col("document_number") != ""))
+    return first_per_key(valid, ["document_number"], list(order_cols))
 
 
 def dedup_against_store(new: DataFrame, store_hashes: DataFrame, same_source: bool = True) -> DataFrame:
@@ -24,7 +36,7 @@ def dedup_against_store(new: DataFrame, store_hashes: DataFrame, same_source: bo
     measured size is under the broadcast threshold and sort-merges otherwise.
     """
     keys = ["source", "content_hash"] if same_source else ["content_hash"]
-    return new.join(store_hashes.select(*keys).distinct(), keys, "left_anti")
+    return new.join(store_hashes.select(*keys), keys, "left_anti")   # duplicates on the right do not matter
 
 
 def pre_dedup_hash(docs: DataFrame) -> DataFrame:
@@ -35,16 +47,18 @@ def pre_dedup_hash(docs: DataFrame) -> DataFrame:
 
 
 def dedup_within_batch(docs: DataFrame, order_col: str = "arrival_seq") -> DataFrame:
-    """First document per content_hash in arrival order wins."""
-    w = Window.partitionBy("content_hash").orderBy(order_col)
-    return docs.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """First document per content_hash in arrival order wins (skew-safe ``min_by``)."""
+    return first_per_key(docs, ["content_hash"], [order_col])
 
 
 def edge_upsert_ignore(new_edges: DataFrame, existing_edges: DataFrame | None = None,
                        order_cols=("confidence_raw",)) -> DataFrame:
-    """ON CONFLICT (parent, related) DO NOTHING — existing wins, then first new wins."""
-    w = Window.partitionBy("parent_event_id", "related_event_id").orderBy(*[F.col(c).desc() for c in order_cols])
-    out = new_edges.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """ON CONFLICT (parent, related) DO NOTHING — existing wins, then the best new row wins."""
+    keys = ["parent_event_id", "related_event_id"]
+    cols = [c for c in new_edges.columns if c not in keys]
+    order = F.struct(*[F.col(c) for c in order_cols])
+    out = (new_edges.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_b"))
+           .select(*keys, "_b.*").select(*new_edges.columns))
     if existing_edges is not None:
         out = out.join(existing_edges.select("parent_event_id", "related_event_id"), ["parent_event_id", "related_event_id"], "left_anti")
     return out

@@ -52,9 +52,23 @@ def pdf_pages_to_doc(pages: DataFrame, key: str = "doc_id", page_col: str = "pag
     return g.select(*cols).withColumn("pdf_hts_codes", C.html_hts_codes(F.col("pdf_text")))
 
 
+def pdf_doc_codes(pages: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Codes of a document's PDF pages without assembling its text.
+
+    Pages are joined by newline, which is a word boundary, so the codes of the
+    joined text are exactly the union of per-page codes.  Extracting per page and
+    taking a set union is a partial (map-side) aggregation: a document with a huge
+    number of pages never has to be concatenated inside one task.
+    """
+    per_page = pages.select(key, F.explode_outer(C.html_hts_codes(F.col(text_col))).alias("code"))
+    return per_page.groupBy(key).agg(F.array_sort(F.collect_set("code")).alias("pdf_hts_codes"),
+                                     F.count(F.lit(1)).alias("page_count"))
+
+
 def attach_pdfs(docs: DataFrame, pdf_docs: DataFrame, key: str = "arrival_seq") -> DataFrame:
     """Join grouped PDF documents (from ``pdf_pages_to_doc``) by document key."""
     p = pdf_docs.select(F.col(pdf_docs.columns[0]).alias("_pdf_key"), "pdf_hts_codes", "page_count")
+    # page_count of pdf_doc_codes counts code rows; only its presence is used here
     j = docs.join(p, docs[key] == p._pdf_key, "left").drop("_pdf_key")
     return j.withColumn("raw_pdf_path", F.when(F.col("page_count").isNotNull(), F.col("pdf_url"))).drop("page_count")
 

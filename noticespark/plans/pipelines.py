@@ -7,7 +7,6 @@ sources, and first-wins deduplication depends only on arrival order.
 
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -118,6 +117,11 @@ def run_batch(parsed: DataFrame, source: str, store: DataFrame | None = None, pa
 
 # ---------------------------------------------------------------- per-source entry points
 
+def fr_pdf_codes(pdf_pages: DataFrame) -> DataFrame:
+    """PDF codes per FR filing (key ``k`` of the extracted pages), skew-safe per-page extraction."""
+    return E.pdf_doc_codes(pdf_pages.withColumnRenamed("k", "doc_id"), "doc_id", "text")
+
+
 def fr_documents(raw_records: DataFrame) -> DataFrame:
     """S1 -> A2 -> P1: landed search results, first per document number, parsed."""
     return P.parse_fr(distinct_by_docnum(raw_records))
@@ -128,7 +132,7 @@ def fr_pipeline(raw_records: DataFrame, pages: DataFrame, pdf_pages: DataFrame |
     """Q1: Federal Register batch (HTML and PDF codes)."""
     pdf_docs = None
     if pdf_pages is not None:
-        pdf_docs = E.pdf_pages_to_doc(pdf_pages.withColumnRenamed("k", "doc_id"), "doc_id", "page_no", "text", "tables_raw")
+        pdf_docs = fr_pdf_codes(pdf_pages)
     return run_batch(fr_documents(raw_records), "federal_register", store, pages, pdf_docs, **kw)
 
 
@@ -139,7 +143,7 @@ def ustr_pipeline(link_records: DataFrame, pages: DataFrame, pdf_pages: DataFram
     pdf_docs = None
     if pdf_pages is not None:
         links = P.pdf_links(pages.select("url", "html")).select(F.col("url").alias("page_url"), "pdf_links")
-        per_pdf = E.pdf_pages_to_doc(pdf_pages, "pdf_url", "page_no", "text", None)
+        per_pdf = E.pdf_doc_codes(pdf_pages, "pdf_url", "text")
         docs = (parsed.select("arrival_seq", "source_url")
                 .join(links, F.col("source_url") == F.col("page_url"))
                 .select("arrival_seq", F.posexplode("pdf_links").alias("pdf_pos", "pdf_url"))
@@ -168,10 +172,5 @@ def run_summary(outcomes: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("documents"), F.sum("product_count").alias("products"))
 
 
-def raw_zone_name(source, doc_id, ts: _dt.datetime, ext: str):
-    """K3 naming: {source}_{id}_{YYYYMMDD_HHMMSS}.{ext}."""
-    return F.concat_ws("_", source, doc_id, F.lit(ts.strftime("%Y%m%d_%H%M%S"))) + F.lit("." + ext)
-
-
 __all__ = ["run_batch", "fr_pipeline", "ustr_pipeline", "ustr_fast_pipeline", "cbp_pipeline", "run_summary",
            "event_envelope", "link_projection", "prepare_documents", "url_tail"]

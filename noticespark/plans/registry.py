@@ -164,7 +164,7 @@ def q_event_by_hash(spark, sf):
     l = SC.landed(spark, sf)
     st = SC.store_events(spark, sf, l)
     docs = PL.prepare_documents(PL.fr_documents(l.fr_raw), "federal_register", l.pages,
-                                E.pdf_pages_to_doc(l.pdf_pages.withColumnRenamed("k", "doc_id"), "doc_id", "page_no", "text", "tables_raw"))
+                                PL.fr_pdf_codes(l.pdf_pages))
     return docs.select("arrival_seq", "content_hash").join(st.select("content_hash", "id", "source"), "content_hash").select(
         "arrival_seq", "id", "source")
 
@@ -210,7 +210,7 @@ def q_assemble(spark, sf):
     """P5: FR documents with their tariff action (codes and validation flags)."""
     l = SC.landed(spark, sf)
     docs = PL.prepare_documents(PL.fr_documents(l.fr_raw), "federal_register", l.pages,
-                                E.pdf_pages_to_doc(l.pdf_pages.withColumnRenamed("k", "doc_id"), "doc_id", "page_no", "text", "tables_raw"))
+                                PL.fr_pdf_codes(l.pdf_pages))
     prods = F.col("tariff_action.products")
     return docs.select("arrival_seq", F.col("tariff_action.type").alias("action_type"),
                        F.array_join(F.transform(prods, lambda p: p.getField("hts_code")), ",").alias("codes"),
@@ -303,7 +303,7 @@ def q_dedup_store(spark, sf):
     l = SC.landed(spark, sf)
     st = SC.store_events(spark, sf, l)
     docs = PL.prepare_documents(PL.fr_documents(l.fr_raw), "federal_register", l.pages,
-                                E.pdf_pages_to_doc(l.pdf_pages.withColumnRenamed("k", "doc_id"), "doc_id", "page_no", "text", "tables_raw"))
+                                PL.fr_pdf_codes(l.pdf_pages))
     return DD.dedup_against_store(docs, st.select("source", "content_hash")).select("arrival_seq", "content_hash")
 
 
@@ -355,7 +355,7 @@ def q_near_dups(spark, sf):
     l = SC.landed(spark, sf)
     st = SC.store_events(spark, sf, l)
     docs = PL.prepare_documents(PL.fr_documents(l.fr_raw), "federal_register", l.pages,
-                                E.pdf_pages_to_doc(l.pdf_pages.withColumnRenamed("k", "doc_id"), "doc_id", "page_no", "text", "tables_raw"))
+                                PL.fr_pdf_codes(l.pdf_pages))
     new = docs.select(F.col("arrival_seq").cast("string").alias("id"), F.col("identifiers.fr_document_number").alias("fr_document_number"),
                       E.product_codes(F.col("tariff_action.products")).alias("codes"), "title", "publication_date")
     stored = PL.link_projection(st)
@@ -407,7 +407,7 @@ def q_merge_codes(spark, sf):
     """A3: HTML codes, PDF codes and their union per FR document."""
     l = SC.landed(spark, sf)
     docs = E.attach_pages(PL.fr_documents(l.fr_raw), l.pages, "federal_register")
-    docs = E.attach_pdfs(docs, E.pdf_pages_to_doc(l.pdf_pages.withColumnRenamed("k", "doc_id"), "doc_id", "page_no", "text", "tables_raw"))
+    docs = E.attach_pdfs(docs, PL.fr_pdf_codes(l.pdf_pages))
     return docs.select("arrival_seq", F.size("html_hts_codes").alias("n_html"), F.size("pdf_hts_codes").alias("n_pdf"),
                        F.size(C.merge_codes(F.col("html_hts_codes"), F.col("pdf_hts_codes"))).alias("n_merged"))
 
@@ -737,7 +737,7 @@ def q_content_hash(spark, sf):
     """C8 of every prepared filing document (all three sources)."""
     l = SC.landed(spark, sf)
     fr = PL.prepare_documents(PL.fr_documents(l.fr_raw), "federal_register", l.pages,
-                              E.pdf_pages_to_doc(l.pdf_pages.withColumnRenamed("k", "doc_id"), "doc_id", "page_no", "text", "tables_raw"))
+                              PL.fr_pdf_codes(l.pdf_pages))
     us = PL.prepare_documents(P.parse_ustr(l.ustr), "ustr", l.pages, None)
     cb = PL.prepare_documents(P.parse_cbp(l.cbp), "cbp_csms", l.pages, None)
     cols = ["arrival_seq", "content_hash", "confidence_raw", "validation_status"]

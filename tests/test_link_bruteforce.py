@@ -124,7 +124,7 @@ def test_links_match_brute_force(spark, sides, limit):
 def test_near_duplicates_match_brute_force(spark, sides):
     _, _, l, store = sides
     docs = PL.prepare_documents(PL.fr_documents(l.fr_raw), "federal_register", l.pages,
-                                E.pdf_pages_to_doc(l.pdf_pages.withColumnRenamed("k", "doc_id"), "doc_id", "page_no", "text", "tables_raw"))
+                                PL.fr_pdf_codes(l.pdf_pages))
     new = docs.select(F.col("arrival_seq").cast("string").alias("id"), F.col("identifiers.fr_document_number").alias("fr_document_number"),
                       E.product_codes(F.col("tariff_action.products")).alias("codes"), "title", "publication_date")
     stored = PL.link_projection(store)
