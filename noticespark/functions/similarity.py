@@ -21,19 +21,24 @@ from . import constants as K
 
 
 @pandas_udf(DoubleType())
-def _ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+def _ratio_udf(a: pd.Series, b: pd.Series, need: pd.Series) -> pd.Series:
     out = []
-    for x, y in zip(a, b):
-        if x is None or y is None or x == "" or y == "":
+    for x, y, n in zip(a, b, need):
+        if not n or x is None or y is None or x == "" or y == "":
             out.append(0.0)
         else:
             out.append(difflib.SequenceMatcher(None, x, y).ratio())
     return pd.Series(out, dtype="float64")
 
 
-def title_ratio(current_title: Column, other_title: Column) -> Column:
-    """Difflib ratio of the lower-cased titles, (current, other) order; 0 if either empty."""
-    return _ratio_udf(F.lower(F.coalesce(current_title, F.lit(""))), F.lower(F.coalesce(other_title, F.lit(""))))
+def title_ratio(current_title: Column, other_title: Column, need: Column | None = None) -> Column:
+    """Difflib ratio of the lower-cased titles, (current, other) order; 0 if either empty.
+
+    ``need`` (boolean) lets callers skip rows whose ratio cannot matter without
+    splitting the plan: those rows return 0.0 without calling difflib.
+    """
+    flag = F.lit(True) if need is None else F.coalesce(need, F.lit(False))
+    return _ratio_udf(F.lower(F.coalesce(current_title, F.lit(""))), F.lower(F.coalesce(other_title, F.lit(""))), flag)
 
 
 def ratio_upper_bound(a: Column, b: Column) -> Column:

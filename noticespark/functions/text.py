@@ -55,6 +55,15 @@ def html_text(html: Column) -> Column:
     return strip_tags_text(_drop_markup(F.coalesce(html, F.lit(""))))
 
 
+def html_code_text(html: Column) -> Column:
+    """Text for code extraction only: subtrees dropped and tags blanked, no decoding or collapsing.
+
+    Equivalent to ``html_text`` for the code patterns: every decoded entity and every
+    whitespace run is a non-word character either way, so code boundaries are the same.
+    """
+    return F.regexp_replace(_drop_markup(F.coalesce(html, F.lit(""))), r"<[^>]*>", " ")
+
+
 def html_tables(html: Column) -> Column:
     """array<array<array<string>>> of every table's non-empty rows of td/th text."""
     body = _drop_markup(F.coalesce(html, F.lit("")))

@@ -46,9 +46,9 @@ def pre_dedup_hash(docs: DataFrame) -> DataFrame:
         F.array().cast("array<string>")))
 
 
-def dedup_within_batch(docs: DataFrame, order_col: str = "arrival_seq") -> DataFrame:
+def dedup_within_batch(docs: DataFrame, order_col: str = "arrival_seq", keys: list[str] | None = None) -> DataFrame:
     """First document per content_hash in arrival order wins (skew-safe ``min_by``)."""
-    return first_per_key(docs, ["content_hash"], [order_col])
+    return first_per_key(docs, keys or ["content_hash"], [order_col])
 
 
 def edge_upsert_ignore(new_edges: DataFrame, existing_edges: DataFrame | None = None,

@@ -13,7 +13,7 @@ from ..functions import identity as I
 from ..functions import scoring as S
 from ..functions.lookups import country_code
 from ..functions.rates import validate_rate
-from ..functions.text import html_text, main_content_cbp, effective_date_cbp, normalize_text, clean_cells
+from ..functions.text import html_code_text, main_content_cbp, effective_date_cbp, normalize_text, clean_cells
 
 PRODUCT = "struct<hts_code:string,hts_code_validated:boolean,description:string,country_specific:array<string>>"
 
@@ -26,9 +26,12 @@ def attach_pages(docs: DataFrame, pages: DataFrame, source: str | None = None) -
     """
     p = pages.select(F.col("url").alias("_page_url"), "html")
     j = docs.join(p, docs.source_url == p._page_url, "left")
-    out = j.withColumn("html_hts_codes", F.when(F.col("html").isNotNull(), C.html_hts_codes(html_text(F.col("html")))))
+    out = j.withColumn("html_hts_codes", F.when(F.col("html").isNotNull(), C.html_hts_codes(html_code_text(F.col("html")))))
     if source == "cbp_csms":
         out = out.withColumn("effective_date", F.when(F.col("html").isNotNull(), effective_date_cbp(main_content_cbp(F.col("html")))))
+    elif source is None:   # mixed-source batch: only CBP messages carry the bulletin effective date
+        out = out.withColumn("effective_date", F.when(F.col("html").isNotNull() & (F.col("source") == "cbp_csms"),
+                                                      effective_date_cbp(main_content_cbp(F.col("html")))))
     out = out.withColumn("raw_html_path", F.when(F.col("html").isNotNull(), F.col("_page_url")))
     return out.drop("_page_url", "html")
 
@@ -73,8 +76,11 @@ def attach_pdfs(docs: DataFrame, pdf_docs: DataFrame, key: str = "arrival_seq")
     return j.withColumn("raw_pdf_path", F.when(F.col("page_count").isNotNull(), F.col("pdf_url"))).drop("page_count")
 
 
-def build_products(docs: DataFrame, action_type: str) -> DataFrame:
-    """A3 + C1 + P5: union of HTML and PDF codes -> validated products in the tariff action."""
+def build_products(docs: DataFrame, action_type) -> DataFrame:
+    """A3 + C1 + P5: union of HTML and PDF codes -> validated products in the tariff action.
+
+    ``action_type`` is a string or a Column (per-row type in a mixed-source batch).
+    """
     html_c = F.col("html_hts_codes") if "html_hts_codes" in docs.columns else F.lit(None).cast("array<string>")
     pdf_c = F.col("pdf_hts_codes") if "pdf_hts_codes" in docs.columns else F.lit(None).cast("array<string>")
     codes = C.merge_codes(html_c, pdf_c)
@@ -82,7 +88,7 @@ def build_products(docs: DataFrame, action_type: str) -> DataFrame:
         c.alias("hts_code"), C.hts_valid(c).alias("hts_code_validated"), F.lit("").alias("description"),
         F.array().cast("array<string>").alias("country_specific")))
     return docs.withColumn("tariff_action", F.struct(
-        F.lit(action_type).alias("type"), products.alias("products"),
+        (F.lit(action_type) if isinstance(action_type, str) else action_type).alias("type"), products.alias("products"),
         F.lit(None).cast("string").alias("rate_original"), F.lit(None).cast("double").alias("rate_normalized"),
         F.lit(None).cast("string").alias("rate_type")))
 

@@ -139,9 +139,7 @@ def score_pairs(pairs: DataFrame, new: DataFrame, store: DataFrame, with_title:
     la, lb = F.lower(F.coalesce("a_title", F.lit(""))), F.lower(F.coalesce("b_title", F.lit("")))
     if with_title:
         need = (ratio_upper_bound(la, lb) > K.LINK_TITLE_THRESHOLD - 1e-9) & (F.length(la) > 0) & (F.length(lb) > 0)
-        with_r = p.where(need).withColumn("title_ratio", title_ratio(F.col("a_title"), F.col("b_title")))
-        without = p.where(~need).withColumn("title_ratio", F.lit(0.0))
-        p = with_r.unionByName(without)
+        p = p.withColumn("title_ratio", title_ratio(F.col("a_title"), F.col("b_title"), need))
     else:
         p = p.withColumn("title_ratio", F.lit(0.0))
     conf = link_confidence(F.col("dn"), F.col("j"), F.col("title_ratio"), F.col("dp"))

@@ -34,8 +34,11 @@ class BatchResult:
     outcomes: DataFrame    # one row per landed document: processed / duplicate / failed
 
 
-def prepare_documents(parsed: DataFrame, source: str, pages: DataFrame | None, pdf_docs: DataFrame | None) -> DataFrame:
-    """Page/PDF codes -> products -> normalise -> validate -> score -> hash."""
+def prepare_documents(parsed: DataFrame, source: str | None, pages: DataFrame | None, pdf_docs: DataFrame | None) -> DataFrame:
+    """Page/PDF codes -> products -> normalise -> validate -> score -> hash.
+
+    ``source=None`` prepares a mixed-source batch (per-row action type and CBP effective date).
+    """
     docs = parsed
     if pages is not None:
         docs = E.attach_pages(docs, pages, source)
@@ -50,18 +53,26 @@ def prepare_documents(parsed: DataFrame, source: str, pages: DataFrame | None, p
     for c in ("effective_date", "expiration_date"):
         if c not in docs.columns:
             docs = docs.withColumn(c, F.lit(None).cast("string"))
-    docs = E.build_products(docs, ACTION_TYPES[source])
+    if source is None:
+        action = F.when(F.col("source") == "cbp_csms", F.lit(ACTION_TYPES["cbp_csms"])).otherwise(F.lit("unknown"))
+    else:
+        action = ACTION_TYPES[source]
+    docs = E.build_products(docs, action)
     docs = E.normalize_document(docs)
     docs = E.validate_and_score(docs)
     return E.with_content_hash(docs)
 
 
-def event_envelope(docs: DataFrame, as_of: str = DEFAULT_AS_OF) -> DataFrame:
-    """The events-table row (deterministic id from the hash; ingestion time = run time)."""
+def event_envelope(docs: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+    """The events-table row (deterministic id from the hash; ingestion time = run time).
+
+    ``as_of`` is a timestamp string or a Column (per-row run time).
+    """
     data = F.struct(*[F.col(c) for c in DATA_FIELDS])
+    ts = F.to_timestamp(F.lit(as_of)) if isinstance(as_of, str) else as_of
     return docs.select(
         I.event_id(F.col("content_hash")).alias("id"), "content_hash",
-        F.to_timestamp(F.lit(as_of)).alias("ingestion_timestamp"), F.col("arrival_seq").alias("ingest_seq"),
+        ts.alias("ingestion_timestamp"), F.col("arrival_seq").alias("ingest_seq"),
         F.lit(K.PARSER_VERSION).alias("parser_version"),
         F.col("confidence_raw").cast("decimal(3,2)").alias("confidence_score"), "confidence_raw",
         "validation_status", F.lit(None).cast("timestamp").alias("last_verified_date"),

@@ -18,11 +18,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import parse as P
+from ..operators.dedup import dedup_within_batch
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as X
 from . import pipelines as PL
 
-LAYOUT_VERSION = "v3"   # bump when a fixture or the store layout changes
+LAYOUT_VERSION = "v4"   # bump when a fixture or the store layout changes
 
 AS_OF = {"federal_register_prior": "2025-11-30 06:15:00", "ustr": "2025-12-01 08:00:00",
          "cbp_csms": "2025-12-02 00:30:00", "federal_register": "2026-01-01 06:15:00"}
@@ -63,12 +65,14 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_b
 def landed(spark: SparkSession, sf_dir: str) -> Landed:
     """The landing zone derived from the driver tables (materialised once per input folder)."""
     m = lambda name, fn: materialized(spark, sf_dir, name, fn)
+    f = m("filings", lambda: X.filings(spark, sf_dir))          # shared inputs, computed once
+    pl = m("lines", lambda: X.parent_lines(spark, sf_dir))
     return Landed(
-        fr_raw=m("fr_raw", lambda: X.fr_raw(spark, sf_dir)),
-        ustr=m("ustr_links", lambda: X.link_records(spark, sf_dir, "ustr")),
-        cbp=m("cbp_links", lambda: X.link_records(spark, sf_dir, "cbp_csms")),
-        pages=m("pages", lambda: X.notice_pages(spark, sf_dir)),
-        pdf_pages=m("pdf_pages", lambda: X.notice_pdf_pages(spark, sf_dir)),
+        fr_raw=m("fr_raw", lambda: X.fr_raw(spark, sf_dir, f)),
+        ustr=m("ustr_links", lambda: X.link_records(spark, sf_dir, "ustr", f)),
+        cbp=m("cbp_links", lambda: X.link_records(spark, sf_dir, "cbp_csms", f)),
+        pages=m("pages", lambda: X.notice_pages(spark, sf_dir, f, pl)),
+        pdf_pages=m("pdf_pages", lambda: X.notice_pdf_pages(spark, sf_dir, f, pl)),
     )
 
 
@@ -77,12 +81,22 @@ def prior_fr_raw(l: Landed) -> DataFrame:
 
 
 def build_store_events(spark: SparkSession, sf_dir: str, l: Landed | None = None) -> DataFrame:
-    """Events of the three earlier runs (no linking), as one plan."""
+    """Events of the three earlier runs (no linking) in one pass over the landed pages.
+
+    Same rows as running ``fr_pipeline`` (prior FR filings), ``ustr_pipeline`` and
+    ``cbp_pipeline`` separately with an empty store: the pages are joined once for all
+    three sources, and first-wins dedup is per (source, content_hash).
+    """
     l = l or landed(spark, sf_dir)
-    ustr = PL.ustr_pipeline(l.ustr, l.pages, None, None, as_of=AS_OF["ustr"], link=False).events
-    cbp = PL.cbp_pipeline(l.cbp, l.pages, None, as_of=AS_OF["cbp_csms"], link=False).events
-    fr = PL.fr_pipeline(prior_fr_raw(l), l.pages, l.pdf_pages, None, as_of=AS_OF["federal_register_prior"], link=False).events
-    return fr.unionByName(ustr).unionByName(cbp)
+    parsed = (PL.fr_documents(prior_fr_raw(l)).unionByName(P.parse_ustr(l.ustr))
+              .unionByName(P.parse_cbp(l.cbp)))
+    docs = PL.prepare_documents(parsed, None, l.pages, PL.fr_pdf_codes(l.pdf_pages))
+    failed = (F.col("source") == "federal_register") & F.col("source_url").isNotNull() & F.col("raw_html_path").isNull()
+    first = dedup_within_batch(docs.where(~failed), keys=["source", "content_hash"])
+    run_time = (F.when(F.col("source") == "federal_register", F.to_timestamp(F.lit(AS_OF["federal_register_prior"])))
+                .when(F.col("source") == "ustr", F.to_timestamp(F.lit(AS_OF["ustr"])))
+                .otherwise(F.to_timestamp(F.lit(AS_OF["cbp_csms"]))))
+    return PL.event_envelope(first, run_time)
 
 
 def store_events(spark: SparkSession, sf_dir: str, l: Landed | None = None) -> DataFrame:

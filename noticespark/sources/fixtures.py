@@ -81,9 +81,9 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fr_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fr_raw(spark: SparkSession, sf_dir: str, f: DataFrame | None = None) -> DataFrame:
     """M1 records as landed from the search API: one per matching search term (so duplicates)."""
-    f = filings(spark, sf_dir).where(F.col("source") == SOURCES[0])
+    f = (f if f is not None else filings(spark, sf_dir)).where(F.col("source") == SOURCES[0])
     terms = F.array(*[F.lit(t) for t in FR_SEARCH_TERMS])
     hay = F.lower(F.concat_ws(" ", "title", "abstract"))
     return f.select(
@@ -95,9 +95,9 @@ def fr_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def link_records(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+def link_records(spark: SparkSession, sf_dir: str, source: str, f: DataFrame | None = None) -> DataFrame:
     """M2 records (USTR / CBP): title, url, publication_date, summary, source."""
-    f = filings(spark, sf_dir).where(F.col("source") == source)
+    f = (f if f is not None else filings(spark, sf_dir)).where(F.col("source") == source)
     return f.select("title", "url", "publication_date", F.lit("").alias("summary"), F.lit(source).alias("source"),
                     F.col("k").alias("arrival_seq"), "landed_date")
 
@@ -133,14 +133,14 @@ def filing_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.where(~((F.col("k") % 7 == 0) & (F.col("l_linenumber") == 1))).select("k", "code").distinct()
 
 
-def notice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def notice_pages(spark: SparkSession, sf_dir: str, f: DataFrame | None = None, pl: DataFrame | None = None) -> DataFrame:
     """Landed HTML page per filing: decoy nav table, one sentence per line, a code table, a footer.
 
     Lines are those of the parent order (line 1 left out when k % 7 = 0), ordered by
     (line number, part key) because line numbers repeat within an order.
     """
-    f = filings(spark, sf_dir).select("k", "pk", "title", "url")
-    pl = parent_lines(spark, sf_dir)
+    f = (f if f is not None else filings(spark, sf_dir)).select("k", "pk", "title", "url")
+    pl = pl if pl is not None else parent_lines(spark, sf_dir)
     per_order = pl.groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "code", "descr_html", "sentence"))).alias("lines"))
     j = f.join(per_order, f.pk == per_order.l_orderkey, "left")
@@ -162,10 +162,10 @@ def notice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("k", "url", html.alias("html"))
 
 
-def notice_pdf_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def notice_pdf_pages(spark: SparkSession, sf_dir: str, f: DataFrame | None = None, pl: DataFrame | None = None) -> DataFrame:
     """Extracted PDF pages of FR filings with a pdf_url: one page per parent line (all lines)."""
-    f = filings(spark, sf_dir).where(F.col("pdf_url").isNotNull()).select("k", "pk", "pdf_url")
-    pl = parent_lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "code", "sentence")
+    f = (f if f is not None else filings(spark, sf_dir)).where(F.col("pdf_url").isNotNull()).select("k", "pk", "pdf_url")
+    pl = (pl if pl is not None else parent_lines(spark, sf_dir)).select("l_orderkey", "l_linenumber", "l_partkey", "code", "sentence")
     j = f.join(pl, f.pk == pl.l_orderkey)
     w = Window.partitionBy("k").orderBy("l_linenumber", "l_partkey", "sentence")
     return j.select(
