@@ -15,7 +15,8 @@ def first_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Data
 
     Unlike a row_number window, the aggregate is partial before the shuffle: a hot
     key (a third of all rows sharing one hash) collapses to one row per map task,
-    so no single task ever sorts the hot group.
+    so no single task ever sorts the hot group.  It is one pass over the input
+    (a semi-join with the per-key minimum would evaluate the input twice).
     """
     cols = [c for c in df.columns if c not in keys]
     order = F.struct(*[F.col(c) for c in order_cols]) if len(order_cols) > 1 else F.col(order_cols[0])

@@ -18,22 +18,42 @@ from ..functions.text import html_code_text, main_content_cbp, effective_date_cb
 PRODUCT = "struct<hts_code:string,hts_code_validated:boolean,description:string,country_specific:array<string>>"
 
 
+def page_facts(pages: DataFrame, source: str | None = None) -> DataFrame:
+    """X1/X4 (+X3/X12 for CBP) on the pages side: (url, html_hts_codes, effective_date).
+
+    Extracting before the join means the shuffle carries a few codes per page
+    instead of the HTML, and a pages table partitioned by ``source`` is pruned to
+    the run's source.
+    """
+    h = F.col("html")
+    has_src = "source" in pages.columns
+    if source is not None and has_src:
+        pages = pages.where(F.col("source") == source)
+    eff = effective_date_cbp(main_content_cbp(h))
+    if source == "cbp_csms":
+        eff_col = eff
+    elif source is None and has_src:
+        eff_col = F.when(F.col("source") == "cbp_csms", eff)
+    elif source is None:
+        eff_col = eff
+    else:
+        eff_col = F.lit(None).cast("string")
+    return pages.select(F.col("url").alias("_page_url"), C.html_hts_codes(html_code_text(h)).alias("_codes"),
+                        eff_col.alias("_eff"))
+
+
 def attach_pages(docs: DataFrame, pages: DataFrame, source: str | None = None) -> DataFrame:
-    """S3 + X1 + X4: join landed pages on URL, extract text and dotted-10 codes.
+    """S3 + X1 + X4: join landed page facts on URL (codes; effective date for CBP).
 
-    For CBP messages the effective date comes from the bulletin content (X3, X12).
     A document without a page keeps NULL codes (the reference continues without codes).
     """
-    p = pages.select(F.col("url").alias("_page_url"), "html")
+    p = page_facts(pages, source)
     j = docs.join(p, docs.source_url == p._page_url, "left")
-    out = j.withColumn("html_hts_codes", F.when(F.col("html").isNotNull(), C.html_hts_codes(html_code_text(F.col("html")))))
-    if source == "cbp_csms":
-        out = out.withColumn("effective_date", F.when(F.col("html").isNotNull(), effective_date_cbp(main_content_cbp(F.col("html")))))
-    elif source is None:   # mixed-source batch: only CBP messages carry the bulletin effective date
-        out = out.withColumn("effective_date", F.when(F.col("html").isNotNull() & (F.col("source") == "cbp_csms"),
-                                                      effective_date_cbp(main_content_cbp(F.col("html")))))
-    out = out.withColumn("raw_html_path", F.when(F.col("html").isNotNull(), F.col("_page_url")))
-    return out.drop("_page_url", "html")
+    out = j.withColumn("html_hts_codes", F.col("_codes"))
+    if source == "cbp_csms" or source is None:
+        out = out.withColumn("effective_date", F.col("_eff"))
+    out = out.withColumn("raw_html_path", F.col("_page_url"))
+    return out.drop("_page_url", "_codes", "_eff")
 
 
 def pdf_pages_to_doc(pages: DataFrame, key: str = "doc_id", page_col: str = "page_no", text_col: str = "text",

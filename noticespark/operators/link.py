@@ -45,6 +45,20 @@ def _newest_k(df: DataFrame, keys: list[str], k: int) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
 
 
+def _newest_distinct(pairs: DataFrame, limit: int | None) -> DataFrame:
+    """Distinct (new_id, id) pairs, newest ``limit`` per new_id, with their rank.
+
+    A pair found twice has the same (timestamp, seq, id), so ``dense_rank`` gives
+    both copies one rank; the later de-duplication runs on the same new_id
+    partitioning, so one shuffle serves both steps.
+    """
+    w = Window.partitionBy("new_id").orderBy(*_newest())
+    ranked = pairs.withColumn("_rank", F.dense_rank().over(w))
+    if limit is not None:
+        ranked = ranked.where(F.col("_rank") <= limit)
+    return ranked.dropDuplicates(["new_id", "id"])
+
+
 def _sides(new: DataFrame, store: DataFrame):
     n = linkable(new).select(F.col("id").alias("new_id"), F.col("source").alias("new_source"), "codes",
                              F.to_date("publication_date").alias("new_date"))
@@ -67,10 +81,9 @@ def code_branch(new: DataFrame, store: DataFrame, limit: int | None = K.LINK_CAN
     n_codes = n.select("new_id", "new_source", F.explode(F.array_distinct("codes")).alias("code"))
     by_code = (n_codes.join(s_codes, "code").where(F.col("source") != F.col("new_source"))
                .select("new_id", "new_source", "id", "ingestion_timestamp", "ingest_seq"))
-    by_code = by_code.dropDuplicates(["new_id", "id"])
-    if limit is not None:
-        by_code = _newest_k(by_code, ["new_id"], limit)
-    return by_code
+    if limit is None:
+        return by_code.dropDuplicates(["new_id", "id"])
+    return _newest_distinct(by_code, limit).drop("_rank")
 
 
 def band_branch(new: DataFrame, store: DataFrame, limit: int | None = K.LINK_CANDIDATE_LIMIT) -> DataFrame:
@@ -103,12 +116,8 @@ def candidate_pairs(new: DataFrame, store: DataFrame, limit: int | None = K.LINK
     Returns (new_id, id, ingestion_timestamp, ingest_seq, cand_rank).  ``limit=None`` returns
     every candidate (no cut; still two equi-joins, no nested loop).
     """
-    cands = code_branch(new, store, limit).unionByName(band_branch(new, store, limit)).dropDuplicates(["new_id", "id"])
-    w = Window.partitionBy("new_id").orderBy(*_newest())
-    cands = cands.withColumn("cand_rank", F.row_number().over(w))
-    if limit is not None:
-        cands = cands.where(F.col("cand_rank") <= limit)
-    return cands.drop("new_source")
+    cands = _newest_distinct(code_branch(new, store, limit).unionByName(band_branch(new, store, limit)), limit)
+    return cands.withColumnRenamed("_rank", "cand_rank").drop("new_source")
 
 
 def score_pairs(pairs: DataFrame, new: DataFrame, store: DataFrame, with_title: bool = True,

@@ -126,6 +126,24 @@ def run_batch(parsed: DataFrame, source: str, store: DataFrame | None = None, pa
     return BatchResult(events=events, edges=edges, outcomes=outcome)
 
 
+def store_batch(result: BatchResult, store: DataFrame, source: str, staging_path: str, events_path: str,
+                edges_path: str, link_limit: int | None = K.LINK_CANDIDATE_LIMIT, with_title: bool = True) -> None:
+    """K1 then K2: stage the batch's events once, append them, then link the staged rows.
+
+    Linking from the staged rows (instead of the lazy event plan) runs the
+    document preparation once per batch and cuts the lineage before the join work.
+    """
+    from .sinks import append_events, append_relationships, read_table_or_empty
+    spark = result.events.sparkSession
+    result.events.write.mode("overwrite").parquet(staging_path)
+    staged = spark.read.parquet(staging_path)
+    append_events(staged, events_path)
+    others = link_projection(store.where(F.col("source") != source))
+    edges = link_documents(link_projection(staged), others, limit=link_limit, with_title=with_title)
+    stored_edges = read_table_or_empty(spark, edges_path, edges)
+    append_relationships(edge_upsert_ignore(edges, stored_edges), edges_path)
+
+
 # ---------------------------------------------------------------- per-source entry points
 
 def fr_pdf_codes(pdf_pages: DataFrame) -> DataFrame:

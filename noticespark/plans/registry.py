@@ -712,7 +712,7 @@ def q_normalize_doc(spark, sf):
     """C4: normalised title, dates and product codes of every filing document."""
     l = SC.landed(spark, sf)
     docs = P.parse_cbp(l.cbp).unionByName(P.parse_ustr(l.ustr)).unionByName(PL.fr_documents(l.fr_raw))
-    docs = E.build_products(E.attach_pages(docs, l.pages, "cbp_csms"), "unknown")
+    docs = E.build_products(E.attach_pages(docs, l.pages, None), "unknown")
     n = E.normalize_document(docs)
     return n.select("arrival_seq", "title", "publication_date", "effective_date",
                     F.array_join(E.product_codes(F.col("tariff_action.products")), ",").alias("codes"))

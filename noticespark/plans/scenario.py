@@ -24,7 +24,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as X
 from . import pipelines as PL
 
-LAYOUT_VERSION = "v4"   # bump when a fixture or the store layout changes
+LAYOUT_VERSION = "v5"   # bump when a fixture or the store layout changes
 
 AS_OF = {"federal_register_prior": "2025-11-30 06:15:00", "ustr": "2025-12-01 08:00:00",
          "cbp_csms": "2025-12-02 00:30:00", "federal_register": "2026-01-01 06:15:00"}
@@ -71,7 +71,7 @@ def landed(spark: SparkSession, sf_dir: str) -> Landed:
         fr_raw=m("fr_raw", lambda: X.fr_raw(spark, sf_dir, f)),
         ustr=m("ustr_links", lambda: X.link_records(spark, sf_dir, "ustr", f)),
         cbp=m("cbp_links", lambda: X.link_records(spark, sf_dir, "cbp_csms", f)),
-        pages=m("pages", lambda: X.notice_pages(spark, sf_dir, f, pl)),
+        pages=materialized(spark, sf_dir, "pages", lambda: X.notice_pages(spark, sf_dir, f, pl), ["source"]),
         pdf_pages=m("pdf_pages", lambda: X.notice_pdf_pages(spark, sf_dir, f, pl)),
     )
 

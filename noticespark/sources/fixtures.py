@@ -139,7 +139,7 @@ def notice_pages(spark: SparkSession, sf_dir: str, f: DataFrame | None = None, p
     Lines are those of the parent order (line 1 left out when k % 7 = 0), ordered by
     (line number, part key) because line numbers repeat within an order.
     """
-    f = (f if f is not None else filings(spark, sf_dir)).select("k", "pk", "title", "url")
+    f = (f if f is not None else filings(spark, sf_dir)).select("k", "pk", "title", "url", "source")
     pl = pl if pl is not None else parent_lines(spark, sf_dir)
     per_order = pl.groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "code", "descr_html", "sentence"))).alias("lines"))
@@ -159,7 +159,7 @@ def notice_pages(spark: SparkSession, sf_dir: str, f: DataFrame | None = None, p
         F.lit("<table><tr><th>HTS</th><th>Description</th></tr>"), rows, F.lit("</table>"), close_tag,
         F.lit("<footer>Contact 0000.00.0001 &copy; office</footer></body></html>"),
     )
-    return j.select("k", "url", html.alias("html"))
+    return j.select("k", "url", html.alias("html"), "source")
 
 
 def notice_pdf_pages(spark: SparkSession, sf_dir: str, f: DataFrame | None = None, pl: DataFrame | None = None) -> DataFrame:
