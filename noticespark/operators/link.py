@@ -224,18 +224,30 @@ def docnum_pairs(new: DataFrame, store: DataFrame) -> DataFrame:
             .select("new_id", "id").distinct())
 
 
-def _prefix_codes(codes, t_num: int, t_den: int):
-    """Prefix-filter tokens for Jaccard >= t_num/t_den over a sorted set: n - ceil(t*n) + 1 first codes."""
-    toks = F.array_sort(F.array_distinct(F.filter(F.coalesce(codes, F.array().cast("array<string>")),
-                                                  lambda c: c.isNotNull() & (c != ""))))
-    n = F.size(toks)
-    keep = n - F.ceil(n * F.lit(t_num) / F.lit(t_den)).cast("int") + 1
-    return F.slice(toks, 1, F.greatest(F.lit(0), keep))
+def _rare_first_prefix(docs: DataFrame, freq: DataFrame, src_col: str) -> DataFrame:
+    """(id, source, tok) for the prefix of each document's code set in a global rarest-first order.
+
+    Jaccard >= 2/3 between A and B requires them to share one of the first
+    n - ceil(2n/3) + 1 codes of each set under any fixed global order (prefix
+    filtering, exact).  Ordering by global frequency puts a hot code last, so it
+    only joins for documents whose sets are almost entirely that code.
+    """
+    ex = docs.select("id", F.col("source").alias(src_col), F.explode(F.array_distinct(
+        F.filter("codes", lambda c: c.isNotNull() & (c != "")))).alias("tok"))
+    ranked = ex.join(freq, "tok").groupBy("id", src_col).agg(
+        F.array_sort(F.collect_list(F.struct("n", "tok"))).alias("_c"))   # one document's codes
+    n = F.size("_c")
+    keep = n - F.ceil(n * F.lit(2) / F.lit(3)).cast("int") + 1
+    return ranked.select("id", src_col, F.explode(F.transform(F.slice("_c", 1, F.greatest(F.lit(0), keep)),
+                                                              lambda x: x.getField("tok"))).alias("tok"))
 
 
 def _unlimited_candidates(new: DataFrame, store: DataFrame) -> DataFrame:
-    a = linkable(new).select(F.col("id").alias("new_id"), F.col("source").alias("a_source"),
-                             F.explode(_prefix_codes(F.col("codes"), 2, 3)).alias("tok"))
-    b = store.select("id", F.col("source").alias("b_source"), F.explode(_prefix_codes(F.col("codes"), 2, 3)).alias("tok"))
+    n, s = linkable(new), store
+    toks = (n.select(F.explode(F.array_distinct("codes")).alias("tok"))
+            .unionByName(s.select(F.explode(F.array_distinct("codes")).alias("tok"))))
+    freq = toks.groupBy("tok").agg(F.count(F.lit(1)).alias("n"))          # partial aggregation per code
+    a = _rare_first_prefix(n, freq, "a_source").withColumnRenamed("id", "new_id")
+    b = _rare_first_prefix(s, freq, "b_source")
     by_code = a.join(b, "tok").where(F.col("a_source") != F.col("b_source")).select("new_id", "id")
     return by_code.unionByName(docnum_pairs(new, store)).distinct()
