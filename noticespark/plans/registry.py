@@ -542,6 +542,13 @@ def q_html_codes(spark, sf):
     return p.select("k", F.array_join(C.html_hts_codes(T.html_text(F.col("html"))), ",").alias("codes"))
 
 
+@query("pdf_hts_codes")
+def q_pdf_codes(spark, sf):
+    """X4 on extracted PDF pages: codes per FR filing (per-page extraction, set union)."""
+    l = SC.landed(spark, sf)
+    return PL.fr_pdf_codes(l.pdf_pages).select(F.col("doc_id").alias("k"), F.array_join("pdf_hts_codes", ",").alias("codes"))
+
+
 @query("extract_hts_codes")
 def q_extract_codes(spark, sf):
     """X5 on every notice sentence (dotted-10, dotted-6 inside it, bare-10)."""
@@ -847,13 +854,27 @@ def q_raw_zone(spark, sf):
     """K3 + K4: landed pages kept in the raw zone with their lineage names, then read back."""
     from .sinks import raw_zone, read_raw
     l = SC.landed(spark, sf)
-    src = F.when(F.col("k") % 3 == 0, F.lit("federal_register")).when(F.col("k") % 3 == 1, F.lit("ustr")).otherwise(F.lit("cbp_csms"))
-    bodies = l.pages.select(src.alias("source"), F.col("k").cast("string").alias("doc_id"), F.lit("html").alias("kind"),
+    bodies = l.pages.select("source", F.col("k").cast("string").alias("doc_id"), F.lit("html").alias("kind"),
                             F.col("html").alias("body"))
     path = _scratch(spark, "raw")
     raw_zone(bodies, path, "2026-01-01 06:15:00")
     back = read_raw(spark, path)
-    return back.select("source", "doc_id", "name", F.sha2("body", 256).alias("body_sha256"))
+    return back.select("source", "doc_id", "name", F.length("body").alias("body_chars"))
+
+
+@query("read_raw")
+def q_read_raw(spark, sf):
+    """K4: raw bodies read back for reparsing — only the FR filings that carry a PDF."""
+    from .sinks import raw_zone, read_raw
+    l = SC.landed(spark, sf)
+    bodies = l.pages.select("source", F.col("k").cast("string").alias("doc_id"), F.lit("html").alias("kind"),
+                            F.col("html").alias("body"))
+    path = _scratch(spark, "raw")
+    raw_zone(bodies, path, "2026-01-01 06:15:00")
+    wanted = l.fr_raw.where(F.col("pdf_url").isNotNull()).select(F.lit("federal_register").alias("source"),
+                                                                  F.col("arrival_seq").cast("string").alias("doc_id"))
+    back = read_raw(spark, path, wanted)
+    return back.select("source", "doc_id", "name", F.length("body").alias("body_chars"))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -536,3 +536,25 @@ def all_sql() -> dict[str, str]:
 SQL["incremental_ingest"] = SQL["fr_pipeline"]
 SQL["append_events"] = SQL["fr_pipeline"]
 SQL["append_relationships"] = SQL["edge_upsert_ignore"]
+reg("pdf_hts_codes", """
+SELECT f.k, string_agg(DISTINCT p.code, ',' ORDER BY p.code) AS codes
+FROM filings f JOIN plines p ON p.l_orderkey = f.pk WHERE f.pdf_url IS NOT NULL GROUP BY f.k""")
+
+# K3/K4: raw zone names and body sizes (the page HTML length from its generating pieces)
+_FIXED = (len("<!DOCTYPE html><html><head><title>") + len("</title><style>td{padding:0}</style></head><body>")
+          + len("<nav><table><tr><td>9999.99.9999</td><td>decoy navigation</td></tr></table></nav>")
+          + len("<h1>") + len("</h1>") + len("<table><tr><th>HTS</th><th>Description</th></tr>") + len("</table>")
+          + len("<footer>Contact 0000.00.0001 &copy; office</footer></body></html>"))
+_WRAP_ART = len("<article>") + len("</article>")
+_WRAP_CBP = len('<div class="bulletin-content">') + len("</div>")
+RAW_ZONE = ("raw_rows", f"""
+  SELECT f.source, CAST(f.k AS VARCHAR) AS doc_id,
+         f.source || '_' || CAST(f.k AS VARCHAR) || '_20260101_061500.html' AS name,
+         ({_FIXED} + 2 * length(f.title) + CASE WHEN f.source = 'cbp_csms' THEN {_WRAP_CBP} ELSE {_WRAP_ART} END
+          + coalesce(s.n, 0))::INTEGER AS body_chars, f.pdf_url
+  FROM filings f LEFT JOIN (
+    SELECT k, sum(length('<p>' || sentence || '</p>')
+                  + length('<tr><td> ' || code || '</td><td>Part ' || CAST(l_partkey AS VARCHAR) || ' &amp; parts</td></tr>')) AS n
+    FROM page_lines GROUP BY k) s ON s.k = f.k""")
+reg("raw_zone", "SELECT source, doc_id, name, body_chars FROM raw_rows", [RAW_ZONE])
+reg("read_raw", "SELECT source, doc_id, name, body_chars FROM raw_rows WHERE pdf_url IS NOT NULL", [RAW_ZONE])
