@@ -95,8 +95,8 @@ def run_batch(parsed: DataFrame, source: str, store: DataFrame | None = None, pa
               with_title: bool = True) -> BatchResult:
     """Run one source's batch against the events store.
 
-    J1 drops documents whose hash the store already holds for this source, A7
-    keeps the first of equal hashes inside the batch, then new events are linked
+    A7 keeps the first of equal hashes inside the batch, J1 drops hashes the store
+    already holds for this source (the two commute), then new events are linked
     against stored events of the other sources (F5) and edges are upsert-ignored (A8).
     """
     docs = prepare_documents(parsed, source, pages, pdf_docs)
@@ -106,8 +106,11 @@ def run_batch(parsed: DataFrame, source: str, store: DataFrame | None = None, pa
         failed_cond = F.lit(False)
     docs = docs.withColumn("_failed", failed_cond)
     ok = docs.where(~F.col("_failed"))
-    fresh = ok if store is None else dedup_against_store(ok, store.select("source", "content_hash"))
-    first = dedup_within_batch(fresh)
+    # A7 before J1 (same result set): the partial min_by aggregate collapses a hot hash
+    # before the anti-join shuffles on it.
+    first = dedup_within_batch(ok)
+    if store is not None:
+        first = dedup_against_store(first, store.select("source", "content_hash"))
     events = event_envelope(first, as_of)
 
     outcome = (docs.select("arrival_seq", "source", "content_hash", "_failed",
