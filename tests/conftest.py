@@ -18,6 +18,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
+         .config("spark.driver.memory", "8g")
          .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
