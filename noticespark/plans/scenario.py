@@ -13,6 +13,7 @@ Everything here is lazily planned; nothing is collected.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,10 +40,15 @@ class Landed:
     pdf_pages: DataFrame
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
 
 def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_by: list[str] | None = None) -> DataFrame:
@@ -51,14 +57,23 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_b
     This is the landing zone / event store of the scenario: persisted Parquet,
     so later jobs start from files (no lineage back to the fixtures, and a lost
     executor only re-reads files).  Keyed by the input folder and layout version.
+    Each writer writes to its own temporary folder and renames it into place, so
+    concurrent callers never overwrite each other's files.
     """
     key = hashlib.md5(f"{sf_dir}|{LAYOUT_VERSION}".encode()).hexdigest()[:16]
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/noticespark-tables/{key}/{name}"
     if not _exists(spark, path + "/_SUCCESS"):
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
         w = build().write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(path)
+        w.parquet(tmp)
+        fs, dst = _fs(spark, path)
+        _, src = _fs(spark, tmp)
+        if not fs.exists(dst):
+            fs.mkdirs(dst.getParent())
+            if not fs.rename(src, dst) and not fs.exists(dst):
+                raise RuntimeError(f"could not publish {tmp} as {path}")
     return spark.read.parquet(path)
 
 

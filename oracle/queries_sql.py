@@ -289,7 +289,7 @@ SELECT source, count(*) AS total, count(*) FILTER (WHERE substr(code, 1, 2) <> '
 FROM (SELECT DISTINCT k, source, code FROM page_lines) GROUP BY source""")
 reg("run_summary", """
 SELECT 'federal_register' AS source, CASE WHEN n.id IS NULL THEN 'duplicate' ELSE 'processed' END AS outcome,
-       count(*) AS documents, sum(d.n_products) AS products
+       count(*) AS documents, sum(d.n_products)::BIGINT AS products
 FROM docs4 d LEFT JOIN fr_new n ON n.k = d.k WHERE d.source = 'federal_register' GROUP BY 2""")
 reg("jaccard_codes", """
 SELECT c.new_id, c.id,
