@@ -155,3 +155,13 @@ def test_no_nested_loop_in_link_plans(spark, sides):
     for lim in (5, None):
         plan = L.link_documents(new, other, limit=lim)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, plan
+
+
+def test_candidate_cut_before_shuffle(spark, sides):
+    """The newest-k cuts plan as WindowGroupLimit (a partial one runs before the shuffle)."""
+    new, other, _, _ = sides
+    c = L.candidate_pairs(new, other, 5)
+    c.write.format("noop").mode("overwrite").save()
+    plan = c._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
