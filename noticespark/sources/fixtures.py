@@ -2,7 +2,7 @@
 
 The driver tables are TPC-H-like; these projections turn them into landed
 trade notices so that every operator runs over data whose size grows with the
-tables.  The same rules are written as DuckDB SQL in ``oracle/fixtures_sql.py``.
+tables.  The same rules are written as DuckDB SQL in ``notice_oracle/fixtures_sql.py``.
 
 One filing per order ``k``; its parent order is ``pk = k - k % 3`` so each
 Federal Register filing has a USTR and a CBP sibling that share its codes.
