@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticespark.llm import simhash_near_dedup
+from noticespark.llm import document_fingerprints, simhash_near_dedup
 from noticespark.llm.common import table
 
 
@@ -15,8 +15,14 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dedup.near_dedup(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: fingerprints of its text and its edited text, and their likeness."""
+    return document_fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_document_fingerprints": op10_document_fingerprints,
 }
 
 #: DuckDB SQL where it can express the query; the others are tested against brute force in tests/llm.
