@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticespark.llm import document_fingerprints, simhash_near_dedup
+from noticespark.llm import document_fingerprints, simhash_near_dedup, substring_dedup
 from noticespark.llm.common import table
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document that loses text: the spans (bytes of the UTF-8 text) whose first copy stays in ``sources``."""
+    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its fingerprint and the smallest doc_id of its component (3-word shingles, 2 bits)."""
     return simhash_near_dedup.near_dedup(table(spark, sf_dir, "documents"), shingle=3, radius=2)
@@ -21,6 +26,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_substring_dedup": op3_substring_dedup,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
