@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticespark.llm import document_fingerprints, simhash_near_dedup, substring_dedup
+from noticespark.llm import document_fingerprints, quality_classifier, simhash_near_dedup, source_mix, substring_dedup
 from noticespark.llm.common import table
 
 
@@ -15,6 +15,16 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and decision for every document, learnt from ``labels.quality`` of the rows not held out."""
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, sources weighing 5, 2, 1 in code point order."""
+    return source_mix.mix(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its fingerprint and the smallest doc_id of its component (3-word shingles, 2 bits)."""
     return simhash_near_dedup.near_dedup(table(spark, sf_dir, "documents"), shingle=3, radius=2)
@@ -27,6 +37,8 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op6_source_mix": op6_source_mix,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
