@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticespark.llm import document_fingerprints, quality_classifier, simhash_near_dedup, source_mix, substring_dedup
+from noticespark.llm import document_fingerprints, quality_classifier, simhash_near_dedup, source_mix, substring_dedup, toxicity
 from noticespark.llm.common import table
 
 
@@ -30,6 +30,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dedup.near_dedup(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and decision for every document, learnt from ``labels.toxic`` of the rows not held out."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: fingerprints of its text and its edited text, and their likeness."""
     return document_fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
@@ -40,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": op4_quality_classifier,
     "op6_source_mix": op6_source_mix,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
 

@@ -124,7 +124,7 @@ def _first_words(text: pd.Series, n: pd.Series) -> pd.Series:
                 break
             end = m.end()
         out.append((t or "")[:end])
-    return pd.Series(out)
+    return pd.Series(out, dtype=object)
 
 
 def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:

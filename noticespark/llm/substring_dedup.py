@@ -151,7 +151,7 @@ def _without(text: pd.Series, spans: pd.Series) -> pd.Series:
                 at = s["end"]
             t = b"".join([*kept, data[at:]]).decode("utf-8", "surrogatepass")
         out.append(t)
-    return pd.Series(out)
+    return pd.Series(out, dtype=object)
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
