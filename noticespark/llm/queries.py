@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from noticespark.llm import document_fingerprints, quality_classifier, simhash_near_dedup, source_mix, substring_dedup, toxicity
+from noticespark.llm import document_fingerprints, language_id, quality_classifier, simhash_near_dedup, source_mix, substring_dedup, toxicity
 from noticespark.llm.common import table
 
 
@@ -20,6 +21,12 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learnt from ``lang`` of the rows not held out."""
+    found = language_id.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("langs").alias("n_langs"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document, sources weighing 5, 2, 1 in code point order."""
     return source_mix.mix(table(spark, sf_dir, "documents"))
@@ -43,6 +50,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_language_id": op5_language_id,
     "op6_source_mix": op6_source_mix,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_toxicity": op9_toxicity,
