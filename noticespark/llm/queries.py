@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticespark.llm import document_fingerprints, language_id, quality_classifier, simhash_near_dedup, source_mix, substring_dedup, toxicity
+from noticespark.llm import document_fingerprints, language_id, quality_classifier, sentencepiece_codec, simhash_near_dedup, source_mix, substring_dedup, toxicity
 from noticespark.llm.common import table
 
 
@@ -32,6 +32,11 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and whether they decode to it."""
+    return sentencepiece_codec.encoded(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its fingerprint and the smallest doc_id of its component (3-word shingles, 2 bits)."""
     return simhash_near_dedup.near_dedup(table(spark, sf_dir, "documents"), shingle=3, radius=2)
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_language_id": op5_language_id,
     "op6_source_mix": op6_source_mix,
+    "op7_sentencepiece_codec": op7_sentencepiece_codec,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_document_fingerprints": op10_document_fingerprints,
