@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticespark.llm import document_fingerprints, language_id, quality_classifier, sentencepiece_codec, simhash_near_dedup, source_mix, substring_dedup, toxicity
+from noticespark.llm import document_fingerprints, language_id, quality_classifier, sentencepiece_codec, simhash_near_dedup, source_mix, substring_dedup, toxicity, url_filters
 from noticespark.llm.common import table
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the dated list on every page at the day it was fetched; list and days are derived from ``pages``."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filters.verdicts(url_filters.captures_of(pages), url_filters.events_of(pages))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document that loses text: the spans (bytes of the UTF-8 text) whose first copy stays in ``sources``."""
     return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
@@ -53,6 +59,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filters": op2_url_filters,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_language_id": op5_language_id,
@@ -64,4 +71,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL where it can express the query; the others are tested against brute force in tests/llm.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_url_filters": url_filters.ORACLE}
