@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticespark.llm import document_fingerprints, language_id, quality_classifier, sentencepiece_codec, simhash_near_dedup, source_mix, substring_dedup, toxicity, url_filters
+from noticespark.llm import document_fingerprints, embedding_near_dup, language_id, quality_classifier, sentencepiece_codec, simhash_near_dedup, source_mix, substring_dedup, toxicity, url_filters
 from noticespark.llm.common import table
 
 
+def op1_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of at least 0.93 cosine between vectors of one label: their number and the component of every vector."""
+    return embedding_near_dup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of the dated list on every page at the day it was fetched; list and days are derived from ``pages``."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -59,6 +64,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_near_dup": op1_embedding_near_dup,
     "op2_url_filters": op2_url_filters,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_quality_classifier": op4_quality_classifier,
