@@ -50,7 +50,8 @@ def op7_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its fingerprint and the smallest doc_id of its component (3-word shingles, 2 bits)."""
-    return simhash_near_dedup.near_dedup(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    found = simhash_near_dedup.near_dedup(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return found.select("doc_id", "fingerprint", "component_id")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

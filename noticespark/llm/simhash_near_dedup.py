@@ -48,14 +48,15 @@ def simhash64(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` of every whole text; ``fp`` holds the 64 bits as a signed long."""
+    """``(doc_id, text_hash, fp)`` of every whole text; ``fp`` holds the 64 bits as a signed long."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fps = np.array([simhash64(t, shingle) for t in b["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fps})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "text_hash": b["text_hash"], "fp": fps})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
+    return rows.mapInPandas(run, "doc_id long, text_hash long, fp long")
 
 
 def hex16(fp: Column) -> Column:
@@ -181,11 +182,21 @@ def links(fps: DataFrame, radius: int = 2, forest: bool = False) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """``(doc_id, fingerprint, component_id)`` for every row: components of links at most ``radius`` bits apart."""
+    """``(doc_id, fingerprint, component_id, root, text_hash)`` for every row: components of links at most ``radius`` bits
+    apart; ``root`` is a fingerprint that stands for the component."""
     fps = staged(fingerprints(docs, shingle), "simhash")
     groups = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     comp = connected_components(links(fps, radius, forest=True)).withColumnsRenamed({"node": "fp", "component": "root"})
     rooted = staged(groups.join(comp, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root")), "rooted")
     best = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_fp = rooted.select("fp", "root").join(best, "root").select("fp", "component_id")
-    return fps.join(of_fp, "fp").select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+    of_fp = rooted.select("fp", "root").join(best, "root").select("fp", "root", "component_id")
+    return fps.join(of_fp, "fp").select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id", "root", "text_hash")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+    """``docs`` with one row of each component: the smallest ``doc_id`` (null last), of its rows the smallest text hash."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash"))
+    kept = near_dedup(docs, shingle, radius).groupBy("root").agg(first.alias("k")).select("k.*")
+    rows = docs.withColumns({"_no_id": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_hash": F.xxhash64(F.coalesce("text", F.lit("")))})
+    rows = rows.join(kept, (F.col("_no_id") == F.col("no_id")) & (F.col("_id") == F.col("id")) & (F.col("_hash") == kept["text_hash"]), "left_semi")
+    return rows.dropDuplicates(["_no_id", "_id", "_hash"]).select(*docs.columns)
