@@ -6,8 +6,8 @@ both once more as shapes (upper case, other word, symbol; for a pair also whethe
 text's vector has length 1.  Scoring is the sparse dot product of that vector with the weights, over the whole text.
 
 Training takes a bounded sample of the labelled rows (``max_train`` documents, chosen by the hash of their id), so that the
-cost of the sequential updates does not grow with the corpus.  The sample is dealt to at most ``SHARDS`` tasks; each runs
-FTRL-proximal over its share, and the weights are averaged.  The model has at most ``2**BITS`` weights whatever the input.
+cost of the sequential updates does not grow with the corpus: their sparse vectors are made in parallel and meet in one
+task, which runs FTRL-proximal over them.  The model has at most ``2**BITS`` weights whatever the input.
 
 Defined cases: null counts as the empty text, whose score is that of the bias; without labelled rows every score is 0.5; null labels and labels of unknown ids are ignored; several labels of one id count as their mean,
 1 from a half on; documents with a null ``doc_id`` are scored and never learnt from; repeated rows are each scored;
@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from noticespark.llm.common import held_out, staged
 
 BITS = 18
-MAX_TRAIN, SHARDS = 24_000, 6
-ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 0.05, 0.01, 4
+MAX_TRAIN = 16_000
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.05, 0.01
+EPOCHS, UPDATES = 4, 12_000  # passes over the sample: at least so many, and until so many updates were made
 KEEP = 0.7
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _MEMO = 200_000  # token hashes remembered by a task
@@ -69,12 +70,12 @@ def _vectors(rows: DataFrame) -> DataFrame:
         features = Features()
         for b in batches:
             made = [features(t) for t in b["text"]]
-            yield pd.DataFrame({"shard": b["shard"], "turn": b["turn"], "y": b["y"], "index": [i.astype(np.int32) for i, _ in made], "value": [v.astype(np.float32) for _, v in made]})
+            yield pd.DataFrame({"turn": b["turn"], "y": b["y"], "index": [i.astype(np.int32) for i, _ in made], "value": [v.astype(np.float32) for _, v in made]})
 
-    return rows.mapInPandas(run, "shard int, turn long, y double, index array<int>, value array<float>")
+    return rows.mapInPandas(run, "turn long, y double, index array<int>, value array<float>")
 
 
-def ftrl(index: list[np.ndarray], value: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
+def ftrl(index: list[np.ndarray], value: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """FTRL-proximal over the rows in order; the last weight is the bias."""
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
 
@@ -82,7 +83,7 @@ def ftrl(index: list[np.ndarray], value: list[np.ndarray], y: np.ndarray, epochs
         w = -(z[i] - np.sign(z[i]) * L1) / ((BETA + np.sqrt(n[i])) / ALPHA + L2)
         return np.where(np.abs(z[i]) <= L1, 0.0, w)
 
-    for _ in range(epochs):
+    for _ in range(max(EPOCHS, -(-UPDATES // max(1, len(y))))):
         for i, x, t in zip(index, value, y):
             i, x = np.append(i, 1 << BITS), np.append(x, 1.0)
             w = weights(i)
@@ -93,34 +94,29 @@ def ftrl(index: list[np.ndarray], value: list[np.ndarray], y: np.ndarray, epochs
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, max_train: int) -> DataFrame:
-    """``doc_id, text, y, shard, turn`` of the bounded training sample: ids that are not held out, smallest hashes first."""
+    """``doc_id, text, y, turn`` of the bounded training sample: ids that are not held out, smallest hashes first."""
     marks = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id"), modulus, remainder))
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg(label) >= 0.5).cast("double").alias("y"))
     turn = F.xxhash64(F.lit(11), "doc_id")
-    sample = marks.withColumn("turn", turn).withColumn("shard", (F.abs(F.col("turn") % 1000003) % SHARDS).cast("int"))
-    sample = staged(sample.orderBy("turn", "doc_id").limit(max_train), "sample")  # at most max_train narrow rows
+    sample = staged(marks.withColumn("turn", turn).orderBy("turn", "doc_id").limit(max_train), "sample")  # narrow rows
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return texts.join(F.broadcast(sample), "doc_id")
 
 
 def train(sample: DataFrame) -> np.ndarray | None:
-    """Weights averaged over the shards, or None without a labelled row."""
+    """The weights, or None without a labelled row."""
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("turn")
         w = ftrl(list(rows["index"]), list(rows["value"]), rows["y"].to_numpy())
         at = np.flatnonzero(w)
-        return pd.DataFrame({"feature": at, "weight": w[at], "rows": len(rows)})
+        return pd.DataFrame({"feature": at, "weight": w[at]})
 
-    fitted = _vectors(sample).groupBy("shard").applyInPandas(fit, "feature long, weight double, rows long")
-    # At most 2**BITS + 1 rows a shard reach the driver after the sum.
-    total = staged(fitted, "weights")
-    rows = total.groupBy("feature").agg(F.sum(F.col("weight") * F.col("rows")).alias("weight")).toPandas()
-    shares = total.where(F.col("feature") == 1 << BITS).agg(F.sum("rows")).first()[0]
+    rows = _vectors(sample).groupBy().applyInPandas(fit, "feature long, weight double").toPandas()  # at most 2**BITS + 1
     if rows.empty:
         return None
     w = np.zeros((1 << BITS) + 1)
-    w[rows["feature"].to_numpy()] = rows["weight"].to_numpy() / (shares or 1)
+    w[rows["feature"].to_numpy()] = rows["weight"].to_numpy()
     return w
 
 
@@ -141,7 +137,7 @@ def scored(docs: DataFrame, weights: np.ndarray | None, columns: list[str]) -> D
                 out[k] = x @ w[i] + w[-1]
             yield pd.Series(1 / (1 + np.exp(-np.clip(out, -35, 35))))
 
-    return docs.withColumn("_score", score(F.col("text"))).select(*columns, F.col("_score").alias("score"))
+    return docs.select(*columns, score(F.col("text")).alias("score"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:

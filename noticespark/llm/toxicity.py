@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from noticespark.llm.common import held_out, staged
 from noticespark.llm.quality_classifier import labelled
 
-MAX_TRAIN, ENTRIES, LEAST_TOXIC, LEAST_ODDS = 24_000, 2_000, 4, 2.5
+MAX_TRAIN, ENTRIES, LEAST_TOXIC, LEAST_ODDS = 16_000, 2_000, 4, 2.5
 TOXIC = 0.7
 # Fixed words of the transducers (English, German, French, Spanish).
 INSULTS = "idiot moron stupid worthless pathetic trash scum loser disgusting clown imbecile bastard".split()
