@@ -26,6 +26,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def masked(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns c0, c1, ... and the new name of each old one, so that no extra column clashes with a helper's."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """True where crc32 of the id's text leaves ``remainder``; a null id is never held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))

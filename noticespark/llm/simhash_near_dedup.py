@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticespark.llm.common import connected_components, staged
+from noticespark.llm.common import connected_components, masked, staged
 
 #: Fingerprints to a range part, and the bounds of the number of parts (the top nodes are the only thing broadcast).
 PART_ROWS, LEAST_PARTS, MOST_PARTS = 8_192, 64, 65_536
@@ -197,6 +197,7 @@ def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame
     """``docs`` with one row of each component: the smallest ``doc_id`` (null last), of its rows the smallest text hash."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash"))
     kept = near_dedup(docs, shingle, radius).groupBy("root").agg(first.alias("k")).select("k.*")
-    rows = docs.withColumns({"_no_id": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_hash": F.xxhash64(F.coalesce("text", F.lit("")))})
-    rows = rows.join(kept, (F.col("_no_id") == F.col("no_id")) & (F.col("_id") == F.col("id")) & (F.col("_hash") == kept["text_hash"]), "left_semi")
-    return rows.dropDuplicates(["_no_id", "_id", "_hash"]).select(*docs.columns)
+    rows, at = masked(docs)
+    rows = rows.withColumns({"_no_id": F.col(at["doc_id"]).isNull(), "_id": F.coalesce(F.col(at["doc_id"]).cast("long"), F.lit(0)), "_hash": F.xxhash64(F.coalesce(at["text"], F.lit("")))})
+    rows = rows.join(kept, (F.col("_no_id") == F.col("no_id")) & (F.col("_id") == F.col("id")) & (F.col("_hash") == F.col("text_hash")), "left_semi")
+    return rows.dropDuplicates(["_no_id", "_id", "_hash"]).select(*[F.col(c).alias(name) for name, c in at.items()])

@@ -26,14 +26,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticespark.llm.common import global_index, staged
+from noticespark.llm.common import global_index, masked, staged
 
 WEIGHTS, SHARE, MOST, SEED = (5, 2, 1), 1.5, 2.0, 7
 BUCKETS = 4_096
 _PUNCT = bytes(i for i in range(33, 127) if not chr(i).isalnum())
 
 
-@F.pandas_udf("size long, quality double")
+@F.pandas_udf(T.StructType().add("size", T.LongType()).add("quality", T.DoubleType()))
 def _measured(text: pd.Series) -> pd.DataFrame:
     """Words of the whole text, and a quality weight from 0.1 to 1: the share of its bytes that are not punctuation or space."""
     size, quality = np.zeros(len(text), np.int64), np.full(len(text), 0.1)
@@ -45,14 +45,13 @@ def _measured(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"size": size, "quality": quality})
 
 
-def keyed(docs: DataFrame, seed: int = SEED) -> DataFrame:
+def keyed(docs: DataFrame, seed: int = SEED, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``_size``, the sampling key ``_key``, the tie ``_tie`` and the key's ``_bucket``."""
-    measured = docs.withColumn("_m", _measured(F.col("text")))
-    tie = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit("")))
-    u = (F.shiftrightunsigned(tie, 11).cast("double") + 0.5) / float(1 << 53)
-    key = -F.log(u) / F.col("_m.quality")
+    measured = docs.withColumn("_m", _measured(F.col(text)))
+    tie = F.xxhash64(F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.coalesce(text, F.lit("")))
+    u = (F.shiftrightunsigned(F.col("_tie"), 11).cast("double") + 0.5) / float(1 << 53)
     bucket = F.least(F.lit(BUCKETS - 1), F.floor((1 - F.exp(-F.col("_key") / 2)) * BUCKETS)).cast("int")  # rises with the key
-    return measured.select(*docs.columns, F.col("_m.size").alias("_size"), tie.alias("_tie"), key.alias("_key")).withColumn("_bucket", bucket)
+    return measured.withColumn("_tie", tie).select(*docs.columns, F.col("_m.size").alias("_size"), "_tie", (-F.log(u) / F.col("_m.quality")).alias("_key")).withColumn("_bucket", bucket)
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -129,12 +128,14 @@ def _first_words(text: pd.Series, n: pd.Series) -> pd.Series:
 
 def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The mix itself: the columns of ``docs``, a row for each time a document is taken, a last part cut at a word's end."""
-    rows = keyed(docs, seed)
-    narrow = staged(rows.select("source", "_size", "_key", "_tie", "_bucket"), "keyed")
+    plain, at = masked(docs)
+    rows = keyed(plain, seed, at["doc_id"], at["text"])
+    narrow = staged(rows.select(F.col(at["source"]).alias("source"), "_size", "_key", "_tie", "_bucket"), "keyed")
     plan = staged(border(narrow, targets(narrow.groupBy("source").agg(F.sum("_size").alias("source_size")))), "borders")
-    both = rows.join(plan.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
+    both = rows.join(plan.withColumnRenamed("source", "_source"), F.col(at["source"]).eqNullSafe(F.col("_source")))
     both = both.withColumn("_taken", _taken()).where("_taken > 0")
     both = both.withColumn("_part", F.expr("_taken % _size")).withColumn("_times", F.expr("cast(_taken div _size + if(_taken % _size > 0, 1, 0) as int)"))
     each = both.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    cut = F.when((F.col("_i") == F.col("_times")) & (F.col("_part") > 0), _first_words(F.col("text"), F.col("_part"))).otherwise(F.col("text"))
-    return each.select(*[cut.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    text = F.col(at["text"])
+    cut = F.when((F.col("_i") == F.col("_times")) & (F.col("_part") > 0), _first_words(text, F.col("_part"))).otherwise(text)
+    return each.select(*[(cut if name == "text" else F.col(c)).alias(name) for name, c in at.items()])

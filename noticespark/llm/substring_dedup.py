@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticespark.llm.common import staged
+from noticespark.llm.common import masked, staged
 
 MIN_BYTES, MAX_BYTES, MASK = 16, 512, 3  # after the least size one word start in four is a cut
 MIN_WORDS = 20
@@ -156,7 +156,9 @@ def _without(text: pd.Series, spans: pd.Series) -> pd.Series:
 
 def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` with the spans cut out of ``text``; the other columns are unchanged."""
+    rows, at = masked(docs)
     found = spans.select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
-    joined = docs.join(found, docs["doc_id"] == found["_id"], "left")
-    cut = F.when(F.col("_spans").isNotNull(), _without(docs["text"], F.col("_spans"))).otherwise(docs["text"])
-    return joined.select(*[cut.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    joined = rows.join(found, F.col(at["doc_id"]) == F.col("_id"), "left")
+    text = F.col(at["text"])
+    cut = F.when(F.col("_spans").isNotNull(), _without(text, F.col("_spans"))).otherwise(text)
+    return joined.select(*[(cut if name == "text" else F.col(c)).alias(name) for name, c in at.items()])
