@@ -84,11 +84,14 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     n = placed.count()
     after = placed.select(((F.col("idx") + (n - 1)) % max(n, 1)).alias("idx"), F.col("no_id").alias("next_no_id"), F.col("id").alias("next_id"), F.col("h").alias("next_h"))
     pairs = staged(placed.join(after, "idx").drop("idx"), "pairs")
-    heads = whole.select("text", F.col("no_id").alias("next_no_id"), F.col("id").alias("next_id"), F.col("h").alias("next_h"))
-    heads = heads.join(pairs, ["next_no_id", "next_id", "next_h"])
     third = F.floor(F.col("n_chars") / 3).cast("int")
-    heads = heads.groupBy("no_id", "id", "h", "next_no_id", "next_id", "next_h").agg(F.min(F.substring("text", F.lit(1), third)).alias("head"))
-    both = whole.join(heads, ["no_id", "id", "h"])
+    # The texts are shuffled once: both joins below read the same exchange of (no_id, id, h, text).
+    texts = whole.select("no_id", "id", "h", "text")
+    of_next = pairs.withColumnsRenamed({"no_id": "prev_no_id", "id": "prev_id", "h": "prev_h"}).withColumnsRenamed({"next_no_id": "no_id", "next_id": "id", "next_h": "h"})
+    heads = texts.join(of_next, ["no_id", "id", "h"]).withColumnsRenamed({"no_id": "next_no_id", "id": "next_id", "h": "next_h"})
+    heads = heads.withColumnsRenamed({"prev_no_id": "no_id", "prev_id": "id", "prev_h": "h"})
+    heads = heads.groupBy("no_id", "id", "h", "n_chars", "next_no_id", "next_id", "next_h").agg(F.min(F.substring("text", F.lit(1), third)).alias("head"))
+    both = texts.join(heads, ["no_id", "id", "h"])
     cut = F.substring("text", F.lit(1), (F.col("n_chars") - third).cast("int"))
     return both.withColumn("edited", F.concat(cut, "head")).drop("head")
 
