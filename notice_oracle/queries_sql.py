@@ -113,6 +113,17 @@ NOTITLE_EDGES = ("edges_nt", f"""
                                       CASE WHEN dp > 0 THEN 'date_proximity' END], lambda x: x IS NOT NULL), ',') AS factors
   FROM ({PAIR_PARTS.format(pairs='dn_pairs')}) WHERE {CONF} >= 0.5""")
 EDGEX = [NEWL, OTHER, DN_PAIRS, NOTITLE_EDGES]
+# every pair that can reach 0.5: a number match, or Jaccard >= 2/3 with equal titles or dates less than 30 days apart
+REACH = ("reach", """
+  SELECT new_id, id FROM dn_pairs UNION
+  SELECT n.id, o.id
+  FROM (SELECT DISTINCT a.id AS a_id, b.id AS b_id
+        FROM (SELECT id, unnest(codes) AS code FROM newl) a JOIN (SELECT id, unnest(codes) AS code FROM other) b ON a.code = b.code) s
+  JOIN newl n ON n.id = s.a_id JOIN other o ON o.id = s.b_id
+  WHERE len(list_intersect(n.codes, o.codes))::DOUBLE / len(list_distinct(list_concat(n.codes, o.codes)))::DOUBLE >= 0.666666665
+    AND ((n.title_norm <> '' AND lower(n.title_norm) = lower(o.title_norm))
+         OR abs(CAST(n.pub_iso AS DATE) - CAST(o.pub_iso AS DATE)) < 30)""")
+REACHX = [NEWL, OTHER, DN_PAIRS, REACH]
 
 # ----------------------------------------------------------------- Q: pipelines
 
@@ -174,8 +185,7 @@ def resolved(h, base):
 
 SQL["pdf_links"] = with_ctes(f"""
 SELECT page_id, (r - 1)::INTEGER AS pdf_pos, {resolved('href', 'https://ustr.gov')} AS pdf_url FROM (
-  SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY k) AS r FROM listing WHERE ends_with(href, '.pdf'))
-WHERE r <= 2""", [LISTING])
+  SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY k) AS r FROM listing WHERE ends_with(href, '.pdf'))""", [LISTING])
 reg("scan_events", "SELECT id, source, content_hash, k::BIGINT AS ingest_seq FROM store")
 reg("event_by_hash", """
 SELECT d.k::BIGINT AS arrival_seq, s.id, s.source FROM docs4 d JOIN store s ON s.content_hash = d.content_hash
@@ -226,9 +236,13 @@ SQL["cbp_keyword_filter"] = with_ctes(f"""
 SELECT page_id, pos, title, {resolved('href', 'https://www.cbp.gov')} AS url, CAST(k AS VARCHAR) AS csms_number
 FROM listing_cbp WHERE k % 4 = 0 AND contains(lower(href), 'csms')""", [LISTING, LISTING_CBP])
 reg("linkable_docs", "SELECT id, len(codes)::INTEGER AS n_codes FROM newl", [NEWL])
-reg("other_source", "SELECT o.source, count(*) AS pairs FROM cands c JOIN other o ON o.id = c.id GROUP BY o.source", LINKX)
-reg("jsonb_containment", "SELECT new_id, id FROM code_br", LINKX)
-reg("date_band", "SELECT new_id, id FROM band_br", LINKX)
+reg("other_source", "SELECT o.source, count(*) * (SELECT count(*) FROM newl) AS pairs FROM other o GROUP BY o.source", [NEWL, OTHER])
+reg("jsonb_containment", """
+SELECT n.id, list_has_any(n.codes, (SELECT list(DISTINCT code) FROM (SELECT unnest(codes) AS code FROM other))) AS shares FROM newl n""", [NEWL, OTHER])
+reg("date_band", """
+SELECT n.id, coalesce(d.near, 0)::BIGINT AS near FROM newl n LEFT JOIN (
+  SELECT x.pub_iso, count(*) AS near FROM (SELECT DISTINCT pub_iso FROM newl) x
+  JOIN other o ON abs(CAST(o.pub_iso AS DATE) - CAST(x.pub_iso AS DATE)) < 30 GROUP BY x.pub_iso) d ON d.pub_iso = n.pub_iso""", [NEWL, OTHER])
 
 # ----------------------------------------------------------------- J: joins
 
@@ -259,7 +273,7 @@ FROM (SELECT s_suppkey, CASE s_suppkey % 8 WHEN 0 THEN 'China' WHEN 1 THEN 'mexi
 reg("source_relationship", """
 SELECT c.new_id, c.id, CASE o.source WHEN 'ustr' THEN 'policy_context' WHEN 'cbp_csms' THEN 'implementation' ELSE 'related' END
        AS relationship
-FROM cands c JOIN other o ON o.id = c.id""", LINKX)
+FROM reach c JOIN other o ON o.id = c.id""", REACHX)
 
 # ----------------------------------------------------------------- A: aggregations
 
@@ -296,7 +310,7 @@ SELECT c.new_id, c.id,
        CASE WHEN len(n.codes) > 0 AND len(o.codes) > 0
             THEN len(list_intersect(n.codes, o.codes))::DOUBLE / len(list_distinct(list_concat(n.codes, o.codes)))::DOUBLE
             ELSE 0.0::DOUBLE END AS jaccard
-FROM cands c JOIN newl n ON n.id = c.new_id JOIN other o ON o.id = c.id""", LINKX)
+FROM reach c JOIN newl n ON n.id = c.new_id JOIN other o ON o.id = c.id""", REACHX)
 reg("dedup_within_batch", """
 SELECT seq::BIGINT AS arrival_seq, content_hash FROM (
   SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY seq) AS r FROM (
@@ -352,8 +366,9 @@ GROUP BY page_id""", [LISTING])
 reg("top5_candidates", "SELECT new_id, id, cand_rank::INTEGER AS cand_rank FROM cands", LINKX)
 reg("rank_matches", """
 SELECT parent_event_id, related_event_id, confidence_raw,
-       row_number() OVER (PARTITION BY parent_event_id ORDER BY confidence_raw DESC, related_event_id)::INTEGER AS match_rank
-FROM edges_nt""", EDGEX)
+       row_number() OVER (PARTITION BY parent_event_id ORDER BY round_even(confidence_raw, 2) DESC, o.ingestion_timestamp DESC, o.k DESC,
+                          related_event_id)::INTEGER AS match_rank
+FROM edges_nt e JOIN other o ON o.id = e.related_event_id""", EDGEX)
 reg("first5_sorted_codes", """
 SELECT k, array_to_string(list_slice(list_sort(list(substr(code, 1, 7))), 1, 5), ',') AS first5
 FROM (SELECT DISTINCT k, code FROM page_lines) GROUP BY k""")
@@ -441,7 +456,7 @@ SELECT k, valid, (CASE WHEN valid THEN 0 ELSE 1 END)::INTEGER AS n_errors, (CASE
          AS messages
 FROM scases""", [SCORE_CASES])
 reg("date_proximity", f"""
-SELECT new_id, id, dp AS proximity FROM ({PAIR_PARTS.format(pairs='cands')})""", LINKX)
+SELECT new_id, id, dp AS proximity FROM ({PAIR_PARTS.format(pairs='reach')})""", REACHX)
 
 # ----------------------------------------------------------------- C: validation / scoring / hashing
 
@@ -485,7 +500,7 @@ SELECT id, md5('{"hts_codes": [' || coalesce(array_to_string(list_transform(list
 FROM store""")
 reg("link_confidence", f"""
 SELECT new_id AS parent_event_id, id AS related_event_id, {CONF} AS confidence_raw, dn, j, dp
-FROM ({PAIR_PARTS.format(pairs='cands')})""", LINKX)
+FROM ({PAIR_PARTS.format(pairs='reach')})""", REACHX)
 reg("relationship_type", "SELECT parent_event_id, related_event_id, relationship_type, factors FROM edges_nt", EDGEX)
 
 # ----------------------------------------------------------------- K: constraints / rules

@@ -6,19 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import constants as K
-
-
-def strip_ws(s: Column) -> Column:
-    """Python ``str.strip()`` with its whitespace set."""
-    return F.regexp_replace(s, "^" + K.WS + "+|" + K.WS + "+$", "")
+from .text import collapse_ws
 
 
 def parse_date(s: Column) -> Column:
     """First of the five accepted formats that parses -> DATE, else NULL.
 
-    Compact dates need exactly eight digits (documented deviation).
+    Whitespace is collapsed first; compact dates need exactly eight digits (documented deviation).
     """
-    t = strip_ws(s)
+    t = collapse_ws(s)
     tries = []
     for fmt in K.DATE_FORMATS:
         parsed = F.to_date(F.try_to_timestamp(t, F.lit(fmt)))

@@ -23,7 +23,7 @@ def _escape_unit(hex4: Column) -> Column:
         e = F.when(v == code, F.lit(rep)) if e is None else e.when(v == code, F.lit(rep))
     return (
         e.when(v < 0x20, F.concat(F.lit("\\u"), F.lower(hex4)))
-        .when(v < 0x80, F.chr(v))
+        .when(v < 0x7F, F.chr(v))
         .otherwise(F.concat(F.lit("\\u"), F.lower(hex4)))
     )
 

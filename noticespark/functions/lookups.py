@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import constants as K
-from .dates import strip_ws
+from .text import strip_ws
 
 
 def _map(pairs) -> Column:

@@ -1,22 +1,21 @@
 """Text, regex and HTML expressions (Column -> Column), all built-in.
 
 HTML handling is a regular-expression job over the page string: it supports
-well-formed, non-nested tables and subtrees (the landed pages' shape), which
-keeps the work inside the JVM instead of a per-row DOM parser.
+well-formed, non-nested tables and nested divs, which keeps the work inside the
+JVM instead of a per-row DOM parser.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import constants as K
 
-# FIXED VALUES: the named entities decoded by html_text ('&amp;' must stay last).
-HTML_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
-]
+#: A tag starts with a letter, '/', '!' or '?'; any other '<' is text.
+TAG = r"(?s)<[a-zA-Z/!?][^>]*>"
 
 DROPPED_SUBTREES = ["script", "style", "nav", "header", "footer"]
 
@@ -31,10 +30,21 @@ def strip_ws(s: Column) -> Column:
     return F.regexp_replace(s, "^" + K.WS + "+|" + K.WS + "+$", "")
 
 
+def _decode_entity(e: Column) -> Column:
+    """One piece of text; ``&name;``, ``&#n;`` and ``&#xh;`` become their character, anything else stays."""
+    names = F.create_map(*[F.lit(x) for n, c in sorted(name2codepoint.items()) for x in (f"&{n};", chr(c))], F.lit("&apos;"), F.lit("'"))
+    digits = F.when(e.rlike("^&#[0-9]{1,7};$"), F.conv(F.regexp_extract(e, "([0-9]+)", 1), 10, 16)).when(
+        e.rlike("^&#[xX][0-9a-fA-F]{1,6};$"), F.regexp_extract(e, "[xX]([0-9a-fA-F]+)", 1))
+    point = F.conv(digits, 16, 10).cast("int")
+    known = (point > 0) & (point < 0x110000) & ~point.between(0xD800, 0xDFFF)
+    char = F.when(known, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))
+    return F.when(~e.startswith("&"), e).otherwise(F.coalesce(F.try_element_at(names, e), char, e))
+
+
 def decode_entities(s: Column) -> Column:
-    for ent, ch in HTML_ENTITIES:
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    return s
+    """Named (the standard library's table) and numeric character references; texts without '&' are left alone."""
+    pieces = F.regexp_extract_all(s, F.lit("&#?[a-zA-Z0-9]+;|[^&]+|&"), 0)
+    return F.when(F.contains(s, F.lit("&")), F.array_join(F.transform(pieces, _decode_entity), "")).otherwise(s)
 
 
 def _drop_markup(html: Column) -> Column:
@@ -46,8 +56,12 @@ def _drop_markup(html: Column) -> Column:
 
 def strip_tags_text(fragment: Column) -> Column:
     """get_text(separator=' ', strip=True) of a fragment, whitespace collapsed."""
-    t = F.regexp_replace(fragment, r"(?s)<[^>]*>", " ")
-    return collapse_ws(decode_entities(t))
+    return collapse_ws(decode_entities(F.regexp_replace(fragment, TAG, " ")))
+
+
+def joined_text(fragment: Column) -> Column:
+    """get_text(strip=True) of a fragment: every text node stripped, joined without a separator."""
+    return F.array_join(F.transform(F.split(fragment, TAG, -1), lambda x: strip_ws(decode_entities(x))), "")
 
 
 def html_text(html: Column) -> Column:
@@ -56,12 +70,8 @@ def html_text(html: Column) -> Column:
 
 
 def html_code_text(html: Column) -> Column:
-    """Text for code extraction only: subtrees dropped and tags blanked, no decoding or collapsing.
-
-    Equivalent to ``html_text`` for the code patterns: every decoded entity and every
-    whitespace run is a non-word character either way, so code boundaries are the same.
-    """
-    return F.regexp_replace(_drop_markup(F.coalesce(html, F.lit(""))), r"<[^>]*>", " ")
+    """Text for code extraction only: like ``html_text`` without collapsing (a whitespace run is one boundary either way)."""
+    return decode_entities(F.regexp_replace(_drop_markup(F.coalesce(html, F.lit(""))), TAG, " "))
 
 
 def html_tables(html: Column) -> Column:
@@ -75,7 +85,7 @@ def html_tables(html: Column) -> Column:
             rows,
             lambda r: F.transform(
                 F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), 1),
-                lambda c: strip_ws(decode_entities(F.regexp_replace(c, r"(?s)<[^>]*>", ""))),
+                joined_text,
             ),
         )
         return F.filter(cells, lambda r: F.size(r) > 0)
@@ -90,37 +100,55 @@ def main_content_article(html: Column) -> Column:
     return strip_tags_text(inner)
 
 
+_DIV = r"(?is)<div\b[^>]*>|</div\s*>"
+
+
+def _div_text(html: Column, opening: str) -> Column:
+    """Text of the first div whose start tag matches ``opening``, up to its own end tag; NULL without one.
+
+    The end is found by nesting depth over the div tags that follow; an unclosed div reaches to the end.
+    """
+    rest = F.regexp_extract(html, f"(?is){opening}(.*)$", 1)
+
+    def step(acc, tag):
+        deeper = F.struct((acc.getField("depth") + F.when(tag.startswith("</"), -1).otherwise(1)).alias("depth"), (acc.getField("n") + 1).alias("n"))
+        return F.when(acc.getField("depth") == 0, acc).otherwise(deeper)
+
+    walked = F.aggregate(F.regexp_extract_all(rest, F.lit(_DIV), 0), F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")), step)
+    pieces = F.split(rest, _DIV, -1)
+    inside = F.when(walked.getField("depth") == 0, walked.getField("n")).otherwise(F.size(pieces))
+    return F.when(html.rlike(f"(?is){opening}"), strip_tags_text(F.array_join(F.slice(pieces, 1, inside), " ")))
+
+
+def _div_class(name: str) -> str:
+    return rf"<div\b[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{name}(?:\s[^\"']*)?[\"'][^>]*>"
+
+
 def main_content_ustr(html: Column) -> Column:
-    """X3 (USTR): first div.field-item (non-nested) else first article, else ''."""
-    div = F.regexp_extract(
-        F.coalesce(html, F.lit("")),
-        r"(?is)<div\b[^>]*\bclass\s*=\s*[\"'][^\"']*\bfield-item\b[^\"']*[\"'][^>]*>((?:(?!<div\b).)*?)</div\s*>", 1)
-    has_div = F.coalesce(html, F.lit("")).rlike(r"(?is)<div\b[^>]*\bclass\s*=\s*[\"'][^\"']*\bfield-item\b")
-    return F.when(has_div, strip_tags_text(div)).otherwise(main_content_article(html))
+    """X3 (USTR): first div.field-item, else first article, else ''."""
+    h = F.coalesce(html, F.lit(""))
+    return F.coalesce(_div_text(h, _div_class("field-item")), main_content_article(h))
 
 
 def main_content_cbp(html: Column) -> Column:
-    """X3 (CBP): first div.bulletin-content else div#content (non-nested), else ''."""
+    """X3 (CBP): first div.bulletin-content, else div#content, else ''."""
     h = F.coalesce(html, F.lit(""))
-    bul_re = r"(?is)<div\b[^>]*\bclass\s*=\s*[\"'][^\"']*\bbulletin-content\b[^\"']*[\"'][^>]*>((?:(?!<div\b).)*?)</div\s*>"
-    id_re = r"(?is)<div\b[^>]*\bid\s*=\s*[\"']content[\"'][^>]*>((?:(?!<div\b).)*?)</div\s*>"
-    return (
-        F.when(h.rlike(r"(?is)<div\b[^>]*\bclass\s*=\s*[\"'][^\"']*\bbulletin-content\b"), strip_tags_text(F.regexp_extract(h, bul_re, 1)))
-        .when(h.rlike(r"(?is)<div\b[^>]*\bid\s*=\s*[\"']content[\"']"), strip_tags_text(F.regexp_extract(h, id_re, 1)))
-        .otherwise(F.lit(""))
-    )
+    by_id = r"<div\b[^>]*\bid\s*=\s*[\"']?content[\"']?(?:\s[^>]*)?>"
+    return F.coalesce(_div_text(h, _div_class("bulletin-content")), _div_text(h, by_id), F.lit(""))
+
+
+_LINK = r"""<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>"""
 
 
 def anchors(html: Column) -> Column:
-    """S5 helper: array<struct<href, text>> of all <a href> in document order."""
-    a = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"(?is)<a\b[^>]*\bhref\s*=\s*\"[^\"]*\"[^>]*>.*?</a\s*>"), 0)
-    return F.transform(
-        a,
-        lambda x: F.struct(
-            decode_entities(F.regexp_extract(x, r"(?is)^<a\b[^>]*\bhref\s*=\s*\"([^\"]*)\"", 1)).alias("href"),
-            strip_tags_text(F.regexp_extract(x, r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1)).alias("text"),
-        ),
-    )
+    """S5 helper: array<struct<href, text>> of all <a href> (quoted either way or bare) in document order."""
+    found = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(f"(?is){_LINK}.*?</a\\s*>"), 0)
+
+    def one(x):
+        href = F.concat(*[F.regexp_extract(x, f"(?is)^{_LINK}", i) for i in (1, 2, 3)])
+        return F.struct(decode_entities(href).alias("href"), joined_text(F.regexp_extract(x, r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1)).alias("text"))
+
+    return F.transform(found, one)
 
 
 def resolve_url(href: Column, base_url: str) -> Column:
@@ -183,26 +211,23 @@ def rate_mentions(text: Column) -> Column:
         matches = F.regexp_extract_all(t, F.lit(pat), 0)
         values = F.regexp_extract_all(t, F.lit(pat), 1)
         pieces = F.split(t, pat, -1)
-        lens = F.transform(pieces, lambda p: F.length(p))
-        mlens = F.transform(matches, lambda m: F.length(m))
-
-        def make_one(values, lens, mlens):
-            return lambda m, i: _mention(t, m, i, values, lens, mlens)
-
-        out.append(F.transform(matches, make_one(values, lens, mlens)))
+        gaps = F.transform(pieces, F.length)
+        mlens = F.concat(F.transform(matches, F.length), F.array(F.lit(0)))
+        # starts[i]: where gap i ends, that is where match i starts; one running sum per pattern.
+        starts = F.aggregate(
+            F.arrays_zip(gaps.alias("g"), mlens.alias("m")),
+            F.struct(F.array().cast("array<int>").alias("at"), F.lit(0).alias("pos")),
+            lambda acc, x: F.struct(
+                F.concat(acc.getField("at"), F.array(acc.getField("pos") + x.getField("g"))).alias("at"),
+                (acc.getField("pos") + x.getField("g") + x.getField("m")).alias("pos")),
+            lambda acc: acc.getField("at"))
+        out.append(F.transform(F.arrays_zip(matches.alias("m"), F.slice(starts, 1, F.size(matches)).alias("s"), values.alias("v")),
+                               lambda z: _mention(t, z.getField("m"), z.getField("s"), z.getField("v"))))
     return F.concat(*out)
 
 
-def _mention(t, m, i, values, lens, mlens):
-    """One match: start = sum of the first i+1 gap lengths and the first i match lengths."""
-    start0 = F.aggregate(F.slice(F.concat(lens, F.array(F.lit(0))), 1, i + 1), F.lit(0), lambda a, b: a + b) + \
-        F.aggregate(F.slice(F.concat(mlens, F.array(F.lit(0))), 1, i), F.lit(0), lambda a, b: a + b)
-    end0 = start0 + F.length(m)
+def _mention(t, m, start0, value):
+    """One match and up to ``RATE_CONTEXT_CHARS`` characters on either side."""
     cs = F.greatest(F.lit(0), start0 - K.RATE_CONTEXT_CHARS)
-    ce = F.least(F.length(t), end0 + K.RATE_CONTEXT_CHARS)
-    return F.struct(
-        m.alias("rate_text"),
-        F.element_at(values, i + 1).alias("value"),
-        strip_ws(F.substring(t, cs + 1, ce - cs)).alias("context"),
-        start0.alias("start"),
-    )
+    ce = F.least(F.length(t), start0 + F.length(m) + K.RATE_CONTEXT_CHARS)
+    return F.struct(m.alias("rate_text"), value.alias("value"), strip_ws(F.substring(t, cs + 1, ce - cs)).alias("context"), start0.alias("start"))

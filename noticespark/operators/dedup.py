@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import identity as I
-from ..functions.similarity import doc_similarity, dup_code_overlap, jaccard, title_ratio
+from ..functions.similarity import doc_similarity, dup_code_overlap, jaccard, ratio_upper_bound, title_ratio
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
@@ -47,21 +47,35 @@ def pre_dedup_hash(docs: DataFrame) -> DataFrame:
         F.array().cast("array<string>")))
 
 
+def skip_seen_urls(docs: DataFrame, store: DataFrame) -> DataFrame:
+    """J2 as it is meant: drop documents whose (source, url) a stored event of the source already has.
+
+    Off by default in the pipelines; placed before any page is read.  Documents without a URL are kept.
+    """
+    key = lambda source, url: F.sha2(F.concat_ws("\x1f", source, url), 256)
+    seen = store.select(key(F.col("source"), F.col("data.source_url")).alias("_seen")).where(F.col("data.source_url").isNotNull()).distinct()
+    fresh = docs.join(seen, key(F.col("source"), F.col("source_url")) == F.col("_seen"), "left_anti")
+    return fresh
+
+
 def dedup_within_batch(docs: DataFrame, order_col: str = "arrival_seq", keys: list[str] | None = None) -> DataFrame:
     """First document per content_hash in arrival order wins (skew-safe ``min_by``)."""
     return first_per_key(docs, keys or ["content_hash"], [order_col])
 
 
-def edge_upsert_ignore(new_edges: DataFrame, existing_edges: DataFrame | None = None,
-                       order_cols=("confidence_raw",)) -> DataFrame:
-    """ON CONFLICT (parent, related) DO NOTHING — existing wins, then the best new row wins."""
+def edge_upsert_ignore(new_edges: DataFrame, existing_edges: DataFrame | None = None, arrival: str = "match_rank") -> DataFrame:
+    """ON CONFLICT (parent, related) DO NOTHING — a stored edge wins, then the new row that arrives first.
+
+    ``arrival`` is the order of insertion (the match rank within a parent); the other columns break ties, so the
+    result does not depend on the partitioning.
+    """
     keys = ["parent_event_id", "related_event_id"]
     cols = [c for c in new_edges.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in order_cols])
-    out = (new_edges.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_b"))
+    order = F.struct(*[F.col(c) for c in [*[c for c in cols if c == arrival], *sorted(c for c in cols if c != arrival)]])
+    out = (new_edges.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_b"))
            .select(*keys, "_b.*").select(*new_edges.columns))
     if existing_edges is not None:
-        out = out.join(existing_edges.select("parent_event_id", "related_event_id"), ["parent_event_id", "related_event_id"], "left_anti")
+        out = out.join(existing_edges.select(*keys), keys, "left_anti")
     return out
 
 
@@ -72,7 +86,8 @@ def _prefix_tokens(codes):
     return F.slice(toks, 1, F.greatest(F.lit(0), n - F.ceil(n / F.lit(2.0)).cast("int") + 1))
 
 
-def near_duplicates(new: DataFrame, existing: DataFrame, with_title: bool = True) -> DataFrame:
+def near_duplicates(new: DataFrame, existing: DataFrame, with_title: bool = True,
+                    threshold: float = K.DUPLICATE_THRESHOLD) -> DataFrame:
     """J6 + C10 + W5: pairs with similarity >= 0.85.
 
     Without equal FR numbers the score is at most 0.6, and with them the code
@@ -93,13 +108,18 @@ def near_duplicates(new: DataFrame, existing: DataFrame, with_title: bool = True
              .drop("_tok").dropDuplicates(["new_id", "existing_id"]))
     pairs = pairs.withColumn("overlap", dup_code_overlap(F.col("a_codes"), F.col("b_codes")))
     if with_title:
-        has_t = (F.length("a_title") > 0) & (F.length("b_title") > 0)
-        pairs = pairs.withColumn("title_ratio", F.when(has_t, title_ratio(F.col("a_title"), F.col("b_title"))))
+        # The UDF sees only titles that differ and whose length bound can still lift the pair to the threshold.
+        la, lb = F.lower("a_title"), F.lower("b_title")
+        has_t = F.coalesce((F.length("a_title") > 0) & (F.length("b_title") > 0), F.lit(False))
+        best = doc_similarity(F.col("fr_document_number"), F.col("fr_document_number"), F.col("overlap"), ratio_upper_bound(la, lb), F.col("a_date"), F.col("b_date"))
+        need = has_t & (la != lb) & (best >= threshold - 1e-9)
+        ratio = F.when(la == lb, F.lit(1.0)).when(need, title_ratio(F.col("a_title"), F.col("b_title"), need)).otherwise(F.lit(0.0))
+        pairs = pairs.withColumn("title_ratio", F.when(has_t, ratio))
     else:
         pairs = pairs.withColumn("title_ratio", F.lit(None).cast("double"))
     sim = doc_similarity(F.col("fr_document_number"), F.col("fr_document_number"), F.col("overlap"),
                          F.col("title_ratio"), F.col("a_date"), F.col("b_date"))
-    return pairs.withColumn("similarity", sim).where(F.col("similarity") >= K.DUPLICATE_THRESHOLD).select(
+    return pairs.withColumn("similarity", sim).where(F.col("similarity") >= threshold).select(
         "new_id", "existing_id", "fr_document_number", "similarity")
 
 

@@ -38,8 +38,29 @@ def page_facts(pages: DataFrame, source: str | None = None) -> DataFrame:
         eff_col = eff
     else:
         eff_col = F.lit(None).cast("string")
-    return pages.select(F.col("url").alias("_page_url"), C.html_hts_codes(html_code_text(h)).alias("_codes"),
-                        eff_col.alias("_eff"))
+    # A URL may have landed more than once: its latest capture counts (the largest html hash where no time is kept).
+    latest = F.struct(*[F.col(c) for c in ("captured_at",) if c in pages.columns], F.xxhash64(h))
+    facts = pages.select(F.col("url").alias("_page_url"), C.html_hts_codes(html_code_text(h)).alias("_codes"),
+                         eff_col.alias("_eff"), latest.alias("_at"))
+    best = facts.groupBy("_page_url").agg(F.max_by(F.struct("_codes", "_eff"), "_at").alias("_f"))   # narrow, partial
+    return best.select("_page_url", "_f._codes", "_f._eff")
+
+
+#: Largest list of batch URLs or keys that is broadcast to prune the landing zone.
+MOST_BROADCAST_KEYS = 500_000
+
+
+def of_batch(landed: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows of a landed table whose ``column`` is in the one-column (staged) ``keys``, before anything is extracted.
+
+    The list is counted first: up to ``MOST_BROADCAST_KEYS`` it is broadcast, so bodies outside the batch are neither
+    parsed nor shuffled.  A longer list means a batch about as large as the zone; then the whole zone is extracted and
+    the join that follows drops the rest.
+    """
+    if keys.count() > MOST_BROADCAST_KEYS:
+        return landed
+    listed = keys.select(F.col(keys.columns[0]).alias("_listed")).distinct()
+    return landed.join(F.broadcast(listed), F.col(column) == F.col("_listed"), "left_semi")
 
 
 def attach_pages(docs: DataFrame, pages: DataFrame, source: str | None = None) -> DataFrame:

@@ -30,8 +30,10 @@ from ..functions.dates import date_proximity
 from ..functions.similarity import (docnum_match, jaccard, link_confidence, matching_factors, ratio_upper_bound,
                                     relationship_type, title_ratio)
 
-def _newest():
-    return [F.col("ingestion_timestamp").desc(), F.col("ingest_seq").desc(), F.col("id")]
+def _newest(id_col: str = "id"):
+    return [F.col("ingestion_timestamp").desc(), F.col("ingest_seq").desc(), F.col(id_col)]
+
+
 BAND = K.DATE_WINDOW_DAYS - 1   # |diff| < 30 days  <=>  |diff| <= 29 whole days
 
 
@@ -134,7 +136,7 @@ def score_pairs(pairs: DataFrame, new: DataFrame, store: DataFrame, with_title:
                    F.col("publication_date").alias("a_date"), F.col("fr_document_number").alias("a_fr"),
                    F.col("codes").alias("a_codes"))
     b = store.select("id", "source", F.col("title").alias("b_title"), F.col("publication_date").alias("b_date"),
-                     F.col("fr_document_number").alias("b_fr"), F.col("codes").alias("b_codes"))
+                     F.col("fr_document_number").alias("b_fr"), F.col("codes").alias("b_codes"), "ingestion_timestamp", "ingest_seq")
     p = pairs.select("new_id", "id").join(a, "new_id").join(b, "id").where(F.col("new_source") != F.col("source"))
     ta = F.lower(F.concat(F.coalesce("a_title", F.lit("")), F.lit(" ")))
     tb = F.lower(F.concat(F.coalesce("b_title", F.lit("")), F.lit(" ")))
@@ -160,30 +162,66 @@ def score_pairs(pairs: DataFrame, new: DataFrame, store: DataFrame, with_title:
         relationship_type(F.col("dn"), F.col("j"), F.col("title_ratio")).alias("relationship_type"),
         F.col("confidence_raw"), F.bround("confidence_raw", 2).cast("decimal(3,2)").alias("confidence"),
         matching_factors(F.col("dn"), F.col("j"), F.col("title_ratio"), F.col("dp")).alias("matching_factors"),
-        "dn", "j", "dp", "title_ratio",
+        "dn", "j", "dp", "title_ratio", "ingestion_timestamp", "ingest_seq",
     )
 
 
-def link_documents(new: DataFrame, store: DataFrame, limit: int | None = K.LINK_CANDIDATE_LIMIT,
-                   with_title: bool = True) -> DataFrame:
+def link_documents(new: DataFrame, store: DataFrame, limit: int | None = None, with_title: bool = True) -> DataFrame:
     """J3 -> W3 -> J4 -> W4: edges from new documents to store documents of other sources.
 
-    With ``limit=None`` every store document is a candidate; then only pairs with
-    an FR-number match or Jaccard >= 2/3 can reach 0.5, so the candidates are the
-    J5 pairs plus prefix-filtered code pairs (no date-band explosion).
+    Without a limit every store document is a candidate: only pairs of ``reachable_pairs`` can
+    reach 0.5, and without the title part only pairs with a number match can.
     """
-    if limit is None:
-        pairs = _unlimited_candidates(new, store)
-    else:
+    if limit is not None:
         pairs = candidate_pairs(new, store, limit)
+    elif with_title:
+        pairs = reachable_pairs(new, store)
+    else:
+        pairs = docnum_pairs(new, store)
     edges = score_pairs(pairs, new, store, with_title=with_title)
     return rank_matches(edges)
 
 
 def rank_matches(edges: DataFrame) -> DataFrame:
-    """Per parent, matches by confidence descending (stable on id)."""
-    w = Window.partitionBy("parent_event_id").orderBy(F.col("confidence_raw").desc(), "related_event_id")
-    return edges.withColumn("match_rank", F.row_number().over(w))
+    """Per parent, matches by the rounded confidence descending; equal ones stay in candidate order (newest first)."""
+    w = Window.partitionBy("parent_event_id").orderBy(F.col("confidence").desc(), *_newest("related_event_id"))
+    return edges.withColumn("match_rank", F.row_number().over(w)).drop("ingestion_timestamp", "ingest_seq")
+
+
+def shares_code(new: DataFrame, store: DataFrame) -> DataFrame:
+    """F5 + F6: (id, shares) per linkable new document: does a document of another source carry one of its codes?
+
+    The store side is its distinct (code, source) pairs, whatever the number of documents behind a code.
+    """
+    n = linkable(new).select("id", "source", F.explode(F.array_distinct("codes")).alias("code"))
+    s = store.select(F.col("source").alias("o_source"), F.explode("codes").alias("o_code")).distinct()
+    hit = n.join(s, (F.col("code") == F.col("o_code")) & (F.col("source") != F.col("o_source")), "left_semi").select("id").distinct()
+    return linkable(new).select("id").join(hit.withColumn("_hit", F.lit(True)), "id", "left").select(
+        "id", F.coalesce("_hit", F.lit(False)).alias("shares"))
+
+
+def band_counts(new: DataFrame, store: DataFrame) -> DataFrame:
+    """F5 + F7: (id, near) per linkable new document: documents of other sources published less than 30 days apart.
+
+    Exact without pairs: counts per (date, source) are spread to the 59 dates they serve.
+    """
+    per_day = store.where(F.col("publication_date").isNotNull()).groupBy(
+        F.to_date("publication_date").alias("pub"), F.col("source").alias("o_source")).agg(F.count(F.lit(1)).alias("n"))
+    served = per_day.select("o_source", "n", F.explode(F.sequence(F.date_sub("pub", BAND), F.date_add("pub", BAND))).alias("day"))
+    served = served.groupBy("day", "o_source").agg(F.sum("n").alias("n"))
+    n = linkable(new).select("id", "source", F.to_date("publication_date").alias("day"))
+    asked = n.select("source", "day").distinct()
+    near = asked.join(served, "day").where(F.col("o_source") != F.col("source")).groupBy("source", "day").agg(F.sum("n").alias("near"))
+    return n.join(near, ["source", "day"], "left").select("id", F.coalesce("near", F.lit(0)).cast("long").alias("near"))
+
+
+def other_source_counts(new: DataFrame, store: DataFrame) -> DataFrame:
+    """per store source, the number of (linkable new, store) pairs of different sources, from counts per source."""
+    n = linkable(new).groupBy("source").agg(F.count(F.lit(1)).alias("n_new"))
+    s = store.groupBy("source").agg(F.count(F.lit(1)).alias("n_store"))
+    everyone = Window.partitionBy(F.lit(0))   # one row per source
+    both = s.join(n, "source", "full").withColumn("others", F.coalesce(F.sum("n_new").over(everyone), F.lit(0)) - F.coalesce("n_new", F.lit(0)))
+    return both.select("source", (F.col("n_store") * F.col("others")).alias("pairs")).where("pairs > 0")
 
 
 def docnum_pairs(new: DataFrame, store: DataFrame) -> DataFrame:
@@ -202,17 +240,16 @@ def docnum_pairs(new: DataFrame, store: DataFrame) -> DataFrame:
     eq = (a.where(F.col("a_fr").isNotNull() & (F.col("a_fr") != ""))
           .join(b, F.col("a_fr") == F.col("b_fr")).select(F.col("a_id").alias("new_id"), F.col("b_id").alias("id"),
                                                          "a_source", "b_source"))
-    # The distinct number lengths are a handful of integers: read them once and
-    # explode one window per length (no cross join, nothing data-sized on the driver).
-    ns = sorted({r[0] for r in a.select(F.length("a_fr")).union(b.select(F.length("b_fr"))).distinct().collect()
-                 if r[0] is not None and r[0] > 0})
-    lens = F.array(*[F.lit(x) for x in ns]) if ns else F.array().cast("array<int>")
+    # The distinct number lengths are a handful of integers: a scalar subquery of the same plan,
+    # and one window per length (no cross join, nothing on the driver).
+    n_len = a.select(F.length("a_fr").alias("n")).union(b.select(F.length("b_fr").alias("n"))).where("n > 0")
+    lens = n_len.agg(F.sort_array(F.collect_set("n")).alias("lens")).scalar()
 
     def grams(df, text_col, id_col, src_col):
-        windows = F.flatten(F.transform(lens, lambda n: F.transform(
+        windows = F.flatten(F.transform(F.col("_lens"), lambda n: F.transform(
             F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text_col) - n + 1)),
             lambda st: F.substring(F.col(text_col), st, n))))
-        return df.select(id_col, src_col, F.explode(F.array_distinct(windows)).alias("gram"))
+        return df.withColumn("_lens", lens).select(id_col, src_col, F.explode(F.array_distinct(windows)).alias("gram"))
 
     a_in_b = (a.where(F.col("a_fr").isNotNull() & (F.col("a_fr") != ""))
               .join(grams(b, "b_text", "b_id", "b_source"), F.col("a_fr") == F.col("gram"))
@@ -242,12 +279,30 @@ def _rare_first_prefix(docs: DataFrame, freq: DataFrame, src_col: str) -> DataFr
                                                               lambda x: x.getField("tok"))).alias("tok"))
 
 
-def _unlimited_candidates(new: DataFrame, store: DataFrame) -> DataFrame:
+def reachable_pairs(new: DataFrame, store: DataFrame) -> DataFrame:
+    """All (new_id, id) of different sources with a number match, or with Jaccard >= 2/3 and equal titles or
+    publication dates less than 30 days apart.  Only these can reach a confidence of 0.5.
+
+    Without a number match 0.3 j + 0.2 r + 0.1 d >= 0.5 needs j >= 2/3 and r > 0.7, and r < 1 needs d > 0.  So the
+    prefix codes are joined with the title as a second key, and with the 30-day bucket (a day's own bucket and both
+    neighbours) as a second key: a code that a third of all documents carry is split by date and by title.
+    """
     n, s = linkable(new), store
     toks = (n.select(F.explode(F.array_distinct("codes")).alias("tok"))
             .unionByName(s.select(F.explode(F.array_distinct("codes")).alias("tok"))))
     freq = toks.groupBy("tok").agg(F.count(F.lit(1)).alias("n"))          # partial aggregation per code
-    a = _rare_first_prefix(n, freq, "a_source").withColumnRenamed("id", "new_id")
-    b = _rare_first_prefix(s, freq, "b_source")
-    by_code = a.join(b, "tok").where(F.col("a_source") != F.col("b_source")).select("new_id", "id")
+
+    def facts(df: DataFrame, pre: str) -> DataFrame:
+        return df.select("id", F.lower(F.coalesce("title", F.lit(""))).alias(f"{pre}title"), F.to_date("publication_date").alias(f"{pre}day"), F.col("codes").alias(f"{pre}codes"))
+
+    a = _rare_first_prefix(n, freq, "a_source").join(facts(n, "a_"), "id").withColumnRenamed("id", "new_id")
+    b = _rare_first_prefix(s, freq, "b_source").join(facts(s, "b_"), "id")
+    bucket = lambda day: F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / (BAND + 1))
+    by_title = a.where("a_title <> ''").join(b.withColumn("a_title", F.col("b_title")), ["tok", "a_title"])
+    near_b = b.where("b_day is not null").withColumn("bucket", F.explode(F.array(*[bucket(F.col("b_day")) + i for i in (-1, 0, 1)])))
+    by_day = a.where("a_day is not null").withColumn("bucket", bucket(F.col("a_day"))).join(near_b, ["tok", "bucket"])
+    by_day = by_day.where(F.abs(F.datediff("a_day", "b_day")) <= BAND)
+    keep = ["new_id", "id", "a_source", "b_source", "a_codes", "b_codes"]
+    by_code = by_title.select(*keep).unionByName(by_day.select(*keep)).where(F.col("a_source") != F.col("b_source"))
+    by_code = by_code.where(jaccard(F.col("a_codes"), F.col("b_codes")) >= F.lit(2 / 3 - 1e-9)).select("new_id", "id")
     return by_code.unionByName(docnum_pairs(new, store)).distinct()

@@ -69,8 +69,8 @@ def keyword_match(text, keywords):
     return cond
 
 
-def ustr_links(links: DataFrame, base_url: str = K.USTR_BASE_URL, limit: int | None = K.LISTING_LINK_LIMIT) -> DataFrame:
-    """F2 + W1 + P4: tariff-related press-release links, first ``limit`` per page in document order."""
+def ustr_links(links: DataFrame, base_url: str = K.USTR_BASE_URL, limit: int | None = None) -> DataFrame:
+    """F2 + P4: tariff-related press-release links; W1 with a ``limit``: the first so many per page in document order."""
     m = links.where(keyword_match(F.col("title"), K.USTR_KEYWORDS) & F.contains(F.col("href"), F.lit("/press-releases/")))
     if limit is not None:
         w = Window.partitionBy("page_id").orderBy("pos")
@@ -79,8 +79,8 @@ def ustr_links(links: DataFrame, base_url: str = K.USTR_BASE_URL, limit: int | N
                     F.lit(None).cast("string").alias("publication_date"), F.lit("").alias("summary"), F.lit("ustr").alias("source"))
 
 
-def cbp_links(links: DataFrame, base_url: str = K.CBP_BASE_URL, limit: int | None = K.LISTING_LINK_LIMIT) -> DataFrame:
-    """F3 + X10 + W1 + P4: tariff-related CSMS links with their CSMS number."""
+def cbp_links(links: DataFrame, base_url: str = K.CBP_BASE_URL, limit: int | None = None) -> DataFrame:
+    """F3 + X10 + P4: tariff-related CSMS links with their CSMS number; W1 with a ``limit``."""
     m = links.where(keyword_match(F.col("title"), K.CBP_KEYWORDS) & F.contains(F.lower(F.col("href")), F.lit("csms")))
     if limit is not None:
         w = Window.partitionBy("page_id").orderBy("pos")
@@ -90,8 +90,8 @@ def cbp_links(links: DataFrame, base_url: str = K.CBP_BASE_URL, limit: int | Non
                     csms_number(F.col("title")).alias("csms_number"), F.lit("cbp_csms").alias("source"))
 
 
-def pdf_links(pages: DataFrame, base_url: str = K.USTR_BASE_URL, per_page: int | None = K.PDFS_PER_PAGE) -> DataFrame:
-    """S6 + W2: hrefs ending exactly in '.pdf', resolved, first ``per_page`` per page."""
+def pdf_links(pages: DataFrame, base_url: str = K.USTR_BASE_URL, per_page: int | None = None) -> DataFrame:
+    """Hrefs ending exactly in '.pdf', resolved; W2 with ``per_page``: the first so many per page."""
     links = F.filter(anchors(F.col("html")), lambda a: a.getField("href").endswith(".pdf"))
     urls = F.transform(links, lambda a: resolve_url(a.getField("href"), base_url))
     if per_page is not None:

@@ -18,7 +18,7 @@ from ..functions.lookups import source_priority
 from ..functions.text import url_tail
 from ..operators import enrich as E
 from ..operators import parse as P
-from ..operators.dedup import dedup_against_store, dedup_within_batch, distinct_by_docnum, edge_upsert_ignore
+from ..operators.dedup import dedup_against_store, dedup_within_batch, distinct_by_docnum, edge_upsert_ignore, skip_seen_urls
 from ..operators.link import link_documents
 
 DEFAULT_AS_OF = "2026-01-01 00:00:00"
@@ -32,6 +32,7 @@ class BatchResult:
     events: DataFrame      # new rows for the events table
     edges: DataFrame       # new rows for the relationships table
     outcomes: DataFrame    # one row per landed document: processed / duplicate / failed
+    quarantine: DataFrame | None = None   # documents whose page never landed, to be run again
 
 
 def prepare_documents(parsed: DataFrame, source: str | None, pages: DataFrame | None, pdf_docs: DataFrame | None) -> DataFrame:
@@ -89,28 +90,39 @@ def link_projection(events: DataFrame) -> DataFrame:
         E.product_codes(F.col("data.tariff_action.products")).alias("codes"), "ingestion_timestamp", "ingest_seq")
 
 
+def mark_failed(docs: DataFrame, source: str, has_pages: bool = True) -> DataFrame:
+    """``_failed`` marks a Federal Register document with a URL whose page has not landed."""
+    if source == "federal_register" and has_pages:
+        return docs.withColumn("_failed", F.col("source_url").isNotNull() & F.col("raw_html_path").isNull())
+    return docs.withColumn("_failed", F.lit(False))
+
+
+def fresh_documents(docs: DataFrame, source: str, store: DataFrame | None) -> DataFrame:
+    """Marked documents -> those that become events, for batch and stream alike.
+
+    A7 before J1 (same result set): the partial min_by aggregate collapses a hot hash before the anti-join shuffles
+    on it.  The store is filtered on its partition column, so only this source's hashes are read.
+    """
+    first = dedup_within_batch(docs.where(~F.col("_failed")))
+    if store is None:
+        return first
+    return dedup_against_store(first, store.where(F.col("source") == source).select("source", "content_hash"))
+
+
 def run_batch(parsed: DataFrame, source: str, store: DataFrame | None = None, pages: DataFrame | None = None,
               pdf_docs: DataFrame | None = None, as_of: str = DEFAULT_AS_OF, link: bool = True,
-              link_limit: int | None = K.LINK_CANDIDATE_LIMIT, existing_edges: DataFrame | None = None,
-              with_title: bool = True) -> BatchResult:
-    """Run one source's batch against the events store.
+              link_limit: int | None = None, existing_edges: DataFrame | None = None,
+              with_title: bool = True, skip_urls: bool = False) -> BatchResult:
+    """Run one source's batch against the events store (``skip_urls``: the J2 check before any page is read).
 
     A7 keeps the first of equal hashes inside the batch, J1 drops hashes the store
     already holds for this source (the two commute), then new events are linked
     against stored events of the other sources (F5) and edges are upsert-ignored (A8).
     """
-    docs = prepare_documents(parsed, source, pages, pdf_docs)
-    if source == "federal_register" and pages is not None:
-        failed_cond = F.col("source_url").isNotNull() & F.col("raw_html_path").isNull()
-    else:
-        failed_cond = F.lit(False)
-    docs = docs.withColumn("_failed", failed_cond)
-    ok = docs.where(~F.col("_failed"))
-    # A7 before J1 (same result set): the partial min_by aggregate collapses a hot hash
-    # before the anti-join shuffles on it.
-    first = dedup_within_batch(ok)
-    if store is not None:
-        first = dedup_against_store(first, store.select("source", "content_hash"))
+    if skip_urls and store is not None:
+        parsed = skip_seen_urls(parsed, store.where(F.col("source") == source))
+    docs = mark_failed(prepare_documents(parsed, source, pages, pdf_docs), source, pages is not None)
+    first = fresh_documents(docs, source, store)
     events = event_envelope(first, as_of)
 
     outcome = (docs.select("arrival_seq", "source", "content_hash", "_failed",
@@ -126,11 +138,12 @@ def run_batch(parsed: DataFrame, source: str, store: DataFrame | None = None, pa
         edges = edge_upsert_ignore(edges, existing_edges)
     else:
         edges = None
-    return BatchResult(events=events, edges=edges, outcomes=outcome)
+    quarantine = docs.where("_failed").select("arrival_seq", "source", "title", "source_url", F.lit("page not landed").alias("error"))
+    return BatchResult(events=events, edges=edges, outcomes=outcome, quarantine=quarantine)
 
 
 def store_batch(result: BatchResult, store: DataFrame, source: str, staging_path: str, events_path: str,
-                edges_path: str, link_limit: int | None = K.LINK_CANDIDATE_LIMIT, with_title: bool = True) -> None:
+                edges_path: str, link_limit: int | None = None, with_title: bool = True) -> None:
     """K1 then K2: stage the batch's events once, append them, then link the staged rows.
 
     Linking from the staged rows (instead of the lazy event plan) runs the
@@ -169,16 +182,18 @@ def fr_pipeline(raw_records: DataFrame, pages: DataFrame, pdf_pages: DataFrame |
 
 
 def ustr_pipeline(link_records: DataFrame, pages: DataFrame, pdf_pages: DataFrame | None, store: DataFrame | None,
-                  **kw) -> BatchResult:
-    """Q2: USTR batch — page codes plus codes of the first two linked PDFs per page."""
+                  pdfs_per_page: int | None = None, **kw) -> BatchResult:
+    """Q2: USTR batch — page codes plus codes of the linked PDFs of each page (all, or the first ``pdfs_per_page``)."""
     parsed = P.parse_ustr(link_records)
+    if "source" in pages.columns:
+        pages = pages.where(F.col("source") == "ustr")
     pdf_docs = None
     if pdf_pages is not None:
-        links = P.pdf_links(pages.select("url", "html")).select(F.col("url").alias("page_url"), "pdf_links")
+        links = P.pdf_links(pages.select("url", "html"), per_page=pdfs_per_page).select(F.col("url").alias("page_url"), "pdf_links")
         per_pdf = E.pdf_doc_codes(pdf_pages, "pdf_url", "text")
         docs = (parsed.select("arrival_seq", "source_url")
                 .join(links, F.col("source_url") == F.col("page_url"))
-                .select("arrival_seq", F.posexplode("pdf_links").alias("pdf_pos", "pdf_url"))
+                .select("arrival_seq", F.explode("pdf_links").alias("pdf_url")).distinct()
                 .join(per_pdf, "pdf_url"))
         pdf_docs = docs.groupBy("arrival_seq").agg(
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("pdf_hts_codes")))).alias("pdf_hts_codes"),

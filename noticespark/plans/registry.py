@@ -94,7 +94,7 @@ def q_cbp(spark, sf):
 
 @query("fr_pipeline_links")
 def q_fr_links(spark, sf):
-    """Q1 tail: edges of the FR run (newest-5 candidates, title ratio via the Arrow UDF)."""
+    """Q1 tail: edges of the FR run (every stored event a candidate, title ratio via the Arrow UDF)."""
     e = SC.fr_run(spark, sf).edges
     return e.select("parent_event_id", "related_event_id", "relationship_type", "confidence_raw", "match_rank")
 
@@ -145,7 +145,7 @@ def q_listing_links(spark, sf):
 
 @query("pdf_links")
 def q_pdf_links(spark, sf):
-    """S6 + W2: '.pdf' links of listing pages, resolved, first two per page."""
+    """Every '.pdf' link of the listing pages, resolved."""
     pages = X.listing_pages(spark, sf, "ustr")
     out = P.pdf_links(pages)
     return out.select("page_id", F.posexplode("pdf_links").alias("pdf_pos", "pdf_url"))
@@ -275,24 +275,23 @@ def q_linkable(spark, sf):
 
 @query("other_source")
 def q_other_source(spark, sf):
-    """F5 (+J3 without the cut): candidate pairs only ever join different sources."""
-    new, store, _ = _link_sides(spark, sf)
-    c = L.candidate_pairs(new, store, limit=K.LINK_CANDIDATE_LIMIT)
-    return c.join(store.select("id", "source"), "id").groupBy("source").agg(F.count(F.lit(1)).alias("pairs"))
+    """pairs of linkable new FR events and stored events of another source, per stored source."""
+    new, _, store = _link_sides(spark, sf)
+    return L.other_source_counts(new, PL.link_projection(store))
 
 
 @query("jsonb_containment")
 def q_containment(spark, sf):
-    """per new FR event, the newest five other-source events sharing a code."""
+    """per linkable new FR event, whether an event of another source shares a code."""
     new, store, _ = _link_sides(spark, sf)
-    return L.code_branch(new, store, K.LINK_CANDIDATE_LIMIT).select("new_id", "id")
+    return L.shares_code(new, store)
 
 
 @query("date_band")
 def q_date_band(spark, sf):
-    """per new FR event, the newest five other-source events published < 30 days apart."""
+    """per linkable new FR event, the number of other-source events published < 30 days apart."""
     new, store, _ = _link_sides(spark, sf)
-    return L.band_branch(new, store, K.LINK_CANDIDATE_LIMIT).select("new_id", "id")
+    return L.band_counts(new, store)
 
 
 # ------------------------------------------------------------------ J: joins
@@ -312,10 +311,11 @@ def q_pre_dedup(spark, sf):
     """Preliminary hash per USTR link and whether the store holds it (never: a constant per source)."""
     l = SC.landed(spark, sf)
     st = SC.store_events(spark, sf, l)
-    pre = DD.pre_dedup_hash(P.parse_ustr(l.ustr))
-    hit = pre.join(st.select(F.col("content_hash").alias("preliminary_hash")).distinct(), "preliminary_hash", "left_semi")
-    return pre.select("arrival_seq", "preliminary_hash").join(
-        hit.select("arrival_seq", F.lit(True).alias("stored")), "arrival_seq", "left").select(
+    pre = DD.pre_dedup_hash(P.parse_ustr(l.ustr)).select("arrival_seq", "preliminary_hash")
+    # The hash is one constant per source: its distinct values are looked up, not every document.
+    hit = pre.select("preliminary_hash").distinct().join(
+        st.select(F.col("content_hash").alias("preliminary_hash")).distinct(), "preliminary_hash", "left_semi")
+    return pre.join(hit.withColumn("stored", F.lit(True)), "preliminary_hash", "left").select(
         "arrival_seq", "preliminary_hash", F.coalesce("stored", F.lit(False)).alias("stored"))
 
 
@@ -349,18 +349,26 @@ def q_docnum(spark, sf):
     return L.docnum_pairs(new, store)
 
 
-@query("near_duplicates")
-def q_near_dups(spark, sf):
-    """J6 + W5: landed FR documents that nearly duplicate stored ones (>= 0.85, title via UDF)."""
+def _dup_sides(spark, sf):
+    """Landed FR documents with small changes (a longer title, one code fewer, another date) against the stored events."""
     l = SC.landed(spark, sf)
     st = SC.store_events(spark, sf, l)
     docs = PL.prepare_documents(PL.fr_documents(l.fr_raw), "federal_register", l.pages,
                                 PL.fr_pdf_codes(l.pdf_pages))
-    new = docs.select(F.col("arrival_seq").cast("string").alias("id"), F.col("identifiers.fr_document_number").alias("fr_document_number"),
-                      E.product_codes(F.col("tariff_action.products")).alias("codes"), "title", "publication_date")
-    stored = PL.link_projection(st)
-    d = DD.rank_duplicates(DD.near_duplicates(new, stored))
-    return d.select("new_id", "existing_id", "similarity", "dup_rank")
+    seq, codes = F.col("arrival_seq"), E.product_codes(F.col("tariff_action.products"))
+    new = docs.select(
+        seq.cast("string").alias("id"), F.col("identifiers.fr_document_number").alias("fr_document_number"),
+        F.when(seq % 5 == 1, F.slice(F.array_sort(codes), 1, F.greatest(F.lit(1), F.size(codes) - 1))).otherwise(codes).alias("codes"),
+        F.when(seq % 5 == 2, F.concat("title", F.lit(" corrected"))).when(seq % 5 == 3, F.lit("Other")).otherwise(F.col("title")).alias("title"),
+        F.when(seq % 5 == 4, F.lit("1990-01-01")).otherwise(F.col("publication_date")).alias("publication_date"))
+    return new, PL.link_projection(st)
+
+
+@query("near_duplicates")
+def q_near_dups(spark, sf):
+    """Landed FR documents that nearly duplicate stored ones (>= 0.85, title via UDF)."""
+    new, stored = _dup_sides(spark, sf)
+    return DD.near_duplicates(new, stored).select("new_id", "existing_id", "similarity")
 
 
 @query("chapter_info")
@@ -381,9 +389,9 @@ def q_country(spark, sf):
 
 @query("source_relationship")
 def q_source_rel(spark, sf):
-    """Relationship name for every candidate pair's ordered source pair."""
+    """Relationship name for every reachable pair's ordered source pair."""
     new, store, _ = _link_sides(spark, sf)
-    c = L.candidate_pairs(new, store, K.LINK_CANDIDATE_LIMIT)
+    c = L.reachable_pairs(new, store)
     j = c.join(store.select("id", "source"), "id")
     return j.select("new_id", "id", source_relationship(F.lit("federal_register"), F.col("source")).alias("relationship"))
 
@@ -427,9 +435,9 @@ def q_run_summary(spark, sf):
 
 @query("jaccard_codes")
 def q_jaccard(spark, sf):
-    """Code Jaccard of every newest-five candidate pair."""
+    """Code Jaccard of every reachable pair."""
     new, store, _ = _link_sides(spark, sf)
-    c = L.candidate_pairs(new, store, K.LINK_CANDIDATE_LIMIT)
+    c = L.reachable_pairs(new, store)
     j = (c.join(new.select(F.col("id").alias("new_id"), F.col("codes").alias("a")), "new_id")
          .join(store.select("id", F.col("codes").alias("b")), "id"))
     return j.select("new_id", "id", jaccard(F.col("a"), F.col("b")).alias("jaccard"))
@@ -467,13 +475,13 @@ def q_quality_hist(spark, sf):
 def q_top20(spark, sf):
     """First 20 tariff-related press-release links per listing page."""
     links = P.listing_links(X.listing_pages(spark, sf, "ustr"))
-    return P.ustr_links(links).select("page_id", "pos", "url")
+    return P.ustr_links(links, limit=K.LISTING_LINK_LIMIT).select("page_id", "pos", "url")
 
 
 @query("top2_pdfs")
 def q_top2(spark, sf):
     """First two PDF links per listing page."""
-    return P.pdf_links(X.listing_pages(spark, sf, "ustr")).select("page_id", F.array_join("pdf_links", " ").alias("pdfs"))
+    return P.pdf_links(X.listing_pages(spark, sf, "ustr"), per_page=K.PDFS_PER_PAGE).select("page_id", F.array_join("pdf_links", " ").alias("pdfs"))
 
 
 @query("top5_candidates")
@@ -493,8 +501,9 @@ def q_rank_matches(spark, sf):
 
 @query("rank_duplicates")
 def q_rank_dups(spark, sf):
-    """Duplicates ranked by similarity (title via UDF)."""
-    return q_near_dups(spark, sf)
+    """Duplicates of at least 0.85 ranked per document by similarity."""
+    new, stored = _dup_sides(spark, sf)
+    return DD.rank_duplicates(DD.near_duplicates(new, stored)).select("new_id", "existing_id", "dup_rank")
 
 
 @query("first5_sorted_codes")
@@ -625,9 +634,9 @@ def q_normalize_text(spark, sf):
 
 @query("title_ratio")
 def q_title_ratio(spark, sf):
-    """Difflib ratio of every newest-five candidate pair's titles (Arrow UDF)."""
+    """Difflib ratio of every reachable pair's titles (Arrow UDF)."""
     new, store, _ = _link_sides(spark, sf)
-    c = L.candidate_pairs(new, store, K.LINK_CANDIDATE_LIMIT)
+    c = L.reachable_pairs(new, store)
     j = (c.join(new.select(F.col("id").alias("new_id"), F.col("title").alias("a")), "new_id")
          .join(store.select("id", F.col("title").alias("b")), "id"))
     return j.select("new_id", "id", title_ratio(F.col("a"), F.col("b")).alias("ratio"))
@@ -677,9 +686,9 @@ def q_validate_dates(spark, sf):
 
 @query("date_proximity")
 def q_date_prox(spark, sf):
-    """D5 for every newest-five candidate pair."""
+    """D5 for every reachable pair."""
     new, store, _ = _link_sides(spark, sf)
-    c = L.candidate_pairs(new, store, K.LINK_CANDIDATE_LIMIT)
+    c = L.reachable_pairs(new, store)
     j = (c.join(new.select(F.col("id").alias("new_id"), F.col("publication_date").alias("a")), "new_id")
          .join(store.select("id", F.col("publication_date").alias("b")), "id"))
     return j.select("new_id", "id", D.date_proximity(F.col("a"), F.col("b")).alias("proximity"))
@@ -760,15 +769,16 @@ def q_fuzzy(spark, sf):
 
 @query("doc_similarity")
 def q_doc_sim(spark, sf):
-    """C10 (title via UDF) for stored FR events against the new FR run's events with the same number."""
-    return q_near_dups(spark, sf)
+    """Scores of all pairs with equal numbers whose code overlap is at least one half, without the threshold."""
+    new, stored = _dup_sides(spark, sf)
+    return DD.near_duplicates(new, stored, threshold=0.0).select("new_id", "existing_id", "similarity")
 
 
 @query("link_confidence")
 def q_link_conf(spark, sf):
-    """C11 without the title part for every newest-five candidate pair (threshold not applied)."""
+    """C11 without the title part for every reachable pair (threshold not applied)."""
     new, store, _ = _link_sides(spark, sf)
-    c = L.candidate_pairs(new, store, K.LINK_CANDIDATE_LIMIT)
+    c = L.reachable_pairs(new, store)
     s = L.score_pairs(c, new, store, with_title=False, min_confidence=None)
     return s.select("parent_event_id", "related_event_id", "confidence_raw", "dn", "j", "dp")
 

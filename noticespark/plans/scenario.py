@@ -25,7 +25,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as X
 from . import pipelines as PL
 
-LAYOUT_VERSION = "v5"   # bump when a fixture or the store layout changes
+LAYOUT_VERSION = "v6"   # bump when a fixture or the store layout changes
 
 AS_OF = {"federal_register_prior": "2025-11-30 06:15:00", "ustr": "2025-12-01 08:00:00",
          "cbp_csms": "2025-12-02 00:30:00", "federal_register": "2026-01-01 06:15:00"}
@@ -51,30 +51,38 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _input_key(spark: SparkSession, sf_dir: str) -> str:
+    """Folder, layout version, and name, size and time of every input file: changed input gets new tables."""
+    fs, p = _fs(spark, sf_dir)
+    found = [f"{sf_dir}|{LAYOUT_VERSION}"]
+    for s in fs.listStatus(p):
+        parts = fs.listStatus(s.getPath()) if s.isDirectory() else [s]
+        found += sorted(f"{s.getPath().getName()}/{x.getPath().getName()}:{x.getLen()}:{x.getModificationTime()}" for x in parts)
+    return hashlib.md5("|".join(sorted(found)).encode()).hexdigest()[:16]
+
+
 def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_by: list[str] | None = None) -> DataFrame:
     """Write a derived table once into the shared checkpoint folder and read it back.
 
     This is the landing zone / event store of the scenario: persisted Parquet,
     so later jobs start from files (no lineage back to the fixtures, and a lost
-    executor only re-reads files).  Keyed by the input folder and layout version.
-    Each writer writes to its own temporary folder and renames it into place, so
-    concurrent callers never overwrite each other's files.
+    executor only re-reads files).  Every writer writes a folder of its own, complete
+    once it holds _SUCCESS; readers take the first complete one, so callers that race
+    leave an unused copy and never touch each other's files.
     """
-    key = hashlib.md5(f"{sf_dir}|{LAYOUT_VERSION}".encode()).hexdigest()[:16]
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/noticespark-tables/{key}/{name}"
-    if not _exists(spark, path + "/_SUCCESS"):
-        tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
-        w = build().write.mode("overwrite")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/noticespark-tables/{_input_key(spark, sf_dir)}/{name}"
+    fs, parent = _fs(spark, path)
+
+    def complete() -> list[str]:
+        found = [s.getPath().toString() for s in fs.listStatus(parent)] if fs.exists(parent) else []
+        return sorted(x for x in found if _exists(spark, x + "/_SUCCESS"))
+
+    if not complete():
+        w = build().write
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(tmp)
-        fs, dst = _fs(spark, path)
-        _, src = _fs(spark, tmp)
-        if not fs.exists(dst):
-            fs.mkdirs(dst.getParent())
-            if not fs.rename(src, dst) and not fs.exists(dst):
-                raise RuntimeError(f"could not publish {tmp} as {path}")
-    return spark.read.parquet(path)
+        w.parquet(f"{path}/data-{uuid.uuid4().hex}")
+    return spark.read.parquet(complete()[0])
 
 
 def landed(spark: SparkSession, sf_dir: str) -> Landed:
@@ -106,7 +114,7 @@ def build_store_events(spark: SparkSession, sf_dir: str, l: Landed | None = None
     parsed = (PL.fr_documents(prior_fr_raw(l)).unionByName(P.parse_ustr(l.ustr))
               .unionByName(P.parse_cbp(l.cbp)))
     docs = PL.prepare_documents(parsed, None, l.pages, PL.fr_pdf_codes(l.pdf_pages))
-    failed = (F.col("source") == "federal_register") & F.col("source_url").isNotNull() & F.col("raw_html_path").isNull()
+    failed = (F.col("source") == "federal_register") & F.col("source_url").isNotNull() & F.col("raw_html_path").isNull()   # as mark_failed
     first = dedup_within_batch(docs.where(~failed), keys=["source", "content_hash"])
     run_time = (F.when(F.col("source") == "federal_register", F.to_timestamp(F.lit(AS_OF["federal_register_prior"])))
                 .when(F.col("source") == "ustr", F.to_timestamp(F.lit(AS_OF["ustr"])))
@@ -119,7 +127,7 @@ def store_events(spark: SparkSession, sf_dir: str, l: Landed | None = None) -> D
     return materialized(spark, sf_dir, "events", lambda: build_store_events(spark, sf_dir, l), ["source"])
 
 
-def fr_run(spark: SparkSession, sf_dir: str, link_limit: int | None = 5, with_title: bool = True) -> PL.BatchResult:
+def fr_run(spark: SparkSession, sf_dir: str, link_limit: int | None = None, with_title: bool = True) -> PL.BatchResult:
     l = landed(spark, sf_dir)
     store = store_events(spark, sf_dir, l)
     return PL.fr_pipeline(l.fr_raw, l.pages, l.pdf_pages, store, as_of=AS_OF["federal_register"],

@@ -2,8 +2,8 @@
 
 The library never builds a session inside an operator; callers pass one.
 ``get_session`` is for tests, the bench and local runs.  ``checkpoint_dir``
-reads the shared folder named by ``spark.checkpoint.dir`` and only falls back
-to a local folder when the setting is unset (local runs and tests).
+reads the shared folder named by ``spark.checkpoint.dir``; where it is unset, a
+``local`` master gets a local folder (tests) and any other master an error.
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="noticespark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
