@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from noticespark.operators import dedup as DD
-from noticespark.operators import enrich as E
 from noticespark.operators import link as L
 from noticespark.plans import pipelines as PL
 from noticespark.plans import scenario as SC
+from noticespark.plans.registry import _dup_sides
 
 
 @pytest.fixture(scope="module")
@@ -41,31 +41,39 @@ def _d(s):
         return None
 
 
+#: Weight of each part, and the value it has to exceed to count.
+LINK_PARTS = {"number": (0.4, 0.0), "codes": (0.3, 0.0), "title": (0.2, 0.7), "date": (0.1, 0.0)}
+DUP_PARTS = {"number": 0.4, "codes": 0.3, "title": 0.2, "date": 0.1}
+
+
+def overlap(a, b):
+    x, y = set(a["codes"]), set(b["codes"])
+    return len(x & y) / len(x | y) if x and y else 0.0
+
+
+def ratio(a, b):
+    x, y = (a["title"] or "").lower(), (b["title"] or "").lower()
+    return difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0
+
+
 def score(a, b, with_title=True):
-    ta, tb = (a["title"] or ""), (b["title"] or "")
-    dn = False
-    if a["fr_document_number"] and b["fr_document_number"] and a["fr_document_number"] == b["fr_document_number"]:
-        dn = True
-    if a["fr_document_number"] and a["fr_document_number"].lower() in (tb + " ").lower():
-        dn = True
-    if b["fr_document_number"] and b["fr_document_number"].lower() in (ta + " ").lower():
-        dn = True
-    conf = 0.0
-    if dn:
-        conf += 0.4
-    sa, sb = set(a["codes"]), set(b["codes"])
-    j = len(sa & sb) / len(sa | sb) if sa and sb else 0.0
-    if j > 0:
-        conf += j * 0.3
-    r = difflib.SequenceMatcher(None, ta.lower(), tb.lower()).ratio() if (with_title and ta and tb) else 0.0
-    if r > 0.7:
-        conf += r * 0.2
-    da, db = _d(a["publication_date"] or ""), _d(b["publication_date"] or "")
-    if da and db and abs((da - db).days) <= 30:
-        dp = 1.0 - abs((da - db).days) / 30
-        if dp > 0:
-            conf += dp * 0.1
-    return conf
+    numbers = [x["fr_document_number"] or None for x in (a, b)]
+    texts = [(x["title"] or "").lower() + " " for x in (b, a)]
+    days = [_d(x["publication_date"] or "") for x in (a, b)]
+    parts = {
+        "number": float(any(n and n.lower() in t for n, t in zip(numbers, texts)) or (numbers[0] is not None and numbers[0] == numbers[1])),
+        "codes": overlap(a, b),
+        "title": ratio(a, b) if with_title else 0.0,
+        "date": max(0.0, 1 - abs((days[0] - days[1]).days) / 30) if None not in days else 0.0,
+    }
+    return sum(w * parts[k] for k, (w, over) in LINK_PARTS.items() if parts[k] > over)
+
+
+def similarity(a, b):
+    same = lambda k: float(a[k] == b[k])
+    parts = {"number": same("fr_document_number") if a["fr_document_number"] and b["fr_document_number"] else 0.0,
+             "codes": overlap(a, b), "title": ratio(a, b), "date": same("publication_date")}
+    return sum(DUP_PARTS[k] * v for k, v in parts.items())
 
 
 def brute_links(new, other, limit, with_title=True):
@@ -122,29 +130,10 @@ def test_links_match_brute_force(spark, sides, limit):
 
 
 def test_near_duplicates_match_brute_force(spark, sides):
-    _, _, l, store = sides
-    docs = PL.prepare_documents(PL.fr_documents(l.fr_raw), "federal_register", l.pages,
-                                PL.fr_pdf_codes(l.pdf_pages))
-    new = docs.select(F.col("arrival_seq").cast("string").alias("id"), F.col("identifiers.fr_document_number").alias("fr_document_number"),
-                      E.product_codes(F.col("tariff_action.products")).alias("codes"), "title", "publication_date")
-    stored = PL.link_projection(store)
+    new, stored = _dup_sides(spark, SF_SMALL)   # copies with a longer title, a code fewer or another date
+    rows_of_store = rows(stored)
     got = {(r["new_id"], r["existing_id"]): r["similarity"] for r in rows(DD.near_duplicates(new, stored))}
-    want = {}
-    srows = rows(stored)
-    for a in rows(new):
-        for b in srows:
-            s = 0.0
-            if a["fr_document_number"] and b["fr_document_number"] and a["fr_document_number"] == b["fr_document_number"]:
-                s += 0.4
-            h1, h2 = set(a["codes"]), set(b["codes"])
-            if h1 and h2:
-                s += 0.3 * (len(h1 & h2) / len(h1 | h2))
-            if a["title"] and b["title"]:
-                s += 0.2 * difflib.SequenceMatcher(None, a["title"].lower(), b["title"].lower()).ratio()
-            if a["publication_date"] == b["publication_date"]:
-                s += 0.1
-            if s >= 0.85:
-                want[(a["id"], b["id"])] = s
+    want = {(a["id"], b["id"]): x for a in rows(new) for b in rows_of_store if (x := similarity(a, b)) >= 0.85}
     assert set(got) == set(want) and len(want) > 0
     for k, v in want.items():
         assert abs(got[k] - v) < 1e-9
@@ -165,3 +154,25 @@ def test_candidate_cut_before_shuffle(spark, sides):
     plan = c._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_hot_code_is_split_by_date_and_title(spark):
+    """A code held by a third of all documents joins only documents with an equal title or close dates."""
+    import datetime as dt
+
+    def side(source, n, shift):
+        day = lambda i: str(dt.date(2000, 1, 1) + dt.timedelta(days=(i * 31 + shift) % 9000))
+        return [(f"{source}{i}", source, f"{source} title {i}", day(i), None, ["9999.99.9999"] if i % 3 == 0 else [f"{i:04}.11.2222"], dt.datetime(2025, 1, 1), i)
+                for i in range(n)]
+
+    schema = "id string, source string, title string, publication_date string, fr_document_number string, codes array<string>, ingestion_timestamp timestamp, ingest_seq long"
+    new, store = spark.createDataFrame(side("a", 300, 0), schema), spark.createDataFrame(side("b", 300, 7), schema)
+    pairs = L.reachable_pairs(new, store).count()
+    assert 0 < pairs <= 3 * 300 < 100 * 100   # 100 x 100 documents carry the hot code
+
+
+def test_store_reads_one_source_only(spark, sides):
+    _, _, l, store = sides
+    docs = PL.mark_failed(PL.prepare_documents(PL.fr_documents(l.fr_raw), "federal_register", l.pages, None), "federal_register")
+    plan = PL.fresh_documents(docs, "federal_register", store)._jdf.queryExecution().executedPlan().toString()
+    assert "(source" in plan and "= federal_register)" in plan

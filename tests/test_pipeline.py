@@ -2,6 +2,7 @@
 stream == batch with idempotent replay, and invariants of the run."""
 
 import os
+import re
 import uuid
 
 import pytest
@@ -23,7 +24,7 @@ def test_every_query_matches_its_oracle(spark):
     assert set(sqls) <= set(qs)
     con = duck(SF_SMALL)
     bad = []
-    for name in sorted(sqls):
+    for name in sorted(n for n in sqls if not re.match(r"op\d|pipeline$", n)):   # those are tested in tests/llm
         df = qs[name](spark, SF_SMALL)
         cols, rows = df.columns, [tuple(r) for r in df.collect()]
         res = con.execute(sqls[name])
@@ -36,7 +37,7 @@ def test_every_query_matches_its_oracle(spark):
 def test_rows_only_queries_run(spark):
     import __spark_entry__ as E
     qs, sqls = E.queries(), E.oracle_sql()
-    for name in sorted(set(qs) - set(sqls)):
+    for name in sorted(n for n in set(qs) - set(sqls) if not re.match(r"op\d|pipeline$", n)):
         assert qs[name](spark, SF_SMALL).count() >= 0, name
 
 
@@ -72,3 +73,36 @@ def test_run_invariants(spark):
     ev = r.events.select("confidence_raw", "content_hash").collect()
     assert all(0.0 <= x.confidence_raw <= 1.0 for x in ev)
     assert len({x.content_hash for x in ev}) == len(ev)
+
+
+def test_missing_and_repeated_pages(spark):
+    """Half of the pages missing: batch and stream fail and quarantine the same documents.  Pages landed twice add no rows."""
+    from noticespark.plans import pipelines as PL
+    from noticespark.plans import scenario as SC
+    from noticespark.session import ensure_checkpoint_dir
+    from noticespark.streaming.incremental import incremental_ingest
+    l = SC.landed(spark, SF_SMALL)
+    store = SC.store_events(spark, SF_SMALL, l)
+    half = l.pages.where((F.col("source") != "federal_register") | (F.crc32("url") % 2 == 0))
+    run = PL.fr_pipeline(l.fr_raw, half.unionByName(half), None, store, as_of=SC.AS_OF["federal_register"], link=False)
+    outcomes = {r.outcome: r.n for r in run.outcomes.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
+    assert outcomes["failed"] > 0 and sum(outcomes.values()) == PL.fr_documents(l.fr_raw).count()
+    assert run.quarantine.count() == outcomes["failed"] and run.events.count() == outcomes["processed"]
+    base = os.path.join(ensure_checkpoint_dir(spark), "stream-half-" + uuid.uuid4().hex[:8])
+    l.fr_raw.write.parquet(base + "/landing")
+    store.write.partitionBy("source").parquet(base + "/events")
+    incremental_ingest(spark, base + "/landing", l.fr_raw.schema, half, None, base + "/events", base + "/edges", base + "/ckpt", SC.AS_OF["federal_register"])
+    added = spark.read.parquet(base + "/events").where((F.col("source") == "federal_register") & (F.col("ingestion_timestamp") == F.to_timestamp(F.lit(SC.AS_OF["federal_register"]))))
+    assert {r.id for r in added.select("id").collect()} == {r.id for r in run.events.select("id").collect()}
+
+
+def test_seen_urls_are_skipped_on_request(spark):
+    from noticespark.operators.dedup import skip_seen_urls
+    from noticespark.plans import pipelines as PL
+    from noticespark.plans import scenario as SC
+    l = SC.landed(spark, SF_SMALL)
+    store = SC.store_events(spark, SF_SMALL, l)
+    parsed = PL.fr_documents(l.fr_raw)
+    seen = {r.u for r in store.where("source = 'federal_register'").select(F.col("data.source_url").alias("u")).collect()}
+    left = [r.source_url for r in skip_seen_urls(parsed, store).collect()]
+    assert sorted(left) == sorted(r.source_url for r in parsed.collect() if r.source_url not in seen) and len(left) < parsed.count()
