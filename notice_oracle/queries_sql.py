@@ -2,8 +2,9 @@
 
 Where a Spark query extracts something from generated text or HTML, the SQL
 mostly derives the expected value from the generating rule instead of running
-the same regular expression (so the check is independent).  Queries whose
-result depends on the difflib title ratio have no entry here.
+the same regular expression (so the check is independent).  The title ratio is
+a recursive query: the longest common block (earliest in the first title, then
+in the second), then the parts left and right of it.
 """
 
 from __future__ import annotations
@@ -543,6 +544,92 @@ SELECT rule, severity, violations::BIGINT AS violations FROM (
 )""")
 
 
+
+
+# ----------------------------------------------------------------- title ratio (X14) and the queries that use it
+
+def ratio_ctes(pairs: str) -> list[tuple[str, str]]:
+    """``ratios(a, b, ratio)`` of the distinct lower-cased title pairs (a, b) that the SELECT ``pairs`` returns."""
+    return [
+        ("tpairs", f"SELECT row_number() OVER () AS pid, a, b FROM (SELECT DISTINCT a, b FROM ({pairs}) WHERE a <> '' AND b <> '')"),
+        ("blocks", """
+  SELECT pid, '' AS path, a AS x, b AS y, 0::BIGINT AS m FROM tpairs
+  UNION ALL
+  SELECT pid, path || side,
+         CASE side WHEN 'L' THEN substr(x, 1, i0 - 1) ELSE substr(x, i0 + n) END,
+         CASE side WHEN 'L' THEN substr(y, 1, j0 - 1) ELSE substr(y, j0 + n) END,
+         CASE side WHEN 'L' THEN n ELSE 0 END
+  FROM (
+    SELECT *, row_number() OVER (PARTITION BY pid, path ORDER BY n DESC, i0, j0) AS best FROM (
+      SELECT pid, path, any_value(x) AS x, any_value(y) AS y, min(i) AS i0, min(j) AS j0, count(*)::BIGINT AS n FROM (
+        SELECT *, i - row_number() OVER (PARTITION BY pid, path, i - j ORDER BY i) AS run FROM (
+          SELECT pid, path, x, y, i, unnest(generate_series(1, length(y))) AS j FROM (
+            SELECT pid, path, x, y, unnest(generate_series(1, length(x))) AS i FROM blocks WHERE x <> '' AND y <> ''))
+        WHERE substr(x, i, 1) = substr(y, j, 1))
+      GROUP BY pid, path, i - j, run))
+  CROSS JOIN (VALUES ('L'), ('R')) s(side)
+  WHERE best = 1"""),
+        ("ratios", """
+  SELECT t.a, t.b, 2.0::DOUBLE * w.m / (length(t.a) + length(t.b)) AS ratio
+  FROM tpairs t JOIN (SELECT pid, sum(m)::DOUBLE AS m FROM blocks GROUP BY pid) w ON w.pid = t.pid"""),
+    ]
+
+
+def reg_ratio(name: str, body: str, extra):
+    SQL[name] = with_ctes(body, extra).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def titled(pairs: str) -> list[tuple[str, str]]:
+    """Scored edges ``edges_t`` of the (new_id, id) pairs in the relation ``pairs``, with the title part."""
+    names = f"SELECT lower(n.title_norm) AS a, lower(o.title_norm) AS b FROM {pairs} p JOIN newl n ON n.id = p.new_id JOIN other o ON o.id = p.id"
+    total = ("((CASE WHEN dn THEN 0.4::DOUBLE ELSE 0.0::DOUBLE END + CASE WHEN j > 0 THEN j * 0.3::DOUBLE ELSE 0.0::DOUBLE END)"
+             " + CASE WHEN r > 0.7 THEN r * 0.2::DOUBLE ELSE 0.0::DOUBLE END) + CASE WHEN dp > 0 THEN dp * 0.1::DOUBLE ELSE 0.0::DOUBLE END")
+    return [*ratio_ctes(names), ("edges_t", f"""
+  SELECT new_id AS parent_event_id, id AS related_event_id, {total} AS confidence_raw, ts, k,
+         CASE WHEN dn THEN 'references' WHEN j > 0 THEN 'related_products' WHEN r > 0.7 THEN 'similar_topic' END AS relationship_type,
+         array_to_string(list_filter([CASE WHEN dn THEN 'document_number' END, CASE WHEN j > 0 THEN 'hts_codes' END, CASE WHEN r > 0.7 THEN 'title' END,
+                                      CASE WHEN dp > 0 THEN 'date_proximity' END], lambda x: x IS NOT NULL), ',') AS factors
+  FROM (SELECT q.*, coalesce(t.ratio, 0.0::DOUBLE) AS r, o.ingestion_timestamp AS ts, o.k
+        FROM ({PAIR_PARTS.format(pairs=pairs)}) q JOIN newl n ON n.id = q.new_id JOIN other o ON o.id = q.id
+        LEFT JOIN ratios t ON t.a = lower(n.title_norm) AND t.b = lower(o.title_norm))
+  WHERE {total} >= 0.5""")]
+
+
+reg_ratio("title_ratio", """
+SELECT c.new_id, c.id, coalesce(t.ratio, 0.0::DOUBLE) AS ratio
+FROM reach c JOIN newl n ON n.id = c.new_id JOIN other o ON o.id = c.id
+LEFT JOIN ratios t ON t.a = lower(n.title_norm) AND t.b = lower(o.title_norm)""",
+          [*REACHX, *ratio_ctes("SELECT lower(n.title_norm) AS a, lower(o.title_norm) AS b FROM reach p JOIN newl n ON n.id = p.new_id JOIN other o ON o.id = p.id")])
+reg_ratio("link_documents", "SELECT parent_event_id, related_event_id, relationship_type, confidence_raw, factors FROM edges_t", [*LINKX, *titled("cands")])
+reg_ratio("link_documents_all", "SELECT parent_event_id, related_event_id, relationship_type, confidence_raw FROM edges_t", [*REACHX, *titled("reach")])
+reg_ratio("fr_pipeline_links", """
+SELECT parent_event_id, related_event_id, relationship_type, confidence_raw,
+       row_number() OVER (PARTITION BY parent_event_id ORDER BY round_even(confidence_raw, 2) DESC, ts DESC, k DESC, related_event_id)::INTEGER AS match_rank
+FROM edges_t""", [*REACHX, *titled("reach")])
+
+DUP_NEW = ("dnew", """
+  SELECT CAST(k AS VARCHAR) AS new_id, fr_no,
+         CASE WHEN k % 5 = 1 THEN list_slice(list_sort(codes), 1, greatest(1, len(codes) - 1)) ELSE codes END AS codes,
+         CASE k % 5 WHEN 2 THEN title_norm || ' corrected' WHEN 3 THEN 'Other' ELSE title_norm END AS title,
+         CASE WHEN k % 5 = 4 THEN '1990-01-01' ELSE pub_iso END AS pub
+  FROM docs4 WHERE source = 'federal_register'""")
+DUP_PAIRS = ("dpairs", """
+  SELECT n.new_id, s.id AS existing_id, lower(n.title) AS a, lower(s.title_norm) AS b, n.pub IS NOT DISTINCT FROM s.pub_iso AS same_day,
+         len(list_intersect(n.codes, s.codes))::DOUBLE / len(list_distinct(list_concat(n.codes, s.codes)))::DOUBLE AS overlap
+  FROM dnew n JOIN store s ON s.source = 'federal_register' AND s.fr_no = n.fr_no
+  WHERE len(n.codes) > 0 AND len(s.codes) > 0""")
+DUP_SCORED = ("dscored", """
+  SELECT new_id, existing_id, ((0.4::DOUBLE + 0.3::DOUBLE * overlap) + 0.2::DOUBLE * t.ratio)
+         + CASE WHEN same_day THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END AS similarity
+  FROM dpairs d JOIN ratios t ON t.a = d.a AND t.b = d.b WHERE overlap >= 0.5""")
+DUPX = [DUP_NEW, DUP_PAIRS, *ratio_ctes("SELECT a, b FROM dpairs WHERE overlap >= 0.5"), DUP_SCORED]
+reg_ratio("doc_similarity", "SELECT new_id, existing_id, similarity FROM dscored", DUPX)
+reg_ratio("near_duplicates", "SELECT new_id, existing_id, similarity FROM dscored WHERE similarity >= 0.85", DUPX)
+reg_ratio("rank_duplicates", """
+SELECT new_id, existing_id, row_number() OVER (PARTITION BY new_id ORDER BY similarity DESC, existing_id)::INTEGER AS dup_rank
+FROM dscored WHERE similarity >= 0.85""", DUPX)
+
+
 def all_sql() -> dict[str, str]:
     return dict(SQL)
 

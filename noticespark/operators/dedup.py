@@ -120,7 +120,7 @@ def near_duplicates(new: DataFrame, existing: DataFrame, with_title: bool = True
     sim = doc_similarity(F.col("fr_document_number"), F.col("fr_document_number"), F.col("overlap"),
                          F.col("title_ratio"), F.col("a_date"), F.col("b_date"))
     return pairs.withColumn("similarity", sim).where(F.col("similarity") >= threshold).select(
-        "new_id", "existing_id", "fr_document_number", "similarity")
+        "new_id", "existing_id", "fr_document_number", "overlap", "similarity")
 
 
 def rank_duplicates(dups: DataFrame) -> DataFrame:

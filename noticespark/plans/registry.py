@@ -331,7 +331,7 @@ def q_link_documents(spark, sf):
     """Scored edges over the newest-five candidates (with the title ratio UDF)."""
     new, store, _ = _link_sides(spark, sf)
     e = L.link_documents(new, store, limit=K.LINK_CANDIDATE_LIMIT)
-    return e.select("parent_event_id", "related_event_id", "relationship_type", "confidence_raw", "matching_factors")
+    return e.select("parent_event_id", "related_event_id", "relationship_type", "confidence_raw", F.array_join("matching_factors", ",").alias("factors"))
 
 
 @query("link_documents_all")
@@ -771,7 +771,7 @@ def q_fuzzy(spark, sf):
 def q_doc_sim(spark, sf):
     """Scores of all pairs with equal numbers whose code overlap is at least one half, without the threshold."""
     new, stored = _dup_sides(spark, sf)
-    return DD.near_duplicates(new, stored, threshold=0.0).select("new_id", "existing_id", "similarity")
+    return DD.near_duplicates(new, stored, threshold=0.0).where("overlap >= 0.5").select("new_id", "existing_id", "similarity")
 
 
 @query("link_confidence")
