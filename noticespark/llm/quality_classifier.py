@@ -33,7 +33,7 @@ ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.05, 0.01
 EPOCHS, UPDATES = 4, 12_000  # passes over the sample: at least so many, and until so many updates were made
 KEEP = 0.7
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
-_MEMO = 200_000  # token hashes remembered by a task
+_MEMO = 60_000  # token hashes remembered by a task
 
 
 class Features:

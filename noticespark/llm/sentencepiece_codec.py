@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-_MEMO, _MEMO_LONGEST = 300_000, 48
+_MEMO, _MEMO_LONGEST = 100_000, 48
 
 
 def vocabulary(path: str | None = None) -> list[tuple[str, float, str]]:

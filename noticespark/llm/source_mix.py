@@ -110,20 +110,11 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     return both.select("doc_id", F.col("_size").alias("size"), "source_size", "target", _taken().alias("taken"))
 
 
-@F.pandas_udf(T.StringType())
-def _first_words(text: pd.Series, n: pd.Series) -> pd.Series:
-    """The text up to its n-th word, at a word's end."""
-    import re
-
-    out = []
-    for t, k in zip(text, n):
-        end = 0
-        for j, m in enumerate(re.finditer(r"[^\x20\x09-\x0D]+", t or "")):
-            if j == k:
-                break
-            end = m.end()
-        out.append((t or "")[:end])
-    return pd.Series(out, dtype=object)
+def _first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its n-th word: n separators (the first may be empty) and n words."""
+    word = "[^\\x20\\x09-\\x0D]+"
+    total = lambda parts: F.aggregate(F.transform(F.slice(parts, 1, n.cast("int")), F.length), F.lit(0), lambda a, b: a + b)
+    return F.substring(text, F.lit(1), total(F.regexp_extract_all(text, F.lit(word), F.lit(0))) + total(F.split(text, word, -1)))
 
 
 def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:

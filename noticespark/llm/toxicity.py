@@ -45,7 +45,7 @@ REACH = 5  # words over which a negation, a report or a target still counts
 _WORD = re.compile(r"[^\W\d_]+")
 _CLAUSE = re.compile(r"[^.!?;:\n]+")
 _LEAST_STEM, _MOST_STEM = 5, 10
-_MEMO = 200_000
+_MEMO = 60_000
 
 
 def _stems(word: str) -> list[str]:
