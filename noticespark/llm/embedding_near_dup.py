@@ -32,6 +32,7 @@ from noticespark.llm.common import connected_components, global_index, staged
 SAMPLE, CLUSTER_ROWS, MOST_CLUSTERS, BLOCK_ROWS = 20_000, 1_000, 4_096, 2_048
 OVERLAP, CANDIDATES, DEGREE, ALPHA, BEAM, SLACK = 3, 48, 24, 1.2, 24, 0.04
 AUDIT, LEAST_RECALL = 512, 0.97
+_PAIRS = 8_192  # (query, node) pairs expanded at a time
 
 
 def _matrix(rows: pd.Series, width: int = 0) -> np.ndarray:
@@ -131,19 +132,21 @@ def search(queries: np.ndarray, v: np.ndarray, edges: np.ndarray, medoid: int, t
         all_d = np.concatenate([done[active], new < 0], 1)
         best = np.argsort(-all_s, axis=1, kind="stable")[:, :BEAM]
         beam[active], score[active], done[active] = (np.take_along_axis(x, best, 1) for x in (all_n, all_s, all_d))
-    q, node = np.concatenate(hits_q), np.concatenate(hits_n)
-    all_q, all_n = [q], [node]
-    while len(q):  # range expansion
+    todo = [(np.concatenate(hits_q), np.concatenate(hits_n))]
+    hits = []
+    while todo:  # range expansion, a bounded number of (query, node) pairs at a time
+        q, node = todo.pop()
+        if len(q) > _PAIRS:
+            todo += [(q[i : i + _PAIRS], node[i : i + _PAIRS]) for i in range(0, len(q), _PAIRS)]
+            continue
+        exact = np.einsum("ij,ij->i", queries[q], v[node])
+        hits.append((q[exact >= threshold], node[exact >= threshold]))
         q, node = _expand(q, node, seen, edges)
-        s = np.concatenate([np.einsum("ij,ij->i", small_q[q[i : i + 65536]], small[node[i : i + 65536]]) for i in range(0, len(q), 65536)] or [np.empty(0)])
-        ok = s >= threshold - SLACK
-        q, node = q[ok], node[ok]
-        all_q.append(q)
-        all_n.append(node)
-    q, node = np.concatenate(all_q), np.concatenate(all_n)
-    exact = np.concatenate([np.einsum("ij,ij->i", queries[q[i : i + 65536]], v[node[i : i + 65536]]) for i in range(0, len(q), 65536)] or [np.empty(0)])
-    ok = exact >= threshold
-    return q[ok], node[ok]
+        parts = range(0, len(q), 65536)
+        s = np.concatenate([np.einsum("ij,ij->i", small_q[q[i : i + 65536]], small[node[i : i + 65536]]) for i in parts] or [np.empty(0)])
+        if (ok := s >= threshold - SLACK).any():
+            todo.append((q[ok], node[ok]))
+    return np.concatenate([q for q, _ in hits]), np.concatenate([x for _, x in hits])
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list, list]:
@@ -210,37 +213,51 @@ def _found(reps: DataFrame, centroids: np.ndarray, threshold: float, overlap: in
     def look(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rep", kind="stable")
         node, cluster = rows[rows["node"]], int(rows["cluster"].iloc[0])
-        v, ids = _matrix(node["embedding"]), node["rep"].to_numpy()
-        width = max(1, max(len(e) for e in node["edges"]))
-        edges = np.full((len(ids), width), -1)
+        v, ids, copies = _matrix(node["embedding"]), node["rep"].to_numpy(), node["copies"].to_numpy()
+        n = len(ids)
+        edges = np.full((n, max(1, max(len(e) for e in node["edges"]))), -1)
         for i, e in enumerate(node["edges"]):
-            at = np.minimum(np.searchsorted(ids, e), len(ids) - 1)
+            at = np.minimum(np.searchsorted(ids, e), n - 1)
             at = at[ids[at] == np.asarray(e)]
             edges[i, : len(at)] = at
         medoid = int((v @ v.mean(0)).argmax())
-        of = node["clusters"].to_numpy()
-        counts: dict[int, int] = {}
-        links: list[tuple[np.ndarray, np.ndarray]] = []
-        copies = node["copies"].to_numpy()
-        for start in range(0, len(rows), 1024):
-            part = rows.iloc[start : start + 1024]
+
+        def lower(of: pd.Series) -> np.ndarray:
+            """Which clusters before this one each row is in."""
+            out = np.zeros((len(of), max(1, cluster)), np.float32)
+            for i, c in enumerate(of):
+                out[i, [x for x in c if x < cluster]] = 1
+            return out
+
+        node_lower, found = lower(node["clusters"]), np.zeros(n, np.int64)
+        own_pairs, counted, forest = [], [], []
+        for start in range(0, len(rows), 512):
+            part = rows.iloc[start : start + 512]
+            part_ids, part_copies, own = part["rep"].to_numpy(), part["copies"].to_numpy(), part["node"].to_numpy()
             q, hit = search(_matrix(part["embedding"]), v, edges, medoid, threshold)
-            q_ids, q_of, q_copies = part["rep"].to_numpy(), part["clusters"].to_numpy(), part["copies"].to_numpy()
-            own = part["node"].to_numpy()
-            # Inside the block a pair may be found from either end: both are kept as (smaller, larger) below.
-            ok = q_ids[q] != ids[hit]
+            counted_before = lower(part["clusters"]) @ node_lower.T > 0  # the pair shares an earlier cluster
+            ok = (part_ids[q] != ids[hit]) & ~counted_before[q, hit]
             q, hit = q[ok], hit[ok]
-            a, b = q_ids[q], ids[hit]
-            swap = own[q] & (a > b)
-            links.append(np.stack([np.where(swap, b, a), np.where(swap, a, b), np.where(swap, copies[hit], q_copies[q]), np.where(swap, q_copies[q], copies[hit]),
-                                   [min(set(q_of[i]).intersection(of[j])) for i, j in zip(q.tolist(), hit.tolist())]]))
-        pairs = np.unique(np.concatenate(links, axis=1).astype(np.int64), axis=1)
-        pairs = pairs[:, pairs[4] == cluster]
-        for x, m in ((pairs[0], pairs[3]), (pairs[1], pairs[2])):
-            for i, n in zip(x.tolist(), m.tolist()):
-                counts[i] = counts.get(i, 0) + n
-        a, b = _forest(pairs[0], pairs[1])
-        return pd.DataFrame({"a": [*counts, *a], "b": pd.array([*[None] * len(counts), *b], dtype="Int64"), "n": [*counts.values(), *[0] * len(a)]})
+            # Inside the block a pair may be found from either end: one number stands for both.
+            mine = own[q]
+            at = np.searchsorted(ids, part_ids[q[mine]])
+            own_pairs.append(np.unique(np.minimum(at, hit[mine]) * n + np.maximum(at, hit[mine])))
+            q, hit = q[~mine], hit[~mine]
+            np.add.at(found, hit, part_copies[q])
+            total = np.bincount(q, weights=copies[hit], minlength=len(part)).astype(np.int64)
+            counted.append((part_ids[total > 0], total[total > 0]))
+            forest.append(_forest(part_ids[q], ids[hit]))
+        pairs = np.unique(np.concatenate(own_pairs))
+        i, j = pairs // n, pairs % n
+        np.add.at(found, i, copies[j])
+        np.add.at(found, j, copies[i])
+        forest.append(_forest(ids[i], ids[j]))
+        counted.append((ids[found > 0], found[found > 0]))
+        ends = [np.concatenate([np.asarray(x[k], np.int64) for x in forest]) for k in (0, 1)]
+        seen = [np.concatenate([x[k] for x in counted]) for k in (0, 1)]
+        b = pd.array(np.concatenate([np.zeros(len(seen[0]), np.int64), ends[1]]), dtype="Int64")
+        b[: len(seen[0])] = pd.NA
+        return pd.DataFrame({"a": np.concatenate([seen[0], ends[0]]), "b": b, "n": np.concatenate([seen[1], np.zeros(len(ends[0]), np.int64)])})
 
     return staged(both.groupBy(*key).applyInPandas(look, "a long, b long, n long"), "links")
 
