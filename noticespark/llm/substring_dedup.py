@@ -1,11 +1,13 @@
 """Substring dedup by content-defined chunks.
 
-A gear rolling hash over the last 16 bytes decides where a text is cut: only before a word, only after a least size,
-and by force at a largest size.  Cuts depend on nearby bytes alone, so after an insertion the chunks fall back into
-step.  Chunks are compared by a 64-bit digest; of equal chunks the one in the document with the smallest ``doc_id``
+A gear rolling hash over the last 16 bytes decides where a text is cut: before a word, or at any code point border
+that lies ``WORDLESS`` bytes or more after the last word start (scripts without spaces, other separators than ASCII ones,
+base64, long URLs); only after a least size, and by force at a largest size, which is left to runs of one byte or
+blank.  Cuts depend on nearby bytes alone, so after an insertion the chunks fall back into step.  Chunks are compared by a 64-bit digest; of equal chunks the one in the document with the smallest ``doc_id``
 stays (inside one document the first one).  Consecutive repeated chunks form a span, and a span of at least
 ``min_words`` words is removed.  A passage of 51 words has at most about one cut-off chunk at either end, so 20 words
-of whole chunks are required; a chance collision of one digest never makes a span.
+of whole chunks are required; a chance collision of one digest never makes a span.  Long tokens count as one word for
+every ``WORD_POINTS`` code points, or ``WIDE_POINTS`` code points of three or more bytes (see ``word_count``).
 
 Chunks are staged once as narrow rows.  Equal chunks are aggregated before they are shuffled, so a passage that a third
 of all documents share is one row per map task; the join that marks later copies has one row per digest on its other
@@ -31,6 +33,8 @@ from noticespark.llm.common import masked, staged
 
 MIN_BYTES, MAX_BYTES, MASK = 16, 512, 3  # after the least size one word start in four is a cut
 MIN_WORDS = 20
+WORDLESS = 32  # from here on after a word start, one code point border in eight is a cut
+WORD_POINTS, WIDE_POINTS = 12, 3
 #: The gear table: one fixed random 16-bit number for each byte value.
 GEAR = np.random.Generator(np.random.PCG64(2024)).integers(0, 1 << 16, 256, dtype=np.uint16)
 _SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
@@ -41,13 +45,21 @@ def cuts(data: bytes) -> list[int]:
     raw = np.frombuffer(data, np.uint8)
     ends: list[int] = []
     start = 0
-    for lo in range(0, len(raw), 1 << 20):  # blocks bound the memory; 16 earlier bytes carry the hash over the border
-        part = raw[max(0, lo - 16) : lo + (1 << 20) + 1]
+    for lo in range(0, len(raw), 1 << 20):  # blocks bound the memory; 64 earlier bytes carry hash and word starts over the border
+        first = max(0, lo - 64)
+        part = raw[first : lo + (1 << 20) + 1]
         h = GEAR[part]
         for step in (1, 2, 4, 8):  # sum of GEAR[byte] << age over the last 16 bytes
             h[step:] = h[step:] + (h[:-step] << step)
         space = _SPACE[part]
-        at = np.flatnonzero(((h[:-1] >> 13) & MASK == 0) & space[:-1] & ~space[1:]) + 1 + max(0, lo - 16)
+        word = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+        found = [word[(h[word - 1] >> 13) & MASK == 0]]
+        borders = np.concatenate([[0], word, [len(part)]])
+        for i in np.flatnonzero(np.diff(borders) > WORDLESS).tolist():
+            a, b = int(borders[i]) + WORDLESS, int(borders[i + 1])
+            inside = (h[a - 1 : b - 1] >> 13 == 0) & (part[a:b] & 0xC0 != 0x80) & ~space[a:b] & ~space[a - 1 : b - 1]
+            found.append(np.flatnonzero(inside) + a)
+        at = np.sort(np.concatenate(found)) + first
         for cut in at[(at > lo) | (lo == 0)].tolist():
             while cut - start > MAX_BYTES:
                 start = _forced(raw, start)
@@ -68,6 +80,18 @@ def _forced(raw: np.ndarray, start: int) -> int:
     return at
 
 
+def word_count(piece: bytes) -> int:
+    """Words between ASCII spaces; a token without them counts by its code points."""
+    n = 0
+    for token in piece.split():
+        n += 1
+        if len(token) >= 2 * WIDE_POINTS:
+            points = len(token) if token.isascii() else sum(x & 0xC0 != 0x80 for x in token)
+            wide = 0 if token.isascii() else sum(x >= 0xE0 for x in token)
+            n += max(1, points // WORD_POINTS, wide // WIDE_POINTS) - 1
+    return n
+
+
 def chunks(docs: DataFrame) -> DataFrame:
     """``(doc_id, digest, start, size, words, again)``: a row for each chunk; ``again`` marks a repeat inside its row's text.
 
@@ -88,7 +112,7 @@ def chunks(docs: DataFrame) -> DataFrame:
                     digests.append(d)
                     starts.append(start)
                     sizes.append(end - start)
-                    words.append(len(piece.split()))
+                    words.append(word_count(piece))
                     again.append(d in seen)
                     seen.add(d)
                     start = end

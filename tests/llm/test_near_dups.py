@@ -270,3 +270,36 @@ def test_spans_equal_brute_force(spark):
             want[doc_id] = spans
     got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in substring_dedup.repeated_spans(docs).collect()}
     assert got == want
+
+
+def wordless(kind, n, rnd):
+    if kind == "han":
+        return "".join(chr(rnd.randint(0x4E00, 0x9FA5)) for _ in range(n))
+    if kind == "base64":
+        return "".join(rnd.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=n))
+    return {"nbsp": "\u00a0", "wide": "\u3000"}[kind].join("".join(rnd.choices("abcdefghijklm", k=5)) for _ in range(n // 6))
+
+
+@pytest.mark.parametrize("kind", ["han", "base64", "nbsp", "wide"])
+def test_texts_without_spaces_fall_back_into_step(spark, kind):
+    rnd = random.Random(11)
+    passage = wordless(kind, 900, rnd)
+    rows = [(1, wordless(kind, 700, rnd) + passage + wordless(kind, 500, rnd)), (2, wordless(kind, 401, rnd) + passage + wordless(kind, 300, rnd))]
+    rows += [(3, passage), (4, "x" + passage), (5, wordless(kind, 900, rnd))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = substring_dedup.repeated_spans(docs)
+    text = {r.doc_id: r.text for r in substring_dedup.remove_spans(docs, spans).collect()}
+    assert text[1] == rows[0][1] and text[5] == rows[4][1]
+    for doc_id in (2, 3, 4):
+        assert passage[200:700] not in text[doc_id] and len(text[doc_id]) <= len(rows[doc_id - 1][1]) - 700
+
+
+def test_wordless_cuts_do_not_depend_on_blocks():
+    rnd = random.Random(12)
+    data = wordless("base64", 1_100_000, rnd).encode()
+    ends, later = substring_dedup.cuts(data), substring_dedup.cuts(data[100_000:])
+    assert len(set(ends) & {x + 100_000 for x in later}) >= 0.99 * len(later)
+    assert all(p.decode() for p in [data[a:b] for a, b in zip([0, *ends], ends)])
+    han = wordless("han", 2_000, rnd).encode()
+    ends = substring_dedup.cuts(han)
+    assert all(han[a:b].decode() for a, b in zip([0, *ends], ends))
