@@ -15,7 +15,7 @@ side and can be split where a digest is hot.  Texts themselves never pass throug
 
 Defined cases: null and empty texts have no chunk; rows with a null ``doc_id`` are returned whole and unmarked; rows
 that share a ``doc_id`` are parts of one document: they are not compared with each other, and each gets the spans found
-in its own text; an empty table gives an empty result; other columns pass through ``remove_spans`` unchanged.
+in its own text, which ``text_hash`` tells apart; an empty table gives an empty result; other columns pass through ``remove_spans`` unchanged.
 """
 
 from __future__ import annotations
@@ -93,15 +93,15 @@ def word_count(piece: bytes) -> int:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """``(doc_id, digest, start, size, words, again)``: a row for each chunk; ``again`` marks a repeat inside its row's text.
+    """``(doc_id, text_hash, digest, start, size, words, again)``: a row for each chunk; ``again`` marks a repeat inside its row's text.
 
-    ``start`` and ``size`` count bytes of the UTF-8 text.
+    ``start`` and ``size`` count bytes of the UTF-8 text, whose hash is ``text_hash``.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ids, digests, starts, sizes, words, again = [], [], [], [], [], []
-            for doc_id, text in zip(b["doc_id"].tolist(), b["text"]):
+            ids, texts, digests, starts, sizes, words, again = [], [], [], [], [], [], []
+            for doc_id, text_hash, text in zip(b["doc_id"].tolist(), b["text_hash"].tolist(), b["text"]):
                 data = text.encode("utf-8", "surrogatepass")
                 seen: set[int] = set()
                 start = 0
@@ -109,6 +109,7 @@ def chunks(docs: DataFrame) -> DataFrame:
                     piece = data[start:end]
                     d = xxhash.xxh3_64_intdigest(piece)
                     ids.append(doc_id)
+                    texts.append(text_hash)
                     digests.append(d)
                     starts.append(start)
                     sizes.append(end - start)
@@ -117,22 +118,22 @@ def chunks(docs: DataFrame) -> DataFrame:
                     seen.add(d)
                     start = end
                 if len(ids) > 200_000:
-                    yield frame(ids, digests, starts, sizes, words, again)
-                    ids, digests, starts, sizes, words, again = [], [], [], [], [], []
-            yield frame(ids, digests, starts, sizes, words, again)
+                    yield frame(ids, texts, digests, starts, sizes, words, again)
+                    ids, texts, digests, starts, sizes, words, again = [], [], [], [], [], [], []
+            yield frame(ids, texts, digests, starts, sizes, words, again)
 
-    def frame(ids, digests, starts, sizes, words, again) -> pd.DataFrame:
+    def frame(ids, texts, digests, starts, sizes, words, again) -> pd.DataFrame:
         return pd.DataFrame({
-            "doc_id": np.array(ids, np.int64), "digest": np.array(digests, np.uint64).view(np.int64), "start": np.array(starts, np.int64),
+            "doc_id": np.array(ids, np.int64), "text_hash": np.array(texts, np.int64), "digest": np.array(digests, np.uint64).view(np.int64), "start": np.array(starts, np.int64),
             "size": np.array(sizes, np.int32), "words": np.array(words, np.int32), "again": np.array(again, bool),
         })
 
-    used = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return used.mapInPandas(run, "doc_id long, digest long, start long, size int, words int, again boolean")
+    used = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return used.mapInPandas(run, "doc_id long, text_hash long, digest long, start long, size int, words int, again boolean")
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``(doc_id, spans, sources, removed_words)`` of the documents that lose text.
+    """``(doc_id, text_hash, spans, sources, removed_words)`` of the texts that lose a part, one row for each text of a ``doc_id``.
 
     ``spans``: array of (start, end) in bytes; ``sources``: ids of documents that keep the first copies of the chunks.
     """
@@ -140,12 +141,12 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     first = all_chunks.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.max("again").alias("any"))
     first = first.where("first_id < last_id or any").select("digest", "first_id")
     marked = all_chunks.join(first, "digest").where("doc_id > first_id or again")
-    per_doc = marked.groupBy("doc_id").agg(F.collect_list(F.struct("start", "size", "words", "first_id")).alias("found"))
+    per_doc = marked.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "size", "words", "first_id")).alias("found"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for doc_id, found in zip(b["doc_id"].tolist(), b["found"]):
+            for doc_id, text_hash, found in zip(b["doc_id"].tolist(), b["text_hash"].tolist(), b["found"]):
                 spans, sources, removed = [], set(), 0
                 run_: list = []
                 for x in [*sorted({(f["start"], f["size"], f["words"], f["first_id"]) for f in found}), None]:
@@ -158,10 +159,10 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     if x is not None:
                         run_.append(x)
                 if spans:
-                    out.append((doc_id, spans, sorted(sources), removed))
-            yield pd.DataFrame(out, columns=["doc_id", "spans", "sources", "removed_words"])
+                    out.append((doc_id, text_hash, spans, sorted(sources), removed))
+            yield pd.DataFrame(out, columns=["doc_id", "text_hash", "spans", "sources", "removed_words"])
 
-    return per_doc.mapInPandas(run, "doc_id long, spans array<struct<start:long,end:long>>, sources array<long>, removed_words long")
+    return per_doc.mapInPandas(run, "doc_id long, text_hash long, spans array<struct<start:long,end:long>>, sources array<long>, removed_words long")
 
 
 @F.pandas_udf(T.StringType())
@@ -181,8 +182,8 @@ def _without(text: pd.Series, spans: pd.Series) -> pd.Series:
 def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` with the spans cut out of ``text``; the other columns are unchanged."""
     rows, at = masked(docs)
-    found = spans.select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
-    joined = rows.join(found, F.col(at["doc_id"]) == F.col("_id"), "left")
+    found = spans.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"))
     text = F.col(at["text"])
+    joined = rows.join(found, (F.col(at["doc_id"]) == F.col("_id")) & (F.xxhash64(text) == F.col("_hash")), "left")
     cut = F.when(F.col("_spans").isNotNull(), _without(text, F.col("_spans"))).otherwise(text)
     return joined.select(*[(cut if name == "text" else F.col(c)).alias(name) for name, c in at.items()])

@@ -303,3 +303,20 @@ def test_wordless_cuts_do_not_depend_on_blocks():
     han = wordless("han", 2_000, rnd).encode()
     ends = substring_dedup.cuts(han)
     assert all(han[a:b].decode() for a, b in zip([0, *ends], ends))
+
+
+def test_texts_of_one_id_are_cut_at_their_own_spans(spark):
+    rnd = random.Random(13)
+    own = lambda n, letters: " ".join("".join(rnd.choices(letters, k=rnd.randint(3, 9))) for _ in range(n))
+    passage, other = own(60, "abcdefgh"), own(60, "ijklmnop")
+    apart = own(200, "éèüößñ")
+    rows = [(1, f"{own(40, 'abcdefgh')} {passage} {own(40, 'abcdefgh')} {other}"), (2, f"{own(37, 'qrstuv')} {passage} {own(80, 'qrstuv')}")]
+    rows += [(2, apart), (2, f"{own(90, 'wxyz')} {other} {own(20, 'wxyz')}"), (2, "short")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int")
+    spans = substring_dedup.repeated_spans(docs)
+    text = {r.n: r.text for r in substring_dedup.remove_spans(docs, spans).collect()}
+    assert len(text) == 5 and [text[n] for n in (0, 2, 4)] == [rows[n][1] for n in (0, 2, 4)]
+    for n, cut, before, after in ((1, passage, 37, 80), (3, other, 90, 20)):
+        kept, whole = words(text[n]), words(rows[n][1])
+        assert kept[:before] == whole[:before] and kept[-after:] == whole[-after:] and len(kept) <= before + after + 20
+        assert " ".join(words(cut)[20:40]) not in text[n]
