@@ -8,9 +8,11 @@
    the factor ALPHA), reverse edges are added.  The adjacency lists of a vector from all its blocks are united.
 4. Every vector searches the blocks of its clusters: a greedy beam search from the block's medoid, then the range is
    expanded along edges from every vector found at least ``threshold - SLACK``.  Pairs are verified by the cosine in
-   double precision.  A pair found in several blocks counts in the smallest common cluster only; tasks return counts and a
-   spanning forest of their links, never all pairs.
-5. The recall is audited: up to ``AUDIT`` vectors are compared with all vectors of their label by brute force.  Below
+   double precision.  What the search finds in any cluster goes into the forest of links.  A pair may be found in one
+   common cluster and missed in another, so links are counted by the exact product of query part and block in the smallest
+   common cluster only; tasks return counts and a spanning forest of their links, never all pairs.
+5. The recall is audited: up to ``AUDIT`` vectors are compared with all vectors of their label by brute force, and the
+   recall is the mean over those that have links, so that a dense group does not hide the others.  Below
    ``LEAST_RECALL`` the overlap is doubled and the search repeated; with all clusters each pair shares a cluster.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and rows with a null label or
@@ -234,10 +236,12 @@ def _found(reps: DataFrame, centroids: np.ndarray, threshold: float, overlap: in
         for start in range(0, len(rows), 512):
             part = rows.iloc[start : start + 512]
             part_ids, part_copies, own = part["rep"].to_numpy(), part["copies"].to_numpy(), part["node"].to_numpy()
-            q, hit = search(_matrix(part["embedding"]), v, edges, medoid, threshold)
+            queries = _matrix(part["embedding"])
+            q, hit = search(queries, v, edges, medoid, threshold)
+            ok = part_ids[q] != ids[hit]
+            forest.append(_forest(part_ids[q[ok]], ids[hit[ok]]))  # also of pairs that an earlier cluster counts
             counted_before = lower(part["clusters"]) @ node_lower.T > 0  # the pair shares an earlier cluster
-            ok = (part_ids[q] != ids[hit]) & ~counted_before[q, hit]
-            q, hit = q[ok], hit[ok]
+            q, hit = np.nonzero((queries @ v.T >= threshold) & ~counted_before & (part_ids[:, None] != ids))
             # Inside the block a pair may be found from either end: one number stands for both.
             mine = own[q]
             at = np.searchsorted(ids, part_ids[q[mine]])
@@ -263,7 +267,7 @@ def _found(reps: DataFrame, centroids: np.ndarray, threshold: float, overlap: in
 
 
 def _audit(reps: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Share of the true links of up to ``AUDIT`` representatives that the search found."""
+    """Share of its true links that was found, as a mean over up to ``AUDIT`` representatives that have any."""
     asked = reps.orderBy(F.xxhash64(F.lit(5), "rep"), "rep").limit(AUDIT).toPandas()
     queries = {key: (g["rep"].to_numpy(), _matrix(g["embedding"])) for key, g in asked.groupby(["label", "dims"])}
     shared = reps.sparkSession.sparkContext.broadcast(queries)  # at most AUDIT vectors
@@ -277,8 +281,9 @@ def _audit(reps: DataFrame, counts: DataFrame, threshold: float) -> float:
                     yield pd.DataFrame({"rep": ids, "n": near @ g["copies"].to_numpy()})
 
     true = reps.mapInPandas(run, "rep long, n long").groupBy("rep").agg(F.sum("n").alias("n"))
-    both = true.join(counts.withColumnRenamed("n", "found"), "rep", "left").agg(F.sum("n").alias("n"), F.sum("found").alias("found")).first()
-    return 1.0 if not both["n"] else (both["found"] or 0) / both["n"]
+    both = true.where("n > 0").join(counts.withColumnRenamed("n", "found"), "rep", "left")
+    mean = both.agg(F.avg(F.coalesce("found", F.lit(0)) / F.col("n"))).first()[0]
+    return 1.0 if mean is None else mean
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame:

@@ -206,6 +206,32 @@ def test_embedding_blocks_of_one_dense_group(spark, monkeypatch):
     assert (found <= links).all() and found.sum() >= 0.97 * links.sum()
 
 
+def test_embedding_pair_missed_in_its_first_cluster_counts(spark, monkeypatch):
+    """A pair of clusters 0 and 1 that only the search of cluster 1 finds keeps its count and its edge."""
+    only0, only1 = np.array([1.0, 0, 1, 0]) / 2**0.5, np.array([0, 1.0, 1, 0]) / 2**0.5  # in clusters 0 and 2, 1 and 2
+
+    def lossy(queries, v, edges, medoid, threshold):
+        if (v @ only0 > 0.99).any() and not (v @ only1 > 0.99).any():
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.nonzero(queries @ v.T >= threshold)
+
+    monkeypatch.setattr(embedding_near_dup, "search", lossy)
+    rows = [[1, 1, 0, 0], [1, 0.9, 0, 0.1], only0.tolist(), only1.tolist()]
+    reps = spark.createDataFrame([("1", 4, i, 1, [float(x) for x in v]) for i, v in enumerate(rows)], "label string, dims int, rep long, copies long, embedding array<float>")
+    found = embedding_near_dup._found(reps, np.eye(4)[:3], 0.93, 2).collect()
+    assert {(r.a, r.n) for r in found if r.b is None} == {(0, 1), (1, 1)}
+    assert {frozenset((r.a, r.b)) for r in found if r.b is not None} == {frozenset((0, 1))}
+
+
+def test_embedding_audit_is_not_hidden_by_a_dense_group(spark):
+    rng = np.random.default_rng(3)
+    pairs = rng.normal(size=(100, 32))
+    v = np.concatenate([rng.normal(size=32) + rng.normal(size=(100, 32)) * 0.05, pairs, pairs + rng.normal(size=(100, 32)) * 0.02])
+    reps = spark.createDataFrame([("1", 32, i, 1, x.tolist()) for i, x in enumerate(v)], "label string, dims int, rep long, copies long, embedding array<float>")
+    counts = spark.createDataFrame([(i, 99) for i in range(100)], "rep long, n long")  # no pair was found
+    assert embedding_near_dup._audit(reps, counts, 0.93) == pytest.approx(1 / 3)
+
+
 # --- substring dedup ---
 
 
