@@ -79,20 +79,22 @@ def edge_upsert_ignore(new_edges: DataFrame, existing_edges: DataFrame | None =
     return out
 
 
-def _prefix_tokens(codes):
+def _prefix_tokens(codes, least: float):
+    """The codes of a sorted set of which one at least is shared by every set with an overlap of ``least`` or more."""
     toks = F.array_sort(F.array_distinct(F.transform(F.coalesce(codes, F.array().cast("array<string>")),
                                                      lambda c: F.coalesce(c, F.lit("\u0000null")))))
     n = F.size(toks)
-    return F.slice(toks, 1, F.greatest(F.lit(0), n - F.ceil(n / F.lit(2.0)).cast("int") + 1))
+    return F.slice(toks, 1, F.greatest(F.lit(0), n - F.ceil(n * F.lit(least)).cast("int") + 1))
 
 
 def near_duplicates(new: DataFrame, existing: DataFrame, with_title: bool = True,
                     threshold: float = K.DUPLICATE_THRESHOLD) -> DataFrame:
-    """J6 + C10 + W5: pairs with similarity >= 0.85.
+    """J6 + C10 + W5: pairs with equal FR numbers and a similarity >= ``threshold`` (0.85).
 
-    Without equal FR numbers the score is at most 0.6, and with them the code
-    overlap must be >= 0.5, so an equi-join on fr_document_number is lossless
-    blocking; no all-pairs comparison is needed.  Inputs have columns
+    Without equal FR numbers the score is at most 0.6, so above that an equi-join on
+    fr_document_number is lossless blocking; no all-pairs comparison is needed.  With them
+    the code overlap must be >= (threshold - 0.7) / 0.3 (0.5 for 0.85); where that is not
+    positive, all pairs of a number are scored.  Inputs have columns
     (id, fr_document_number, codes, title, publication_date).
     """
     a = new.where(F.col("fr_document_number").isNotNull() & (F.col("fr_document_number") != "")).select(
@@ -100,11 +102,15 @@ def near_duplicates(new: DataFrame, existing: DataFrame, with_title: bool = True
         F.col("title").alias("a_title"), F.col("publication_date").alias("a_date"))
     b = existing.select(F.col("id").alias("existing_id"), "fr_document_number", F.col("codes").alias("b_codes"),
                         F.col("title").alias("b_title"), F.col("publication_date").alias("b_date"))
-    # A pair can reach 0.85 only with overlap >= 0.5, so both sides share one of the first
-    # n - ceil(n/2) + 1 codes of each sorted token set (prefix filter): join on (number, token).
-    a = a.withColumn("_tok", F.explode(_prefix_tokens(F.col("a_codes"))))
-    b = b.withColumn("_tok", F.explode(_prefix_tokens(F.col("b_codes"))))
-    pairs = (a.join(b, ["fr_document_number", "_tok"]).where(F.col("new_id") != F.col("existing_id"))
+    # A pair can reach the threshold only with overlap >= least, so both sides share one of the first
+    # n - ceil(n * least) + 1 codes of each sorted token set (prefix filter): join on (number, token).
+    least = (threshold - K.LINK_W_DOCNUM - K.LINK_W_TITLE - K.LINK_W_DATE) / K.LINK_W_HTS - 1e-9
+    keys = ["fr_document_number"]
+    if least > 0:
+        keys.append("_tok")
+        a = a.withColumn("_tok", F.explode(_prefix_tokens(F.col("a_codes"), least)))
+        b = b.withColumn("_tok", F.explode(_prefix_tokens(F.col("b_codes"), least)))
+    pairs = (a.join(b, keys).where(F.col("new_id") != F.col("existing_id"))
              .drop("_tok").dropDuplicates(["new_id", "existing_id"]))
     pairs = pairs.withColumn("overlap", dup_code_overlap(F.col("a_codes"), F.col("b_codes")))
     if with_title:

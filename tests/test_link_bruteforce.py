@@ -139,6 +139,21 @@ def test_near_duplicates_match_brute_force(spark, sides):
         assert abs(got[k] - v) < 1e-9
 
 
+@pytest.mark.parametrize("threshold", [0.0, 0.75])
+def test_near_duplicates_of_lower_thresholds_match_brute_force(spark, threshold):
+    """Pairs with little or no code overlap, or without codes, are scored when the threshold lets them pass."""
+    schema = "id string, fr_document_number string, codes array<string>, title string, publication_date string"
+    lists = [[], ["b"], ["a"], ["a", "b", "c", "d", "e", "f"], ["e", "f", "g"], ["x", "y"], ["f", "x", "y", "z"]]
+    new = spark.createDataFrame([(f"n{i}", f"N{i % 2}", c, "Notice of change", "2025-01-01") for i, c in enumerate(lists)], schema)
+    stored = spark.createDataFrame([(f"s{i}", f"N{j}", c, "Notice of change", "2025-01-01") for j in (0, 1) for i, c in enumerate(lists, 10 * j)], schema)
+    got = {(r["new_id"], r["existing_id"]): r["similarity"] for r in rows(DD.near_duplicates(new, stored, threshold=threshold))}
+    pairs = [(a, b) for a in rows(new) for b in rows(stored) if a["fr_document_number"] == b["fr_document_number"]]
+    want = {(a["id"], b["id"]): x for a, b in pairs if (x := similarity(a, b)) >= threshold}
+    assert set(got) == set(want) and (len(want) == 49 or threshold > 0)
+    for k, v in want.items():
+        assert abs(got[k] - v) < 1e-9
+
+
 def test_no_nested_loop_in_link_plans(spark, sides):
     new, other, _, _ = sides
     for lim in (5, None):
