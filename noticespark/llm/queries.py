@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticespark.llm import document_fingerprints, embedding_near_dup, language_id, quality_classifier, sentencepiece_codec, simhash_near_dedup, source_mix, substring_dedup, toxicity, url_filters
+from noticespark.llm import conversation_repair, document_fingerprints, embedding_near_dup, language_id, quality_classifier, sentencepiece_codec, simhash_near_dedup, source_mix, spelling_variants, substring_dedup, toxicity, url_filters
 from noticespark.llm.common import table
 
 
@@ -64,6 +64,16 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents, the frequent word it is a variant of and the last word of that chain."""
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per conversation: faults after damage, the cheapest repair of its roles and the hash of the repaired turns."""
+    return conversation_repair.report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dup": op1_embedding_near_dup,
     "op2_url_filters": op2_url_filters,
@@ -75,6 +85,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_document_fingerprints": op10_document_fingerprints,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 #: DuckDB SQL where it can express the query; the others are tested against brute force in tests/llm.
