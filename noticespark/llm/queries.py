@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticespark.llm import conversation_repair, document_fingerprints, embedding_near_dup, language_id, quality_classifier, sentencepiece_codec, simhash_near_dedup, source_mix, spelling_variants, substring_dedup, toxicity, url_filters
+from noticespark.llm import conversation_repair, document_fingerprints, embedding_near_dup, gru_language_model, language_id, quality_classifier, sentencepiece_codec, simhash_near_dedup, source_mix, spelling_variants, substring_dedup, toxicity, url_filters
 from noticespark.llm.common import table
 
 
@@ -74,6 +74,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.report(table(spark, sf_dir, "conversations"))
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document by the recurrent model and by smoothed training counts."""
+    return gru_language_model.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dup": op1_embedding_near_dup,
     "op2_url_filters": op2_url_filters,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_document_fingerprints": op10_document_fingerprints,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_language_model": op13_language_model,
 }
 
 #: DuckDB SQL where it can express the query; the others are tested against brute force in tests/llm.

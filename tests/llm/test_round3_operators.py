@@ -2,12 +2,17 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pytest
+
 from noticespark.llm import conversation_repair as CR
+from noticespark.llm import gru_language_model as LM
 from noticespark.llm import queries as Q
 from noticespark.llm import spelling_variants as SV
 
@@ -181,3 +186,122 @@ def test_repaired_turns_fit_the_grammar(spark):
         kept = [t for t in turns[conv] if t["edit"] != "D"]
         assert re.fullmatch("(s?(ua)+)?", "".join(t["role"][0] for t in kept))
         assert hashlib.sha256("\n".join(f"{t['role']}:{t['text']}" for t in kept).encode()).hexdigest() == r["repaired_sha256"]
+
+
+# ------------------------------------------------------------------ language model
+
+def plain_words_of(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", low)
+
+
+def plain_counts(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        if doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 != 2:
+            counts.update(["", *plain_words_of(text)])  # "" stands for the end
+    return counts
+
+
+def plain_base(rows, counts, text):
+    n, v = sum(counts.values()), len(counts)
+    return sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in [*plain_words_of(text), ""])
+
+
+def plain_score(w, vocabulary, counts, text):
+    """The network one token at a time in double precision, the softmax over all classes and words written out."""
+    w = {k: v.astype(float) for k, v in w.items()}
+    hidden, total, h, before = LM.HIDDEN, 0.0, np.zeros(LM.HIDDEN), LM.END
+    in_tail = Counter(), Counter()
+    for t, n in counts.items():
+        key = LM.tokens(t)[0] if t else None
+        if t and not (key in vocabulary.index and vocabulary.symbol[vocabulary.index[key]] < LM.END):
+            in_tail[0][LM.tail_of(key)] += n
+            in_tail[1][LM.tail_of(key)] += 1
+    for t in [*plain_words_of(text), ""]:
+        x, u = w["embed"][before] @ w["input"] + w["gate"], h @ w["carry"]
+        z, r = (1 / (1 + np.exp(-(x + u)[k * hidden:(k + 1) * hidden])) for k in (0, 1))
+        n = np.tanh(x[2 * hidden:] + r * u[2 * hidden:])
+        h = n + z * (h - n)
+        a = h @ w["class"] + w["class_bias"]
+        a -= a.max()
+        p = np.exp(a) / np.exp(a).sum()
+        key = LM.tokens(t)[0] if t else None
+        at = LM.END if not t else vocabulary.index.get(key, -1)
+        symbol = LM.END if not t else int(vocabulary.symbol[at]) if at >= 0 else LM.WORDS + 1 + LM.tail_of(key)
+        if symbol <= LM.END:
+            c = symbol // LM.MEMBERS
+            b = h @ w["word"][c] + w["word_bias"][c]
+            b -= b.max()
+            total += math.log10(p[c]) + math.log10((np.exp(b) / np.exp(b).sum())[symbol % LM.MEMBERS])
+        else:
+            tail = symbol - LM.WORDS - 1
+            total += math.log10(p[LM.CLASSES + tail]) + math.log10((counts[t] + 1) / (in_tail[0][tail] + in_tail[1][tail] + 1))
+        before = symbol
+    return total
+
+
+def check_scores(spark, docs, rows, monkeypatch):
+    made = {}
+    train = LM.train
+    monkeypatch.setattr(LM, "train", lambda r, v: made.setdefault("w", train(made.setdefault("rows", r), made.setdefault("v", v))))
+    found = LM.score(docs).collect()
+    counts = plain_counts(rows)
+    expected = defaultdict(list)
+    for doc_id, text in rows:
+        words = [*plain_words_of(text), ""]
+        expected[doc_id].append((len(words), sum(counts[t] > 0 for t in words), plain_base(rows, counts, text), plain_score(made["w"], made["v"], counts, text)))
+    assert len(found) == len(rows)
+    for r in found:
+        held = r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2
+        assert (r["held_out"], r["train_tokens"]) == (held, sum(counts.values()))
+        assert any((r["n_tokens"], r["n_known"]) == e[:2] and math.isclose(r["base_score"], e[2], rel_tol=1e-9, abs_tol=1e-9)
+                   and math.isclose(r["score"], e[3], rel_tol=1e-4, abs_tol=1e-3) for e in expected[r["doc_id"]])
+    return found
+
+
+def test_language_model_equals_plain_network(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    monkeypatch.setattr(LM, "HEAD", 6_000)  # some words are joined, some broadcast
+    found = check_scores(spark, docs, [tuple(r) for r in docs.select("doc_id", "text").collect()], monkeypatch)
+    held = [r for r in found if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_language_model_edge_cases(spark, monkeypatch):
+    rows = [(1, None), (2, ""), (2, "Ärger ÄRGER a A\tb\x0bc \u00a0 d"), (2, "Ärger ÄRGER a A\tb\x0bc \u00a0 d"), (None, "a b c unseen"), (9, "x" * 5_000 + " a " * 3_000),
+            (10, "y" * 70 + " " + "y" * 71), (14, "b b"), (3, "b \U0001f600"), (4, "b b b c")]
+    docs = spark.createDataFrame([(*r, 1, "clash") for r in rows], "doc_id long, text string, row int, key string")
+    check_scores(spark, docs, rows, monkeypatch)
+    monkeypatch.setattr(LM, "HEAD", 0)
+    monkeypatch.undo()
+    assert LM.score(docs.limit(0)).collect() == []
+    untrained = LM.score(docs.where("doc_id is null")).collect()
+    assert [(r["train_tokens"], r["n_known"], r["n_tokens"]) for r in untrained] == [(0, 0, 5)]
+    assert untrained[0]["base_score"] == 0.0
+
+
+def test_language_model_gradient(monkeypatch):
+    """Truncated backpropagation against finite differences, in double precision."""
+    rng = np.random.default_rng(3)
+    w = {"embed": (LM.SYMBOLS, LM.EMBED), "input": (LM.EMBED, 3 * LM.HIDDEN), "gate": (3 * LM.HIDDEN,), "carry": (LM.HIDDEN, 3 * LM.HIDDEN), "class": (LM.HIDDEN, LM.CLASSES + LM.TAILS),
+         "class_bias": (LM.CLASSES + LM.TAILS,), "word": (LM.CLASSES, LM.HIDDEN, LM.MEMBERS), "word_bias": (LM.CLASSES, LM.MEMBERS)}
+    w = {k: (rng.standard_normal(s) * 0.5).astype(np.float32) for k, s in w.items()}
+    ids, target = rng.integers(0, LM.SYMBOLS, (5, 3)), rng.integers(0, LM.SYMBOLS, (5, 3))
+    valid = np.array([[1, 1, 1]] * 3 + [[1, 0, 1]] * 2, bool)
+    h = rng.standard_normal((3, LM.HIDDEN)).astype(np.float32)
+    grads = {}
+    monkeypatch.setattr(LM, "CLIP", 1e9)
+    monkeypatch.setattr(LM.Trainer, "_update", lambda self, name, at, g: grads.setdefault(name, []).append((at, g / math.sqrt(1 / valid.sum()))))
+    LM.Trainer(w).window(ids, target, valid, h)
+
+    def loss(w):
+        return -LM.outputs(w, LM.recur(w, ids, h)[0][1:][valid], target[valid])[0].sum()
+
+    for name, parts in grads.items():
+        whole = np.zeros_like(w[name])
+        for at, g in parts:
+            whole[at] += g
+        step = (rng.standard_normal(w[name].shape) * 1e-2).astype(np.float32)
+        up, down = loss({**w, name: w[name] + step}), loss({**w, name: w[name] - step})
+        assert (up - down) / 2 == pytest.approx(float((whole * step).sum()), rel=0.05, abs=2e-3), name
