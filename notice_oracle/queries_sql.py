@@ -100,20 +100,8 @@ PAIR_PARTS = """
          ELSE 0.0::DOUBLE END AS dp
   FROM {pairs} p JOIN newl n ON n.id = p.new_id JOIN other o ON o.id = p.id"""
 
-CONF = ("(CASE WHEN dp > 0 THEN (CASE WHEN j > 0 THEN (CASE WHEN dn THEN 0.0::DOUBLE + 0.4::DOUBLE ELSE 0.0::DOUBLE END) + j * 0.3::DOUBLE "
-        "ELSE (CASE WHEN dn THEN 0.0::DOUBLE + 0.4::DOUBLE ELSE 0.0::DOUBLE END) END) + dp * 0.1::DOUBLE "
-        "ELSE (CASE WHEN j > 0 THEN (CASE WHEN dn THEN 0.0::DOUBLE + 0.4::DOUBLE ELSE 0.0::DOUBLE END) + j * 0.3::DOUBLE "
-        "ELSE (CASE WHEN dn THEN 0.0::DOUBLE + 0.4::DOUBLE ELSE 0.0::DOUBLE END) END) END)")
-
 # docnum pairs: the new FR number inside a stored other-source title
 DN_PAIRS = ("dn_pairs", "SELECT DISTINCT n.id AS new_id, o.id FROM newl n JOIN other o ON contains(lower(o.title_norm || ' '), lower(n.fr_no))")
-NOTITLE_EDGES = ("edges_nt", f"""
-  SELECT new_id AS parent_event_id, id AS related_event_id, dn, j, dp, {CONF} AS confidence_raw,
-         CASE WHEN dn THEN 'references' WHEN j > 0 THEN 'related_products' END AS relationship_type,
-         array_to_string(list_filter([CASE WHEN dn THEN 'document_number' END, CASE WHEN j > 0 THEN 'hts_codes' END,
-                                      CASE WHEN dp > 0 THEN 'date_proximity' END], lambda x: x IS NOT NULL), ',') AS factors
-  FROM ({PAIR_PARTS.format(pairs='dn_pairs')}) WHERE {CONF} >= 0.5""")
-EDGEX = [NEWL, OTHER, DN_PAIRS, NOTITLE_EDGES]
 # every pair that can reach 0.5: a number match, or Jaccard >= 2/3 with equal titles or dates less than 30 days apart
 REACH = ("reach", """
   SELECT new_id, id FROM dn_pairs UNION
@@ -318,7 +306,6 @@ SELECT seq::BIGINT AS arrival_seq, content_hash FROM (
     SELECT k AS seq, content_hash FROM docs4 WHERE source = 'ustr'
     UNION ALL SELECT k + 1000000000 AS seq, content_hash FROM docs4 WHERE source = 'ustr' AND k % 20 = 0))
 WHERE r = 1""")
-reg("edge_upsert_ignore", "SELECT parent_event_id, related_event_id, relationship_type, confidence_raw FROM edges_nt", EDGEX)
 
 SCORE_CASES = ("scases", """
   SELECT k, pub, eff, exp, ocr, fb, rel, rate_original,
@@ -365,11 +352,6 @@ FROM (SELECT *, ends_with(href, '.pdf') AS is_pdf,
              row_number() OVER (PARTITION BY page_id, ends_with(href, '.pdf') ORDER BY k) AS r FROM listing)
 GROUP BY page_id""", [LISTING])
 reg("top5_candidates", "SELECT new_id, id, cand_rank::INTEGER AS cand_rank FROM cands", LINKX)
-reg("rank_matches", """
-SELECT parent_event_id, related_event_id, confidence_raw,
-       row_number() OVER (PARTITION BY parent_event_id ORDER BY round_even(confidence_raw, 2) DESC, o.ingestion_timestamp DESC, o.k DESC,
-                          related_event_id)::INTEGER AS match_rank
-FROM edges_nt e JOIN other o ON o.id = e.related_event_id""", EDGEX)
 reg("first5_sorted_codes", """
 SELECT k, array_to_string(list_slice(list_sort(list(substr(code, 1, 7))), 1, 5), ',') AS first5
 FROM (SELECT DISTINCT k, code FROM page_lines) GROUP BY k""")
@@ -384,7 +366,14 @@ PAGE_ROWS = ("page_rows", """
 reg("html_tables", """
 SELECT k, 0::INTEGER AS t_idx, 0::INTEGER AS r_idx, 'HTS | Description' AS row_text FROM filings
 UNION ALL
-SELECT k, 0::INTEGER, r::INTEGER, code || ' | Part ' || CAST(l_partkey AS VARCHAR) || ' & parts' FROM page_rows""", [PAGE_ROWS])
+SELECT k, 0::INTEGER, r::INTEGER, code || ' | Part ' || CAST(l_partkey AS VARCHAR) || ' & parts' FROM page_rows WHERE k % 13 <> 5
+UNION ALL
+SELECT k, 0::INTEGER, (2 * r - 1)::INTEGER, code || ' | Part ' || CAST(l_partkey AS VARCHAR) || ' & partssee ' || code || ' | see ' || code
+FROM page_rows WHERE k % 13 = 5
+UNION ALL
+SELECT k, 0::INTEGER, (2 * r)::INTEGER, 'see ' || code FROM page_rows WHERE k % 13 = 5
+UNION ALL
+SELECT k, r::INTEGER, 0::INTEGER, 'see ' || code FROM page_rows WHERE k % 13 = 5""", [PAGE_ROWS])
 _ART = f"regexp_extract(coalesce(html, ''), {q(r'(?is)<article\b[^>]*>(.*?)</article\s*>')}, 1)"
 reg("main_content", f"""
 SELECT 'page:' || CAST(page_id AS VARCHAR) AS doc, sha256({strip_tags_text(drop_markup(_ART))}) AS content_sha256 FROM pages
@@ -393,7 +382,7 @@ SELECT 'notice:' || CAST(f.k AS VARCHAR),
        sha256(f.title || coalesce(' ' || s.sents, '') || ' HTS Description' || coalesce(' ' || s.rows_t, ''))
 FROM filings f LEFT JOIN (
   SELECT k, string_agg(sentence, ' ' ORDER BY r) AS sents,
-         string_agg(code || ' Part ' || CAST(l_partkey AS VARCHAR) || ' & parts', ' ' ORDER BY r) AS rows_t
+         string_agg(code || ' Part ' || CAST(l_partkey AS VARCHAR) || ' & parts' || CASE WHEN k % 13 = 5 THEN ' see ' || code ELSE '' END, ' ' ORDER BY r) AS rows_t
   FROM page_rows GROUP BY k) s ON s.k = f.k
 WHERE f.source = 'cbp_csms'""", [PAGE_ROWS])
 reg("html_hts_codes", """
@@ -418,7 +407,13 @@ FROM (
 reg("products_from_tables", f"""
 SELECT k, 0::INTEGER AS t_idx, r::INTEGER AS r_idx, array_to_string(list_sort(list_distinct([code, {CODE6N}])), ',') AS codes,
        'Part ' || CAST(l_partkey AS VARCHAR) || ' & parts' AS description
-FROM page_rows""", [PAGE_ROWS])
+FROM page_rows WHERE k % 13 <> 5
+UNION ALL
+SELECT k, 0::INTEGER, (2 * r - 1)::INTEGER, repeat(array_to_string(list_sort(list_distinct([code, {CODE6N}])), ',') || ',', 2)
+       || array_to_string(list_sort(list_distinct([code, {CODE6N}])), ','), '' FROM page_rows WHERE k % 13 = 5
+UNION ALL
+SELECT k, t.t::INTEGER, CASE WHEN t.t = 0 THEN 2 * r ELSE 0 END::INTEGER, array_to_string(list_sort(list_distinct([code, {CODE6N}])), ','), ''
+FROM page_rows, LATERAL (SELECT unnest([0, r]) AS t) t WHERE k % 13 = 5""", [PAGE_ROWS])
 reg("extract_countries", """
 SELECT l_orderkey, l_linenumber, l_partkey,
        CASE country WHEN 'CN' THEN 'CN' WHEN 'MX' THEN 'MX' WHEN 'ZZ' THEN '' ELSE 'CN,KR' END AS countries FROM plines""")
@@ -499,32 +494,10 @@ SELECT id, md5('{"hts_codes": [' || coalesce(array_to_string(list_transform(list
                 '], "publication_date": ' || CASE WHEN pub_iso IS NULL THEN 'null' ELSE '"' || pub_iso || '"' END ||
                 ', "source": "' || source || '"}') AS fuzzy_hash
 FROM store""")
-reg("link_confidence", f"""
-SELECT new_id AS parent_event_id, id AS related_event_id, {CONF} AS confidence_raw, dn, j, dp
-FROM ({PAIR_PARTS.format(pairs='reach')})""", REACHX)
-reg("relationship_type", "SELECT parent_event_id, related_event_id, relationship_type, factors FROM edges_nt", EDGEX)
 
 # ----------------------------------------------------------------- K: constraints / rules
 
 _EVENTS_ALL = ("ev_all", "SELECT id, content_hash, confidence_raw FROM store UNION ALL SELECT id, content_hash, confidence_raw FROM fr_new")
-reg("check_constraints", """
-SELECT rule, severity, violations::BIGINT AS violations FROM (
-  SELECT 'confidence_score_range' AS rule, 'error' AS severity, 0 AS violations
-  UNION ALL SELECT 'validation_status_enum', 'error', 0
-  UNION ALL SELECT 'content_hash_not_null', 'error', count(*) FILTER (WHERE content_hash IS NULL) FROM ev_all
-  UNION ALL SELECT 'parser_version_not_null', 'error', 0
-  UNION ALL SELECT 'source_not_null', 'error', 0
-  UNION ALL SELECT 'source_priority_not_null', 'error', 0
-  UNION ALL SELECT 'data_not_null', 'error', 0
-  UNION ALL SELECT 'ingestion_timestamp_not_null', 'error', 0
-  UNION ALL SELECT 'content_hash_unique', 'error', coalesce(sum(n - 1), 0) FROM (
-      SELECT content_hash, count(*) AS n FROM ev_all GROUP BY 1 HAVING count(*) > 1)
-  UNION ALL SELECT 'parent_event_id_fk', 'error', count(*) FROM edges_nt WHERE parent_event_id NOT IN (SELECT id FROM ev_all)
-  UNION ALL SELECT 'related_event_id_fk', 'error', count(*) FROM edges_nt WHERE related_event_id NOT IN (SELECT id FROM ev_all)
-  UNION ALL SELECT 'edge_pair_unique', 'error', coalesce(sum(n - 1), 0) FROM (
-      SELECT parent_event_id, related_event_id, count(*) AS n FROM edges_nt GROUP BY 1, 2 HAVING count(*) > 1)
-  UNION ALL SELECT 'edge_confidence_range', 'error', count(*) FILTER (WHERE confidence_raw < 0 OR confidence_raw > 1) FROM edges_nt
-)""", EDGEX + [_EVENTS_ALL])
 reg("rule_table", """
 SELECT rule, severity, violations::BIGINT AS violations FROM (
   SELECT 'hts_code_pattern' AS rule, 'error' AS severity, 0 AS violations
@@ -579,20 +552,20 @@ def reg_ratio(name: str, body: str, extra):
     SQL[name] = with_ctes(body, extra).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-def titled(pairs: str) -> list[tuple[str, str]]:
-    """Scored edges ``edges_t`` of the (new_id, id) pairs in the relation ``pairs``, with the title part."""
+def titled(pairs: str, least: float = 0.5) -> list[tuple[str, str]]:
+    """Scored edges ``edges_t`` of the (new_id, id) pairs in the relation ``pairs``: those of ``least`` or more."""
     names = f"SELECT lower(n.title_norm) AS a, lower(o.title_norm) AS b FROM {pairs} p JOIN newl n ON n.id = p.new_id JOIN other o ON o.id = p.id"
     total = ("((CASE WHEN dn THEN 0.4::DOUBLE ELSE 0.0::DOUBLE END + CASE WHEN j > 0 THEN j * 0.3::DOUBLE ELSE 0.0::DOUBLE END)"
              " + CASE WHEN r > 0.7 THEN r * 0.2::DOUBLE ELSE 0.0::DOUBLE END) + CASE WHEN dp > 0 THEN dp * 0.1::DOUBLE ELSE 0.0::DOUBLE END")
     return [*ratio_ctes(names), ("edges_t", f"""
-  SELECT new_id AS parent_event_id, id AS related_event_id, {total} AS confidence_raw, ts, k,
+  SELECT new_id AS parent_event_id, id AS related_event_id, {total} AS confidence_raw, ts, k, dn, j, dp, r,
          CASE WHEN dn THEN 'references' WHEN j > 0 THEN 'related_products' WHEN r > 0.7 THEN 'similar_topic' END AS relationship_type,
          array_to_string(list_filter([CASE WHEN dn THEN 'document_number' END, CASE WHEN j > 0 THEN 'hts_codes' END, CASE WHEN r > 0.7 THEN 'title' END,
                                       CASE WHEN dp > 0 THEN 'date_proximity' END], lambda x: x IS NOT NULL), ',') AS factors
   FROM (SELECT q.*, coalesce(t.ratio, 0.0::DOUBLE) AS r, o.ingestion_timestamp AS ts, o.k
         FROM ({PAIR_PARTS.format(pairs=pairs)}) q JOIN newl n ON n.id = q.new_id JOIN other o ON o.id = q.id
         LEFT JOIN ratios t ON t.a = lower(n.title_norm) AND t.b = lower(o.title_norm))
-  WHERE {total} >= 0.5""")]
+  WHERE {total} >= {least}""")]
 
 
 reg_ratio("title_ratio", """
@@ -606,6 +579,32 @@ reg_ratio("fr_pipeline_links", """
 SELECT parent_event_id, related_event_id, relationship_type, confidence_raw,
        row_number() OVER (PARTITION BY parent_event_id ORDER BY round_even(confidence_raw, 2) DESC, ts DESC, k DESC, related_event_id)::INTEGER AS match_rank
 FROM edges_t""", [*REACHX, *titled("reach")])
+reg_ratio("rank_matches", """
+SELECT parent_event_id, related_event_id, confidence_raw,
+       row_number() OVER (PARTITION BY parent_event_id ORDER BY round_even(confidence_raw, 2) DESC, ts DESC, k DESC, related_event_id)::INTEGER AS match_rank
+FROM edges_t""", [*REACHX, *titled("reach")])
+reg_ratio("edge_upsert_ignore", "SELECT parent_event_id, related_event_id, relationship_type, confidence_raw FROM edges_t", [*REACHX, *titled("reach")])
+reg_ratio("relationship_type", "SELECT parent_event_id, related_event_id, relationship_type, factors FROM edges_t", [*REACHX, *titled("reach")])
+reg_ratio("link_confidence", "SELECT parent_event_id, related_event_id, confidence_raw, dn, j, dp, r AS title_ratio FROM edges_t",
+          [*REACHX, *titled("reach", 0.0)])
+reg_ratio("check_constraints", """
+SELECT rule, severity, violations::BIGINT AS violations FROM (
+  SELECT 'confidence_score_range' AS rule, 'error' AS severity, 0 AS violations
+  UNION ALL SELECT 'validation_status_enum', 'error', 0
+  UNION ALL SELECT 'content_hash_not_null', 'error', count(*) FILTER (WHERE content_hash IS NULL) FROM ev_all
+  UNION ALL SELECT 'parser_version_not_null', 'error', 0
+  UNION ALL SELECT 'source_not_null', 'error', 0
+  UNION ALL SELECT 'source_priority_not_null', 'error', 0
+  UNION ALL SELECT 'data_not_null', 'error', 0
+  UNION ALL SELECT 'ingestion_timestamp_not_null', 'error', 0
+  UNION ALL SELECT 'content_hash_unique', 'error', coalesce(sum(n - 1), 0) FROM (
+      SELECT content_hash, count(*) AS n FROM ev_all GROUP BY 1 HAVING count(*) > 1)
+  UNION ALL SELECT 'parent_event_id_fk', 'error', count(*) FROM edges_t WHERE parent_event_id NOT IN (SELECT id FROM ev_all)
+  UNION ALL SELECT 'related_event_id_fk', 'error', count(*) FROM edges_t WHERE related_event_id NOT IN (SELECT id FROM ev_all)
+  UNION ALL SELECT 'edge_pair_unique', 'error', coalesce(sum(n - 1), 0) FROM (
+      SELECT parent_event_id, related_event_id, count(*) AS n FROM edges_t GROUP BY 1, 2 HAVING count(*) > 1)
+  UNION ALL SELECT 'edge_confidence_range', 'error', count(*) FILTER (WHERE confidence_raw < 0 OR confidence_raw > 1) FROM edges_t
+)""", [*REACHX, *titled("reach"), _EVENTS_ALL])
 
 DUP_NEW = ("dnew", """
   SELECT CAST(k AS VARCHAR) AS new_id, fr_no,
@@ -615,14 +614,14 @@ DUP_NEW = ("dnew", """
   FROM docs4 WHERE source = 'federal_register'""")
 DUP_PAIRS = ("dpairs", """
   SELECT n.new_id, s.id AS existing_id, lower(n.title) AS a, lower(s.title_norm) AS b, n.pub IS NOT DISTINCT FROM s.pub_iso AS same_day,
-         len(list_intersect(n.codes, s.codes))::DOUBLE / len(list_distinct(list_concat(n.codes, s.codes)))::DOUBLE AS overlap
-  FROM dnew n JOIN store s ON s.source = 'federal_register' AND s.fr_no = n.fr_no
-  WHERE len(n.codes) > 0 AND len(s.codes) > 0""")
+         CASE WHEN len(n.codes) > 0 AND len(s.codes) > 0
+              THEN len(list_intersect(n.codes, s.codes))::DOUBLE / len(list_distinct(list_concat(n.codes, s.codes)))::DOUBLE END AS overlap
+  FROM dnew n JOIN store s ON s.source = 'federal_register' AND s.fr_no = n.fr_no""")
 DUP_SCORED = ("dscored", """
-  SELECT new_id, existing_id, ((0.4::DOUBLE + 0.3::DOUBLE * overlap) + 0.2::DOUBLE * t.ratio)
+  SELECT new_id, existing_id, ((0.4::DOUBLE + coalesce(0.3::DOUBLE * overlap, 0.0::DOUBLE)) + 0.2::DOUBLE * t.ratio)
          + CASE WHEN same_day THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END AS similarity
-  FROM dpairs d JOIN ratios t ON t.a = d.a AND t.b = d.b WHERE overlap >= 0.5""")
-DUPX = [DUP_NEW, DUP_PAIRS, *ratio_ctes("SELECT a, b FROM dpairs WHERE overlap >= 0.5"), DUP_SCORED]
+  FROM dpairs d JOIN ratios t ON t.a = d.a AND t.b = d.b""")
+DUPX = [DUP_NEW, DUP_PAIRS, *ratio_ctes("SELECT a, b FROM dpairs"), DUP_SCORED]
 reg_ratio("doc_similarity", "SELECT new_id, existing_id, similarity FROM dscored", DUPX)
 reg_ratio("near_duplicates", "SELECT new_id, existing_id, similarity FROM dscored WHERE similarity >= 0.85", DUPX)
 reg_ratio("rank_duplicates", """
@@ -656,7 +655,9 @@ RAW_ZONE = ("raw_rows", f"""
           + coalesce(s.n, 0))::INTEGER AS body_chars, f.pdf_url
   FROM filings f LEFT JOIN (
     SELECT k, sum(length('<p>' || sentence || '</p>')
-                  + length('<tr><td> ' || code || '</td><td>Part ' || CAST(l_partkey AS VARCHAR) || ' &amp; parts</td></tr>')) AS n
+                  + length('<tr><td> ' || code || '<td>Part ' || CAST(l_partkey AS VARCHAR) || ' &amp; parts')
+                  + CASE WHEN k % 13 = 5 THEN length('<table><tr><td>see ' || code || '</table>') ELSE 0 END
+                  + CASE WHEN k % 11 = 4 THEN 0 WHEN k % 13 = 5 THEN length('</td></td></tr></td></tr>') ELSE length('</td></td></tr>') END) AS n
     FROM page_lines GROUP BY k) s ON s.k = f.k""")
 reg("raw_zone", "SELECT source, doc_id, name, body_chars FROM raw_rows", [RAW_ZONE])
 reg("read_raw", "SELECT source, doc_id, name, body_chars FROM raw_rows WHERE pdf_url IS NOT NULL", [RAW_ZONE])

@@ -1,12 +1,13 @@
 """Text, regex and HTML expressions (Column -> Column), all built-in.
 
-HTML handling is a regular-expression job over the page string: it supports
-well-formed, non-nested tables and nested divs, which keeps the work inside the
-JVM instead of a per-row DOM parser.
+HTML handling keeps the work inside the JVM instead of a per-row DOM parser: markup is
+found by regular expressions, nesting (tables in cells, divs in divs) and omitted end
+tags by folds over the tags.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -20,6 +21,11 @@ TAG = r"(?s)<[a-zA-Z/!?][^>]*>"
 DROPPED_SUBTREES = ["script", "style", "nav", "header", "footer"]
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with ``value`` evaluated once, however often ``f`` uses it (a lambda variable is not expanded)."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def collapse_ws(s: Column) -> Column:
     """``' '.join(s.split())``."""
     t = F.regexp_replace(s, K.WS + "+", " ")
@@ -43,8 +49,11 @@ def _decode_entity(e: Column) -> Column:
 
 def decode_entities(s: Column) -> Column:
     """Named (the standard library's table) and numeric character references; texts without '&' are left alone."""
-    pieces = F.regexp_extract_all(s, F.lit("&#?[a-zA-Z0-9]+;|[^&]+|&"), 0)
-    return F.when(F.contains(s, F.lit("&")), F.array_join(F.transform(pieces, _decode_entity), "")).otherwise(s)
+    def decoded(v: Column) -> Column:
+        pieces = F.regexp_extract_all(v, F.lit("&#?[a-zA-Z0-9]+;|[^&]+|&"), 0)
+        return F.when(F.contains(v, F.lit("&")), F.array_join(F.transform(pieces, _decode_entity), "")).otherwise(v)
+
+    return bound(s, decoded)
 
 
 def _drop_markup(html: Column) -> Column:
@@ -74,23 +83,85 @@ def html_code_text(html: Column) -> Column:
     return decode_entities(F.regexp_replace(_drop_markup(F.coalesce(html, F.lit(""))), TAG, " "))
 
 
+# Tags of tables: their number, the numbers of elements whose end a start tag implies while they are innermost, and a
+# rank: an end tag is ignored where an open element of higher rank stands between it and its start tag.
+_TABLE_TAGS = {"td": 1, "th": 2, "tr": 3, "thead": 4, "tbody": 5, "tfoot": 6, "table": 7}
+_ENDS_BEFORE = {"td": [1, 2], "th": [1, 2], "tr": [1, 2, 3], "tbody": [1, 2, 3, 4, 5, 6], "tfoot": [1, 2, 3, 4, 5], "thead": [], "table": []}
+_RANK = {1: 1, 2: 1, 3: 2, 4: 3, 5: 3, 6: 3, 7: 4}
+_TABLE_TAG = r"(?is)</?(?:table|thead|tbody|tfoot|tr|td|th)\b[^>]*>"
+
+
+def _table_nodes(tags: Column) -> Column:
+    """All table elements of a page in document order: ``array<struct<idx, kind, at, end, size>>``.
+
+    One fold over the tags carries the stack of open elements.  A start tag first ends the innermost elements whose end it
+    implies; an end tag ends everything up to its start tag; the end of the page ends the rest.  An element that ends gives
+    a node: its number ``idx`` in document order, its ``kind``, the tags ``at`` .. ``end`` - 1 that it spans and the number
+    ``size`` of the elements within it, which are the next ``size`` nodes.
+    """
+    number = F.create_map(*[F.lit(x) for kv in _TABLE_TAGS.items() for x in kv])
+    implied = F.array(*[F.array(*map(F.lit, _ENDS_BEFORE[n])).cast("array<int>") for n in _TABLE_TAGS])
+    rank = F.array(*[F.lit(_RANK[k]) for k in _TABLE_TAGS.values()])
+    read = lambda t: F.struct(t.startswith("</").alias("ends"), F.element_at(number, F.lower(F.regexp_extract(t, r"^</?([a-zA-Z]+)", 1))).alias("kind"))
+    look_up = lambda t: F.struct(t.getField("ends").alias("ends"), t.getField("kind").alias("kind"), F.element_at(rank, t.getField("kind")).alias("rank"), F.element_at(implied, t.getField("kind")).alias("implied"))
+    tags = F.transform(F.transform(tags, read), look_up)
+    open_type, node_type = "array<struct<idx:int,kind:int,at:int,rank:int>>", "array<struct<idx:int,kind:int,at:int,end:int,size:int>>"
+
+    def last_where(stack: Column, test: Callable[[Column], Column]) -> Column:
+        """1-based place of the innermost open element that passes, 0 without one."""
+        return F.aggregate(stack, F.struct(F.lit(0).alias("i"), F.lit(0).alias("last")), lambda a, e: F.struct(
+            (a.getField("i") + 1).alias("i"), F.when(test(e), a.getField("i") + 1).otherwise(a.getField("last")).alias("last")), lambda a: a.getField("last"))
+
+    def closed(acc: Column, stack: Column, keep: Column, end: Column) -> Column:
+        """The nodes of the elements that leave the stack."""
+        gone = F.slice(stack, keep + 1, F.size(stack) - keep)
+        return F.concat(acc.getField("nodes"), F.transform(gone, lambda e: F.struct(
+            e.getField("idx").alias("idx"), e.getField("kind").alias("kind"), e.getField("at").alias("at"), end.alias("end"),
+            (acc.getField("n") - e.getField("idx") - 1).alias("size"))))
+
+    def step(acc: Column, tag: Column) -> Column:
+        stack, at, n = acc.getField("stack"), acc.getField("at"), acc.getField("n")
+        ends, kind = tag.getField("ends"), tag.getField("kind")
+        own = last_where(stack, lambda e: e.getField("kind") == kind)
+        above = last_where(stack, lambda e: e.getField("rank") > tag.getField("rank"))
+        stays = last_where(stack, lambda e: ~F.array_contains(tag.getField("implied"), e.getField("kind")))
+        keep = F.when(~ends, stays).otherwise(bound(own, lambda o: F.when((o > 0) & (o > above), o - 1).otherwise(F.size(stack)))).cast("int")
+        new = F.when(ends, F.array().cast(open_type)).otherwise(F.array(F.struct(n.alias("idx"), kind.alias("kind"), at.alias("at"), tag.getField("rank").alias("rank"))))
+        return bound(keep, lambda k: F.struct(
+            F.concat(F.slice(stack, F.lit(1), k), new).alias("stack"), closed(acc, stack, k, at).alias("nodes"),
+            (at + 1).cast("int").alias("at"), F.when(ends, n).otherwise(n + 1).cast("int").alias("n")))
+
+    start = F.struct(F.array().cast(open_type).alias("stack"), F.array().cast(node_type).alias("nodes"), F.lit(0).alias("at"), F.lit(0).alias("n"))
+    return F.aggregate(tags, start, step, lambda acc: F.array_sort(closed(acc, acc.getField("stack"), F.lit(0), acc.getField("at"))))
+
+
 def html_tables(html: Column) -> Column:
-    """array<array<array<string>>> of every table's non-empty rows of td/th text."""
-    body = _drop_markup(F.coalesce(html, F.lit("")))
-    tables = F.regexp_extract_all(body, F.lit(r"(?is)<table\b[^>]*>(.*?)</table\s*>"), 1)
+    """array<array<array<string>>>: every table, its rows and the text of their cells, in document order.
+
+    Nested tables count as the tree has them: a table's rows and a row's cells include those of the tables within, a cell's
+    text includes theirs, and each nested table follows as a table of its own.  Omitted end tags of cells, rows and sections
+    are implied.  Rows without cells and tables without rows are left out.
+    """
+    def of_nodes(nodes: Column, texts: Column) -> Column:
+        def within(node: Column, kinds: Callable[[Column], Column]) -> Column:
+            return F.filter(F.slice(nodes, node.getField("idx") + 2, node.getField("size")), lambda x: kinds(x.getField("kind")))
+
+        def cells(row: Column) -> Column:
+            return F.transform(within(row, lambda k: k <= 2), lambda c: F.array_join(
+                F.slice(texts, c.getField("at") + 1, c.getField("end") - c.getField("at")), ""))
 
-    def rows_of(tbl: Column) -> Column:
-        rows = F.regexp_extract_all(tbl, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), 1)
-        cells = F.transform(
-            rows,
-            lambda r: F.transform(
-                F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), 1),
-                joined_text,
-            ),
-        )
-        return F.filter(cells, lambda r: F.size(r) > 0)
+        def rows(table: Column) -> Column:
+            return F.filter(F.transform(within(table, lambda k: k == 3), cells), lambda r: F.size(r) > 0)
 
-    return F.filter(F.transform(tables, rows_of), lambda t: F.size(t) > 0)
+        tables = F.filter(nodes, lambda x: x.getField("kind") == 7)
+        return F.filter(F.transform(tables, rows), lambda t: F.size(t) > 0)
+
+    def of_body(body: Column) -> Column:
+        tags = F.regexp_extract_all(body, F.lit(_TABLE_TAG), 0)
+        after = F.transform(F.slice(F.split(body, _TABLE_TAG, -1), F.lit(2), F.size(tags)), joined_text)
+        return bound(F.struct(_table_nodes(tags).alias("nodes"), after.alias("texts")), lambda v: of_nodes(v.getField("nodes"), v.getField("texts")))
+
+    return F.when(F.coalesce(html, F.lit("")).rlike(r"(?i)<table\b"), bound(_drop_markup(html), of_body)).otherwise(F.array().cast("array<array<array<string>>>"))
 
 
 def main_content_article(html: Column) -> Column:
@@ -108,16 +179,19 @@ def _div_text(html: Column, opening: str) -> Column:
 
     The end is found by nesting depth over the div tags that follow; an unclosed div reaches to the end.
     """
-    rest = F.regexp_extract(html, f"(?is){opening}(.*)$", 1)
-
     def step(acc, tag):
         deeper = F.struct((acc.getField("depth") + F.when(tag.startswith("</"), -1).otherwise(1)).alias("depth"), (acc.getField("n") + 1).alias("n"))
         return F.when(acc.getField("depth") == 0, acc).otherwise(deeper)
 
-    walked = F.aggregate(F.regexp_extract_all(rest, F.lit(_DIV), 0), F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")), step)
-    pieces = F.split(rest, _DIV, -1)
-    inside = F.when(walked.getField("depth") == 0, walked.getField("n")).otherwise(F.size(pieces))
-    return F.when(html.rlike(f"(?is){opening}"), strip_tags_text(F.array_join(F.slice(pieces, 1, inside), " ")))
+    def inner(rest: Column) -> Column:
+        walked = F.aggregate(F.regexp_extract_all(rest, F.lit(_DIV), 0), F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")), step)
+        pieces = F.split(rest, _DIV, -1)
+        return bound(F.struct(walked.alias("w"), pieces.alias("p")), lambda v: strip_tags_text(F.array_join(F.slice(
+            v.getField("p"), F.lit(1), F.when(v.getField("w").getField("depth") == 0, v.getField("w").getField("n")).otherwise(F.size(v.getField("p")))), " ")))
+
+    # The start tag and the rest of the page in one match; '' stands for no match, since a match has the start tag.
+    found = F.regexp_extract(html, f"(?is){opening}.*$", 0)
+    return bound(found, lambda m: F.when(m != "", inner(F.regexp_replace(m, r"^<[^>]*>", ""))))
 
 
 def _div_class(name: str) -> str:

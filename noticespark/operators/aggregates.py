@@ -47,5 +47,5 @@ def products_from_tables(df: DataFrame, key: str, tables_col: str) -> DataFrame:
     zipped = F.transform("cells", lambda c: F.struct(c.alias("c"), C.extract_hts_codes(c).alias("k")))
     codes = F.flatten(F.transform(zipped, lambda z: z.getField("k")))
     desc_cells = F.filter(zipped, lambda z: (F.size(z.getField("k")) == 0) & (F.length(z.getField("c")) > 10))
-    desc = F.coalesce(F.element_at(F.transform(desc_cells, lambda z: z.getField("c")), -1), F.lit(""))
+    desc = F.coalesce(F.try_element_at(F.transform(desc_cells, lambda z: z.getField("c")), F.lit(-1)), F.lit(""))
     return r.select(key, "t_idx", "r_idx", codes.alias("hts_codes"), desc.alias("description")).where(F.size("hts_codes") > 0)

@@ -20,6 +20,7 @@ from ..operators import enrich as E
 from ..operators import parse as P
 from ..operators.dedup import dedup_against_store, dedup_within_batch, distinct_by_docnum, edge_upsert_ignore, skip_seen_urls
 from ..operators.link import link_documents
+from .sinks import append_events, append_relationships, read_table_or_empty, staged
 
 DEFAULT_AS_OF = "2026-01-01 00:00:00"
 ACTION_TYPES = {"federal_register": "unknown", "ustr": "unknown", "cbp_csms": "implementation"}
@@ -122,6 +123,8 @@ def run_batch(parsed: DataFrame, source: str, store: DataFrame | None = None, pa
     if skip_urls and store is not None:
         parsed = skip_seen_urls(parsed, store.where(F.col("source") == source))
     docs = mark_failed(prepare_documents(parsed, source, pages, pdf_docs), source, pages is not None)
+    if link and store is not None:
+        docs = staged(docs, "documents")   # linking reads both sides many times: they start from files
     first = fresh_documents(docs, source, store)
     events = event_envelope(first, as_of)
 
@@ -133,8 +136,9 @@ def run_batch(parsed: DataFrame, source: str, store: DataFrame | None = None, pa
                        .otherwise(F.lit("duplicate")).alias("outcome")))
 
     if link and store is not None:
-        others = link_projection(store.where(F.col("source") != source))
-        edges = link_documents(link_projection(events), others, limit=link_limit, with_title=with_title)
+        new = staged(link_projection(events), "new")
+        others = staged(link_projection(store.where(F.col("source") != source)), "others")
+        edges = link_documents(new, others, limit=link_limit, with_title=with_title)
         edges = edge_upsert_ignore(edges, existing_edges)
     else:
         edges = None
@@ -149,13 +153,12 @@ def store_batch(result: BatchResult, store: DataFrame, source: str, staging_path
     Linking from the staged rows (instead of the lazy event plan) runs the
     document preparation once per batch and cuts the lineage before the join work.
     """
-    from .sinks import append_events, append_relationships, read_table_or_empty
     spark = result.events.sparkSession
     result.events.write.mode("overwrite").parquet(staging_path)
-    staged = spark.read.parquet(staging_path)
-    append_events(staged, events_path)
-    others = link_projection(store.where(F.col("source") != source))
-    edges = link_documents(link_projection(staged), others, limit=link_limit, with_title=with_title)
+    own = spark.read.parquet(staging_path)
+    append_events(own, events_path)
+    others = staged(link_projection(store.where(F.col("source") != source)), "others")
+    edges = link_documents(staged(link_projection(own), "new"), others, limit=link_limit, with_title=with_title)
     stored_edges = read_table_or_empty(spark, edges_path, edges)
     append_relationships(edge_upsert_ignore(edges, stored_edges), edges_path)
 

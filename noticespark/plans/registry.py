@@ -52,14 +52,13 @@ def _event_cols(ev: DataFrame) -> DataFrame:
 
 
 def _fr_new_events(spark, sf):
-    return SC.fr_run(spark, sf).events
+    return SC.fr_run(spark, sf, link=False).events
 
 
 def _link_sides(spark, sf):
-    l = SC.landed(spark, sf)
-    store = SC.store_events(spark, sf, l)
-    new = PL.fr_pipeline(l.fr_raw, l.pages, l.pdf_pages, store, as_of=SC.AS_OF["federal_register"], link=False).events
-    return PL.link_projection(new), PL.link_projection(store.where(F.col("source") != "federal_register")), store
+    """The run's new events and the stored events of the other sources in the linking shape (staged), and the store."""
+    new, other = SC.link_sides(spark, sf)
+    return new, other, SC.store_events(spark, sf)
 
 
 # ------------------------------------------------------------------ Q: whole pipelines
@@ -236,7 +235,7 @@ def q_link_projection(spark, sf):
 @query("outcome_status")
 def q_outcomes(spark, sf):
     """Outcome of every FR document of the run."""
-    return SC.fr_run(spark, sf).outcomes.select("arrival_seq", "outcome")
+    return SC.fr_run(spark, sf, link=False).outcomes.select("arrival_seq", "outcome")
 
 
 @query("url_tail")
@@ -391,7 +390,7 @@ def q_country(spark, sf):
 def q_source_rel(spark, sf):
     """Relationship name for every reachable pair's ordered source pair."""
     new, store, _ = _link_sides(spark, sf)
-    c = L.reachable_pairs(new, store)
+    c = SC.run_pairs(spark, sf)
     j = c.join(store.select("id", "source"), "id")
     return j.select("new_id", "id", source_relationship(F.lit("federal_register"), F.col("source")).alias("relationship"))
 
@@ -430,14 +429,14 @@ def q_hts_batch(spark, sf):
 @query("run_summary")
 def q_run_summary(spark, sf):
     """A5: documents and products per outcome of the FR run."""
-    return PL.run_summary(SC.fr_run(spark, sf).outcomes)
+    return PL.run_summary(SC.fr_run(spark, sf, link=False).outcomes)
 
 
 @query("jaccard_codes")
 def q_jaccard(spark, sf):
     """Code Jaccard of every reachable pair."""
     new, store, _ = _link_sides(spark, sf)
-    c = L.reachable_pairs(new, store)
+    c = SC.run_pairs(spark, sf)
     j = (c.join(new.select(F.col("id").alias("new_id"), F.col("codes").alias("a")), "new_id")
          .join(store.select("id", F.col("codes").alias("b")), "id"))
     return j.select("new_id", "id", jaccard(F.col("a"), F.col("b")).alias("jaccard"))
@@ -454,9 +453,8 @@ def q_dedup_batch(spark, sf):
 
 @query("edge_upsert_ignore")
 def q_edge_upsert(spark, sf):
-    """No-title edges over all candidates, inserted twice -> one row per (parent, related)."""
-    new, store, _ = _link_sides(spark, sf)
-    e = L.link_documents(new, store, limit=None, with_title=False)
+    """All edges of the run, inserted twice -> one row per (parent, related)."""
+    e = SC.run_edges(spark, sf)
     first = DD.edge_upsert_ignore(e)
     again = DD.edge_upsert_ignore(e, existing_edges=first)
     return first.unionByName(again).select("parent_event_id", "related_event_id", "relationship_type", "confidence_raw")
@@ -493,10 +491,8 @@ def q_top5(spark, sf):
 
 @query("rank_matches")
 def q_rank_matches(spark, sf):
-    """No-title edges over all candidates ranked by confidence per parent."""
-    new, store, _ = _link_sides(spark, sf)
-    e = L.link_documents(new, store, limit=None, with_title=False)
-    return e.select("parent_event_id", "related_event_id", "confidence_raw", "match_rank")
+    """All edges of the run ranked by confidence per parent."""
+    return SC.run_edges(spark, sf).select("parent_event_id", "related_event_id", "confidence_raw", "match_rank")
 
 
 @query("rank_duplicates")
@@ -636,7 +632,7 @@ def q_normalize_text(spark, sf):
 def q_title_ratio(spark, sf):
     """Difflib ratio of every reachable pair's titles (Arrow UDF)."""
     new, store, _ = _link_sides(spark, sf)
-    c = L.reachable_pairs(new, store)
+    c = SC.run_pairs(spark, sf)
     j = (c.join(new.select(F.col("id").alias("new_id"), F.col("title").alias("a")), "new_id")
          .join(store.select("id", F.col("title").alias("b")), "id"))
     return j.select("new_id", "id", title_ratio(F.col("a"), F.col("b")).alias("ratio"))
@@ -688,7 +684,7 @@ def q_validate_dates(spark, sf):
 def q_date_prox(spark, sf):
     """D5 for every reachable pair."""
     new, store, _ = _link_sides(spark, sf)
-    c = L.reachable_pairs(new, store)
+    c = SC.run_pairs(spark, sf)
     j = (c.join(new.select(F.col("id").alias("new_id"), F.col("publication_date").alias("a")), "new_id")
          .join(store.select("id", F.col("publication_date").alias("b")), "id"))
     return j.select("new_id", "id", D.date_proximity(F.col("a"), F.col("b")).alias("proximity"))
@@ -769,26 +765,23 @@ def q_fuzzy(spark, sf):
 
 @query("doc_similarity")
 def q_doc_sim(spark, sf):
-    """Scores of all pairs with equal numbers whose code overlap is at least one half, without the threshold."""
+    """Scores of all pairs with equal numbers, without the threshold."""
     new, stored = _dup_sides(spark, sf)
-    return DD.near_duplicates(new, stored, threshold=0.0).where("overlap >= 0.5").select("new_id", "existing_id", "similarity")
+    return DD.near_duplicates(new, stored, threshold=0.0).select("new_id", "existing_id", "similarity")
 
 
 @query("link_confidence")
 def q_link_conf(spark, sf):
-    """C11 without the title part for every reachable pair (threshold not applied)."""
+    """C11 for every reachable pair (threshold not applied)."""
     new, store, _ = _link_sides(spark, sf)
-    c = L.reachable_pairs(new, store)
-    s = L.score_pairs(c, new, store, with_title=False, min_confidence=None)
-    return s.select("parent_event_id", "related_event_id", "confidence_raw", "dn", "j", "dp")
+    s = L.score_pairs(SC.run_pairs(spark, sf), new, store, min_confidence=None)
+    return s.select("parent_event_id", "related_event_id", "confidence_raw", "dn", "j", "dp", "title_ratio")
 
 
 @query("relationship_type")
 def q_rel_type(spark, sf):
-    """C12 without the title part over all candidates reaching 0.5."""
-    new, store, _ = _link_sides(spark, sf)
-    e = L.link_documents(new, store, limit=None, with_title=False)
-    return e.select("parent_event_id", "related_event_id", "relationship_type",
+    """C12 of all edges of the run."""
+    return SC.run_edges(spark, sf).select("parent_event_id", "related_event_id", "relationship_type",
                     F.array_join("matching_factors", ",").alias("factors"))
 
 
@@ -796,11 +789,9 @@ def q_rel_type(spark, sf):
 
 @query("check_constraints")
 def q_constraints(spark, sf):
-    """K5: violations of the table constraints: store plus FR run events, and the run's no-title edges."""
-    new, other, store = _link_sides(spark, sf)
-    events = store.unionByName(_fr_new_events(spark, sf))
-    edges = L.link_documents(new, other, limit=None, with_title=False)
-    return Q.check_constraints(events, edges)
+    """K5: violations of the table constraints: store plus FR run events, and all edges of the run."""
+    events = SC.store_events(spark, sf).unionByName(_fr_new_events(spark, sf))
+    return Q.check_constraints(events, SC.run_edges(spark, sf))
 
 
 @query("rule_table")
@@ -847,10 +838,9 @@ def q_append_events(spark, sf):
 
 @query("append_relationships")
 def q_append_edges(spark, sf):
-    """K2: no-title edges of all candidates appended twice with upsert-ignore; read back."""
+    """K2: all edges of the run appended twice with upsert-ignore; read back."""
     from .sinks import append_relationships, read_table_or_empty
-    new, other, _ = _link_sides(spark, sf)
-    edges = L.link_documents(new, other, limit=None, with_title=False).select(
+    edges = SC.run_edges(spark, sf).select(
         "parent_event_id", "related_event_id", "relationship_type", "confidence_raw", "confidence", "matching_factors")
     path = _scratch(spark, "edges")
     for _ in range(2):

@@ -23,9 +23,10 @@ from ..operators import parse as P
 from ..operators.dedup import dedup_within_batch
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as X
+from ..operators.link import link_documents, reachable_pairs
 from . import pipelines as PL
 
-LAYOUT_VERSION = "v6"   # bump when a fixture or the store layout changes
+LAYOUT_VERSION = "v7"   # bump when a fixture or the store layout changes
 
 AS_OF = {"federal_register_prior": "2025-11-30 06:15:00", "ustr": "2025-12-01 08:00:00",
          "cbp_csms": "2025-12-02 00:30:00", "federal_register": "2026-01-01 06:15:00"}
@@ -127,8 +128,26 @@ def store_events(spark: SparkSession, sf_dir: str, l: Landed | None = None) -> D
     return materialized(spark, sf_dir, "events", lambda: build_store_events(spark, sf_dir, l), ["source"])
 
 
-def fr_run(spark: SparkSession, sf_dir: str, link_limit: int | None = None, with_title: bool = True) -> PL.BatchResult:
+def fr_run(spark: SparkSession, sf_dir: str, link_limit: int | None = None, with_title: bool = True, link: bool = True) -> PL.BatchResult:
     l = landed(spark, sf_dir)
     store = store_events(spark, sf_dir, l)
     return PL.fr_pipeline(l.fr_raw, l.pages, l.pdf_pages, store, as_of=AS_OF["federal_register"],
-                          link_limit=link_limit, with_title=with_title)
+                          link_limit=link_limit, with_title=with_title, link=link)
+
+
+def link_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The FR run's new events and the stored events of the other sources in the linking shape, both staged."""
+    new = materialized(spark, sf_dir, "link_new", lambda: PL.link_projection(fr_run(spark, sf_dir, link=False).events))
+    other = materialized(spark, sf_dir, "link_other", lambda: PL.link_projection(
+        store_events(spark, sf_dir).where(F.col("source") != "federal_register")))
+    return new, other
+
+
+def run_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reachable pairs of the FR run, staged."""
+    return materialized(spark, sf_dir, "link_pairs", lambda: reachable_pairs(*link_sides(spark, sf_dir)))
+
+
+def run_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All edges of the FR run (every stored event a candidate), staged."""
+    return materialized(spark, sf_dir, "link_edges", lambda: link_documents(*link_sides(spark, sf_dir), limit=None))

@@ -136,6 +136,8 @@ def filing_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def notice_pages(spark: SparkSession, sf_dir: str, f: DataFrame | None = None, pl: DataFrame | None = None) -> DataFrame:
     """Landed HTML page per filing: decoy nav table, one sentence per line, a code table, a footer.
 
+    Some code tables omit their end tags, some hold a table in each row.
+
     Lines are those of the parent order (line 1 left out when k % 7 = 0), ordered by
     (line number, part key) because line numbers repeat within an order.
     """
@@ -147,8 +149,13 @@ def notice_pages(spark: SparkSession, sf_dir: str, f: DataFrame | None = None, p
     lines = F.filter(F.coalesce(F.col("lines"), F.array()),
                      lambda ln: ~((F.col("k") % 7 == 0) & (ln.getField("l_linenumber") == 1)))
     paras = F.array_join(F.transform(lines, lambda ln: F.concat(F.lit("<p>"), ln.getField("sentence"), F.lit("</p>"))), "")
+    omitted = F.col("k") % 11 == 4   # no end tags of cells and rows
+    nested = F.col("k") % 13 == 5    # the second cell holds a table that names the code again
+    ends = lambda tags: F.when(omitted, F.lit("")).otherwise(F.lit(tags))
     rows = F.array_join(F.transform(lines, lambda ln: F.concat(
-        F.lit("<tr><td> "), ln.getField("code"), F.lit("</td><td>"), ln.getField("descr_html"), F.lit("</td></tr>"))), "")
+        F.lit("<tr><td> "), ln.getField("code"), ends("</td>"), F.lit("<td>"), ln.getField("descr_html"),
+        F.when(nested, F.concat(F.lit("<table><tr><td>see "), ln.getField("code"), ends("</td></tr>"), F.lit("</table>"))).otherwise(F.lit("")),
+        ends("</td></tr>"))), "")
     cbp = F.col("k") % 3 == 2   # CBP messages carry their text in a bulletin-content div
     open_tag = F.when(cbp, F.lit('<div class="bulletin-content">')).otherwise(F.lit("<article>"))
     close_tag = F.when(cbp, F.lit("</div>")).otherwise(F.lit("</article>"))
