@@ -209,7 +209,7 @@ reg("link_projection", """
 SELECT id, source, title_norm AS title, pub_iso AS publication_date, fr_no AS fr_document_number,
        array_to_string(codes, ',') AS codes FROM store""")
 reg("outcome_status", """
-SELECT d.k::BIGINT AS arrival_seq, CASE WHEN n.id IS NULL THEN 'duplicate' ELSE 'processed' END AS outcome
+SELECT d.k::BIGINT AS arrival_seq, CASE WHEN d.k % 15 = 0 THEN 'failed' WHEN n.id IS NULL THEN 'duplicate' ELSE 'processed' END AS outcome
 FROM docs4 d LEFT JOIN fr_new n ON n.k = d.k WHERE d.source = 'federal_register'""")
 reg("url_tail", "SELECT url, CAST(k AS VARCHAR) AS doc_id FROM filings WHERE source = 'ustr'")
 
@@ -291,8 +291,8 @@ SELECT source, count(*) AS total, count(*) FILTER (WHERE substr(code, 1, 2) <> '
        count(*) FILTER (WHERE substr(code, 1, 2) = '00') AS invalid
 FROM (SELECT DISTINCT k, source, code FROM page_lines) GROUP BY source""")
 reg("run_summary", """
-SELECT 'federal_register' AS source, CASE WHEN n.id IS NULL THEN 'duplicate' ELSE 'processed' END AS outcome,
-       count(*) AS documents, sum(d.n_products)::BIGINT AS products
+SELECT 'federal_register' AS source, CASE WHEN d.k % 15 = 0 THEN 'failed' WHEN n.id IS NULL THEN 'duplicate' ELSE 'processed' END AS outcome,
+       count(*) AS documents, sum(CASE WHEN d.k % 15 = 0 THEN 0 ELSE d.n_products END)::BIGINT AS products
 FROM docs4 d LEFT JOIN fr_new n ON n.k = d.k WHERE d.source = 'federal_register' GROUP BY 2""")
 reg("jaccard_codes", """
 SELECT c.new_id, c.id,
@@ -636,6 +636,8 @@ def all_sql() -> dict[str, str]:
 
 SQL["incremental_ingest"] = SQL["fr_pipeline"]
 SQL["append_events"] = SQL["fr_pipeline"]
+reg("late_page_events", f"SELECT {EV_COLS.format(prio=1)}, k % 15 = 0 AS late FROM fr_new WHERE k % 15 <> 0 OR k % 30 = 0")
+reg("pending_documents", "SELECT k::BIGINT AS arrival_seq, url AS source_url, k % 30 = 0 AS resolved FROM filings WHERE source = 'federal_register' AND k % 15 = 0")
 SQL["append_relationships"] = SQL["edge_upsert_ignore"]
 reg("pdf_hts_codes", """
 SELECT f.k, string_agg(DISTINCT p.code, ',' ORDER BY p.code) AS codes

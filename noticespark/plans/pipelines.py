@@ -131,7 +131,7 @@ def run_batch(parsed: DataFrame, source: str, store: DataFrame | None = None, pa
     outcome = (docs.select("arrival_seq", "source", "content_hash", "_failed",
                            F.size("tariff_action.products").alias("product_count"))
                .join(first.select("arrival_seq", F.lit(True).alias("_kept")), "arrival_seq", "left")
-               .select("arrival_seq", "source", "content_hash", "product_count",
+               .select("arrival_seq", "source", "content_hash", F.when(F.col("_failed"), 0).otherwise(F.col("product_count")).alias("product_count"),
                        F.when(F.col("_failed"), F.lit("failed")).when(F.col("_kept"), F.lit("processed"))
                        .otherwise(F.lit("duplicate")).alias("outcome")))
 

@@ -234,8 +234,8 @@ def q_link_projection(spark, sf):
 
 @query("outcome_status")
 def q_outcomes(spark, sf):
-    """Outcome of every FR document of the run."""
-    return SC.fr_run(spark, sf, link=False).outcomes.select("arrival_seq", "outcome")
+    """Outcome of every FR document of a run while pages are missing."""
+    return SC.fr_run(spark, sf, link=False, pages_missing=True).outcomes.select("arrival_seq", "outcome")
 
 
 @query("url_tail")
@@ -428,8 +428,8 @@ def q_hts_batch(spark, sf):
 
 @query("run_summary")
 def q_run_summary(spark, sf):
-    """A5: documents and products per outcome of the FR run."""
-    return PL.run_summary(SC.fr_run(spark, sf, link=False).outcomes)
+    """A5: documents and products per outcome of an FR run while pages are missing."""
+    return PL.run_summary(SC.fr_run(spark, sf, link=False, pages_missing=True).outcomes)
 
 
 @query("jaccard_codes")
@@ -824,6 +824,22 @@ def q_incremental(spark, sf):
     return _event_cols(new)
 
 
+@query("late_page_events")
+def q_late_events(spark, sf):
+    """P8 + T1: the FR stream while pages are missing, then the stream of late pages: the events of both."""
+    ev = spark.read.parquet(SC.late_pages_run(spark, sf) + "/events")
+    ev = ev.where((F.col("source") == "federal_register") & (F.col("ingestion_timestamp") >= F.to_timestamp(F.lit(SC.AS_OF["federal_register"]))))
+    return _event_cols(ev).join(ev.select("id", (F.col("ingestion_timestamp") == F.to_timestamp(F.lit(SC.LATE_AS_OF))).alias("late")), "id")
+
+
+@query("pending_documents")
+def q_pending(spark, sf):
+    """Every FR document that waited for its page, and whether the page came."""
+    from .pending import pending_documents
+    d = pending_documents(spark, SC.late_pages_run(spark, sf) + "/pending")
+    return d.select("arrival_seq", "source_url", F.col("resolved_at").isNotNull().alias("resolved"))
+
+
 @query("append_events")
 def q_append_events(spark, sf):
     """K1: the FR run's events appended to a copy of the events table, read back (new rows only)."""

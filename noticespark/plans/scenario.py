@@ -128,10 +128,24 @@ def store_events(spark: SparkSession, sf_dir: str, l: Landed | None = None) -> D
     return materialized(spark, sf_dir, "events", lambda: build_store_events(spark, sf_dir, l), ["source"])
 
 
-def fr_run(spark: SparkSession, sf_dir: str, link_limit: int | None = None, with_title: bool = True, link: bool = True) -> PL.BatchResult:
+LATE_AS_OF = "2026-01-02 06:15:00"
+
+
+def on_time(pages: DataFrame) -> DataFrame:
+    """The landed pages less those of every fifth FR filing, which are late."""
+    return pages.where((F.col("source") != "federal_register") | (F.col("k") % 15 != 0))
+
+
+def late(pages: DataFrame) -> DataFrame:
+    """The late pages that land at last: half of them; the others never do."""
+    return pages.where((F.col("source") == "federal_register") & (F.col("k") % 30 == 0))
+
+
+def fr_run(spark: SparkSession, sf_dir: str, link_limit: int | None = None, with_title: bool = True, link: bool = True,
+           pages_missing: bool = False) -> PL.BatchResult:
     l = landed(spark, sf_dir)
     store = store_events(spark, sf_dir, l)
-    return PL.fr_pipeline(l.fr_raw, l.pages, l.pdf_pages, store, as_of=AS_OF["federal_register"],
+    return PL.fr_pipeline(l.fr_raw, on_time(l.pages) if pages_missing else l.pages, l.pdf_pages, store, as_of=AS_OF["federal_register"],
                           link_limit=link_limit, with_title=with_title, link=link)
 
 
@@ -143,6 +157,22 @@ def link_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return new, other
 
 
+def late_pages_run(spark: SparkSession, sf_dir: str) -> str:
+    """The FR run as a stream while pages are missing, then the stream of late pages; the folder of its tables."""
+    from ..streaming.incremental import incremental_ingest, retry_on_arrival
+    l = landed(spark, sf_dir)
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/noticespark-runs/late-{uuid.uuid4().hex[:12]}"
+    l.fr_raw.repartition(4, "landed_date").write.parquet(base + "/landing")
+    late(l.pages).repartition(3, "url").write.parquet(base + "/pages")
+    store_events(spark, sf_dir, l).write.partitionBy("source").parquet(base + "/events")
+    tables = (base + "/events", base + "/edges")
+    incremental_ingest(spark, base + "/landing", l.fr_raw.schema, on_time(l.pages), l.pdf_pages, *tables, base + "/ckpt-documents",
+                       AS_OF["federal_register"], max_files_per_trigger=2, pending_path=base + "/pending")
+    retry_on_arrival(spark, base + "/pages", l.pages.schema, l.pdf_pages, *tables, base + "/pending", base + "/ckpt-pages", LATE_AS_OF,
+                     max_files_per_trigger=2)
+    return base
+
+
 def run_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All reachable pairs of the FR run, staged."""
     return materialized(spark, sf_dir, "link_pairs", lambda: reachable_pairs(*link_sides(spark, sf_dir)))
