@@ -289,14 +289,14 @@ def test_language_model_gradient(monkeypatch):
     w = {k: (rng.standard_normal(s) * 0.5).astype(np.float32) for k, s in w.items()}
     ids, target = rng.integers(0, LM.SYMBOLS, (5, 3)), rng.integers(0, LM.SYMBOLS, (5, 3))
     valid = np.array([[1, 1, 1]] * 3 + [[1, 0, 1]] * 2, bool)
-    h = rng.standard_normal((3, LM.HIDDEN)).astype(np.float32)
+    h = rng.standard_normal((LM.HIDDEN, 3)).astype(np.float32)
     grads = {}
     monkeypatch.setattr(LM, "CLIP", 1e9)
     monkeypatch.setattr(LM.Trainer, "_update", lambda self, name, at, g: grads.setdefault(name, []).append((at, g / math.sqrt(1 / valid.sum()))))
     LM.Trainer(w).window(ids, target, valid, h)
 
     def loss(w):
-        return -LM.outputs(w, LM.recur(w, ids, h)[0][1:][valid], target[valid])[0].sum()
+        return -LM.outputs(w, LM.rows_of(LM.recur(w, ids, h)[0], valid), target[valid])[0].sum()
 
     for name, parts in grads.items():
         whole = np.zeros_like(w[name])
@@ -305,3 +305,16 @@ def test_language_model_gradient(monkeypatch):
         step = (rng.standard_normal(w[name].shape) * 1e-2).astype(np.float32)
         up, down = loss({**w, name: w[name] + step}), loss({**w, name: w[name] - step})
         assert (up - down) / 2 == pytest.approx(float((whole * step).sum()), rel=0.05, abs=2e-3), name
+
+
+def test_language_model_stretches(monkeypatch):
+    """Every chosen window with the window before it; a text's end is learnt where its window is chosen."""
+    voc = LM.Vocabulary.__new__(LM.Vocabulary)
+    voc.index = {str(i).encode(): i for i in range(1_000)}
+    voc.symbol = np.arange(1_000, dtype=np.int32)
+    for n in (0, 1, 31, 32, 33, 64, 191, 192, 193, 900):
+        whole = [LM.END, *range(n), LM.END]
+        found = [x.tolist() for x in voc.stretches(" ".join(map(str, range(n))))]
+        first = 0 if n < LM.EVERY * LM.WINDOW else LM.zlib.crc32(b"0" + str(n - 1).encode()) % LM.EVERY
+        chosen = range(first, n // LM.WINDOW + 1, LM.EVERY)
+        assert found == [whole[max(0, k - 1) * LM.WINDOW:(k + 1) * LM.WINDOW + 1] for k in chosen]
