@@ -579,6 +579,17 @@ reg_ratio("fr_pipeline_links", """
 SELECT parent_event_id, related_event_id, relationship_type, confidence_raw,
        row_number() OVER (PARTITION BY parent_event_id ORDER BY round_even(confidence_raw, 2) DESC, ts DESC, k DESC, related_event_id)::INTEGER AS match_rank
 FROM edges_t""", [*REACHX, *titled("reach")])
+_SIDE = ("SELECT id, min(id) OVER w AS class_id, CASE WHEN k % 7 = 0 THEN 3 ELSE 1 END AS copies, "
+         "sum(CASE WHEN k % 7 = 0 THEN 3 ELSE 1 END) OVER w AS n FROM {side} WINDOW w AS (PARTITION BY {source}, title_norm, codes, pub_iso, {number})")
+CLASSX = [*REACHX, *titled("reach"), ("newc", _SIDE.format(side="newl", source="1", number="fr_no")), ("otherc", _SIDE.format(side="other", source="source", number="1")),
+          ("edges_c", """
+  SELECT DISTINCT a.class_id AS parent_class, b.class_id AS related_class, a.n::BIGINT AS n_parents, b.n::BIGINT AS n_related, relationship_type, confidence_raw
+  FROM edges_t e JOIN newc a ON a.id = e.parent_event_id JOIN otherc b ON b.id = e.related_event_id""")]
+reg_ratio("link_classes", "SELECT parent_class, related_class, n_parents, n_related, relationship_type, confidence_raw FROM edges_c", CLASSX)
+reg_ratio("class_link_counts", """
+SELECT a.id || c.suffix AS id, a.class_id, coalesce(e.n, 0)::BIGINT AS n_links
+FROM newc a JOIN (VALUES ('', 1), ('#1', 2), ('#2', 3)) c(suffix, number) ON c.number <= a.copies
+LEFT JOIN (SELECT parent_class, sum(n_related) AS n FROM edges_c GROUP BY 1) e ON e.parent_class = a.class_id""", CLASSX)
 reg_ratio("rank_matches", """
 SELECT parent_event_id, related_event_id, confidence_raw,
        row_number() OVER (PARTITION BY parent_event_id ORDER BY round_even(confidence_raw, 2) DESC, ts DESC, k DESC, related_event_id)::INTEGER AS match_rank

@@ -341,6 +341,31 @@ def q_link_all(spark, sf):
     return e.select("parent_event_id", "related_event_id", "relationship_type", "confidence_raw")
 
 
+def _with_copies(docs: DataFrame) -> DataFrame:
+    """Every seventh document three times, under ids of their own."""
+    copies = F.explode(F.when(F.col("ingest_seq") % 7 == 0, F.array(F.lit(""), F.lit("#1"), F.lit("#2"))).otherwise(F.array(F.lit(""))))
+    return docs.withColumn("_copy", copies).withColumn("id", F.concat("id", "_copy")).drop("_copy")
+
+
+def _class_links(spark, sf):
+    from ..operators.link_classes import link_classes
+    new, store, _ = _link_sides(spark, sf)
+    return link_classes(_with_copies(new), _with_copies(store))
+
+
+@query("link_classes")
+def q_link_classes(spark, sf):
+    """J4 on classes of equal documents: one edge per pair of classes with the number of documents on either side."""
+    return _class_links(spark, sf).edges.select("parent_class", "related_class", "n_parents", "n_related", "relationship_type", "confidence_raw")
+
+
+@query("class_link_counts")
+def q_class_counts(spark, sf):
+    """Class and number of links of every linkable new document, from the edges between classes."""
+    from ..operators.link_classes import link_counts
+    return link_counts(_class_links(spark, sf))
+
+
 @query("docnum_match")
 def q_docnum(spark, sf):
     """Pairs with equal FR numbers or a number inside the other's title (n-gram equi-join)."""
