@@ -245,6 +245,7 @@ SELECT k::BIGINT AS arrival_seq, sha256({q(_PRE)}) AS preliminary_hash,
        sha256({q(_PRE)}) IN (SELECT content_hash FROM store) AS stored
 FROM filings WHERE source = 'ustr'""")
 reg("candidate_join", "SELECT new_id, id FROM cands", LINKX)
+reg("candidate_join_newest", "SELECT new_id, id, cand_rank::INTEGER AS cand_rank FROM cands", LINKX)
 reg("docnum_match", "SELECT new_id, id FROM dn_pairs", [NEWL, OTHER, DN_PAIRS])
 reg("chapter_info", """
 SELECT code, CAST(substr(code, 1, 2) AS INTEGER) AS chapter,

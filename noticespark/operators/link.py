@@ -42,7 +42,8 @@ def linkable(docs: DataFrame) -> DataFrame:
     return docs.where((F.size(F.col("codes")) > 0) & F.col("publication_date").isNotNull())
 
 
-def _newest_k(df: DataFrame, keys: list[str], k: int) -> DataFrame:
+def newest_k(df: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """The newest ``k`` rows of each key (planned as a limit per map task before the shuffle)."""
     w = Window.partitionBy(*keys).orderBy(*_newest())
     return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
 
@@ -79,7 +80,7 @@ def code_branch(new: DataFrame, store: DataFrame, limit: int | None = K.LINK_CAN
     n, s = _sides(new, store)
     s_codes = s.select("id", "source", "ingestion_timestamp", "ingest_seq", F.explode(F.array_distinct("codes")).alias("code"))
     if limit is not None:
-        s_codes = _newest_k(s_codes, ["code", "source"], limit)
+        s_codes = newest_k(s_codes, ["code", "source"], limit)
     n_codes = n.select("new_id", "new_source", F.explode(F.array_distinct("codes")).alias("code"))
     by_code = (n_codes.join(s_codes, "code").where(F.col("source") != F.col("new_source"))
                .select("new_id", "new_source", "id", "ingestion_timestamp", "ingest_seq"))
@@ -98,7 +99,7 @@ def band_branch(new: DataFrame, store: DataFrame, limit: int | None = K.LINK_CAN
     n, s = _sides(new, store)
     s_dates = s.where(F.col("pub").isNotNull()).select("id", "source", "ingestion_timestamp", "ingest_seq", "pub")
     if limit is not None:
-        s_dates = _newest_k(s_dates, ["pub", "source"], limit)
+        s_dates = newest_k(s_dates, ["pub", "source"], limit)
     served = s_dates.select("id", "source", "ingestion_timestamp", "ingest_seq",
                             F.explode(F.sequence(F.date_sub("pub", BAND), F.date_add("pub", BAND))).alias("qdate"))
     qdates = n.where(F.col("new_date").isNotNull()).select("new_source", F.col("new_date").alias("qdate")).distinct()

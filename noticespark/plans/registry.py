@@ -325,6 +325,17 @@ def q_candidate_join(spark, sf):
     return L.candidate_pairs(new, store, K.LINK_CANDIDATE_LIMIT).select("new_id", "id")
 
 
+@query("candidate_join_newest")
+def q_candidate_newest(spark, sf):
+    """J3 + W3 from newest-k tables that four runs have merged their events into (the last one replays a third of the store)."""
+    from .newest import candidates, merge_newest
+    new, other, _ = _link_sides(spark, sf)
+    path = _scratch(spark, "newest")
+    for run in (F.col("ingest_seq") % 2 == 0, F.col("source") == "ustr", F.col("source") == "cbp_csms", F.col("ingest_seq") % 3 == 1):
+        merge_newest(spark, other.where(run), path)
+    return candidates(spark, new, path).select("new_id", "id", "cand_rank")
+
+
 @query("link_documents")
 def q_link_documents(spark, sf):
     """Scored edges over the newest-five candidates (with the title ratio UDF)."""
