@@ -225,12 +225,17 @@ def other_source_counts(new: DataFrame, store: DataFrame) -> DataFrame:
     return both.select("source", (F.col("n_store") * F.col("others")).alias("pairs")).where("pairs > 0")
 
 
+#: Most characters of a number on either side of its first dash that make its signature.
+SIGNATURE = 8
+
+
 def docnum_pairs(new: DataFrame, store: DataFrame) -> DataFrame:
-    """J5 as joins: equal FR numbers (equi-join) union number-inside-title (exact n-gram join).
+    """J5 as joins: equal FR numbers (equi-join) union number-inside-title (signature join, then ``contains``).
 
-    Every substring of a title with the length of some FR number is a join key;
-    the distinct number lengths are few and are read from the data, so this is
-    an equi-join instead of a substring nested loop.
+    The signature of a number is its first dash with up to ``SIGNATURE`` characters of the pieces on either side of it.
+    A title that holds the number has that dash too, with pieces that end and begin alike, so the keys of a title are those
+    around its own dashes, one for each pair of side lengths that some number has.  Numbers without a dash are looked up
+    among the title's substrings of their length.  Both are exact; candidates are verified on the whole number.
     """
     def side(df, pre):
         return df.select(F.col("id").alias(f"{pre}id"), F.col("source").alias(f"{pre}source"),
@@ -241,24 +246,44 @@ def docnum_pairs(new: DataFrame, store: DataFrame) -> DataFrame:
     eq = (a.where(F.col("a_fr").isNotNull() & (F.col("a_fr") != ""))
           .join(b, F.col("a_fr") == F.col("b_fr")).select(F.col("a_id").alias("new_id"), F.col("b_id").alias("id"),
                                                          "a_source", "b_source"))
-    # The distinct number lengths are a handful of integers: a scalar subquery of the same plan,
-    # and one window per length (no cross join, nothing on the driver).
-    n_len = a.select(F.length("a_fr").alias("n")).union(b.select(F.length("b_fr").alias("n"))).where("n > 0")
-    lens = n_len.agg(F.sort_array(F.collect_set("n")).alias("lens")).scalar()
-
-    def grams(df, text_col, id_col, src_col):
-        windows = F.flatten(F.transform(F.col("_lens"), lambda n: F.transform(
-            F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text_col) - n + 1)),
-            lambda st: F.substring(F.col(text_col), st, n))))
-        return df.withColumn("_lens", lens).select(id_col, src_col, F.explode(F.array_distinct(windows)).alias("gram"))
-
-    a_in_b = (a.where(F.col("a_fr").isNotNull() & (F.col("a_fr") != ""))
-              .join(grams(b, "b_text", "b_id", "b_source"), F.col("a_fr") == F.col("gram"))
-              .select(F.col("a_id").alias("new_id"), F.col("b_id").alias("id"), "a_source", "b_source"))
-    b_in_a = (b.where(F.col("b_fr").isNotNull() & (F.col("b_fr") != ""))
-              .join(grams(a, "a_text", "a_id", "a_source"), F.col("b_fr") == F.col("gram"))
-              .select(F.col("a_id").alias("new_id"), F.col("b_id").alias("id"), "a_source", "b_source"))
-    return (eq.unionByName(a_in_b).unionByName(b_in_a).where(F.col("a_source") != F.col("b_source"))
+
+    def around(before, after, lengths):
+        """The key of a dash: ``lengths`` characters of the pieces before and after it."""
+        ends = F.when(lengths.getField("l") == 0, F.lit("")).otherwise(F.substring(before, F.length(before) - lengths.getField("l") + 1, lengths.getField("l")))
+        return F.concat(ends, F.lit("-"), F.substring(after, F.lit(1), lengths.getField("r")))
+
+    def of_number(number):
+        pieces = F.split(number, "-", -1)
+        before, after = F.get(pieces, F.lit(0)), F.get(pieces, F.lit(1))
+        sides = F.struct(F.least(F.length(before), F.lit(SIGNATURE)).alias("l"), F.least(F.length(after), F.lit(SIGNATURE)).alias("r"))
+        return sides, around(before, after, sides)
+
+    # The shapes of all numbers are a handful of integers: a scalar subquery of the same plan, nothing on the driver.
+    numbers = a.select(F.col("a_fr").alias("fr")).union(b.select(F.col("b_fr").alias("fr"))).where("fr <> ''")
+    dashed = F.col("fr").contains("-")
+    shapes = numbers.agg(F.struct(
+        F.sort_array(F.collect_set(F.when(~dashed, F.length("fr")))).alias("lengths"),
+        F.sort_array(F.collect_set(F.when(dashed, of_number(F.col("fr"))[0]))).alias("sides")).alias("shapes")).scalar()
+
+    def keys_of_text(text):
+        pieces = F.split(text, "-", -1)
+        dashes = F.zip_with(F.slice(pieces, F.lit(1), F.size(pieces) - 1), F.slice(pieces, F.lit(2), F.size(pieces) - 1), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+        around_dashes = F.flatten(F.transform(F.col("_shapes.sides"), lambda s: F.transform(
+            F.filter(dashes, lambda d: (F.length(d.getField("p")) >= s.getField("l")) & (F.length(d.getField("q")) >= s.getField("r"))),
+            lambda d: around(d.getField("p"), d.getField("q"), s))))
+        substrings = F.flatten(F.transform(F.col("_shapes.lengths"), lambda n: F.transform(
+            F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - n + 1)), lambda st: F.substring(text, st, n))))
+        return F.array_distinct(F.concat(around_dashes, substrings))
+
+    def mentions(numbered, n, titled, t):
+        """Pairs whose title (of ``titled``) holds the number (of ``numbered``)."""
+        fr, text = F.col(f"{n}_fr"), F.col(f"{t}_text")
+        key = F.when(fr.contains("-"), of_number(fr)[1]).otherwise(fr)
+        titles = titled.withColumn("_shapes", shapes).select(f"{t}_id", f"{t}_source", text, F.explode(keys_of_text(text)).alias("key"))
+        found = numbered.where(fr.isNotNull() & (fr != "")).select(f"{n}_id", f"{n}_source", fr, key.alias("key")).join(titles, "key")
+        return found.where(F.contains(text, fr)).select(F.col("a_id").alias("new_id"), F.col("b_id").alias("id"), "a_source", "b_source")
+
+    return (eq.unionByName(mentions(a, "a", b, "b")).unionByName(mentions(b, "b", a, "a")).where(F.col("a_source") != F.col("b_source"))
             .select("new_id", "id").distinct())
 
 
