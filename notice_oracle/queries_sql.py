@@ -618,6 +618,18 @@ SELECT rule, severity, violations::BIGINT AS violations FROM (
   UNION ALL SELECT 'edge_confidence_range', 'error', count(*) FILTER (WHERE confidence_raw < 0 OR confidence_raw > 1) FROM edges_t
 )""", [*REACHX, *titled("reach"), _EVENTS_ALL])
 
+_DAMAGED = [("ev_k", "SELECT id, k FROM store UNION ALL SELECT id, k FROM fr_new"), ("edges_d", """
+  SELECT parent_event_id, related_event_id, relationship_type FROM edges_t
+  UNION ALL SELECT parent_event_id, related_event_id, relationship_type FROM edges_t WHERE relationship_type = 'references'""")]
+_KINDS = ["confidence_score_range", "validation_status_enum", "content_hash_not_null", "parser_version_not_null", "source_not_null",
+          "source_priority_not_null", "data_not_null", "ingestion_timestamp_not_null", "content_hash_unique"]
+reg_ratio("check_constraints_damaged", "SELECT rule, 'error' AS severity, violations::BIGINT AS violations FROM (\n" + "\n".join(
+    f"  SELECT '{rule}' AS rule, count(*) AS violations FROM ev_k WHERE k % 40 = {n} UNION ALL" for n, rule in enumerate(_KINDS)) + """
+  SELECT 'parent_event_id_fk', count(*) FROM edges_d e JOIN ev_k v ON v.id = e.parent_event_id WHERE v.k % 40 = 9
+  UNION ALL SELECT 'related_event_id_fk', count(*) FROM edges_d e JOIN ev_k v ON v.id = e.related_event_id WHERE v.k % 40 = 9
+  UNION ALL SELECT 'edge_pair_unique', count(*) FROM edges_t WHERE relationship_type = 'references'
+  UNION ALL SELECT 'edge_confidence_range', count(*) FROM edges_t WHERE relationship_type = 'related_products')""", [*REACHX, *titled("reach"), *_DAMAGED])
+
 DUP_NEW = ("dnew", """
   SELECT CAST(k AS VARCHAR) AS new_id, fr_no,
          CASE WHEN k % 5 = 1 THEN list_slice(list_sort(codes), 1, greatest(1, len(codes) - 1)) ELSE codes END AS codes,

@@ -830,6 +830,23 @@ def q_constraints(spark, sf):
     return Q.check_constraints(events, SC.run_edges(spark, sf))
 
 
+@query("check_constraints_damaged")
+def q_constraints_damaged(spark, sf):
+    """K5 on damaged tables: every constraint is broken by some rows (values, missing values, lost and repeated rows)."""
+    base = SC.store_events(spark, sf).unionByName(_fr_new_events(spark, sf))
+    kind = F.col("ingest_seq") % 40
+    none = ["content_hash", "parser_version", "source", "source_priority", "data", "ingestion_timestamp"]   # kinds 2 to 7
+    events = base.where(kind != 9).withColumns({
+        "confidence_score": F.when(kind == 0, F.lit(1.25).cast("decimal(3,2)")).otherwise(F.col("confidence_score")),
+        "validation_status": F.when(kind == 1, "unknown").otherwise(F.col("validation_status")),
+        **{c: F.when(kind != n, F.col(c)) for n, c in enumerate(none, 2)}}).unionByName(base.where(kind == 8))
+    edges = SC.run_edges(spark, sf).select("parent_event_id", "related_event_id", "relationship_type", "confidence")
+    edges = edges.unionByName(edges.where("relationship_type = 'references'"))
+    wrong = F.col("relationship_type") == "related_products"
+    edges = edges.withColumn("confidence", F.when(wrong, F.lit(1.5).cast("decimal(3,2)")).otherwise(F.col("confidence")))
+    return Q.check_constraints(events, edges)
+
+
 @query("rule_table")
 def q_rules(spark, sf):
     """K6: the declared validation rules applied to the stored events: violations per rule."""
