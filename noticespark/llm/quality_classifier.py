@@ -5,12 +5,12 @@ both once more as shapes (upper case, other word, symbol; for a pair also whethe
 ``2**BITS`` features.  A feature's value is log(1 + count), scaled so that the
 text's vector has length 1.  Scoring is the sparse dot product of that vector with the weights, over the whole text.
 
-Training takes a bounded sample of the labelled rows (``max_train`` documents, chosen by the hash of their id), so that the
+Training takes a bounded sample of the labelled rows (``max_train`` documents, one row each, chosen by the hash of their id), so that the
 cost of the sequential updates does not grow with the corpus: their sparse vectors are made in parallel and meet in one
 task, which runs FTRL-proximal over them.  The model has at most ``2**BITS`` weights whatever the input.
 
 Defined cases: null counts as the empty text, whose score is that of the bias; without labelled rows every score is 0.5; null labels and labels of unknown ids are ignored; several labels of one id count as their mean,
-1 from a half on; documents with a null ``doc_id`` are scored and never learnt from; repeated rows are each scored;
+1 from a half on; of rows that repeat an id one is learnt from (see ``labelled``); documents with a null ``doc_id`` are scored and never learnt from; repeated rows are each scored;
 other columns are ignored.
 """
 
@@ -70,9 +70,9 @@ def _vectors(rows: DataFrame) -> DataFrame:
         features = Features()
         for b in batches:
             made = [features(t) for t in b["text"]]
-            yield pd.DataFrame({"turn": b["turn"], "y": b["y"], "index": [i.astype(np.int32) for i, _ in made], "value": [v.astype(np.float32) for _, v in made]})
+            yield pd.DataFrame({"turn": b["turn"], "doc_id": b["doc_id"], "y": b["y"], "index": [i.astype(np.int32) for i, _ in made], "value": [v.astype(np.float32) for _, v in made]})
 
-    return rows.mapInPandas(run, "turn long, y double, index array<int>, value array<float>")
+    return rows.mapInPandas(run, "turn long, doc_id long, y double, index array<int>, value array<float>")
 
 
 def ftrl(index: list[np.ndarray], value: list[np.ndarray], y: np.ndarray) -> np.ndarray:
@@ -94,20 +94,26 @@ def ftrl(index: list[np.ndarray], value: list[np.ndarray], y: np.ndarray) -> np.
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, max_train: int) -> DataFrame:
-    """``doc_id, text, y, turn`` of the bounded training sample: ids that are not held out, smallest hashes first."""
+    """``doc_id, text, y, turn`` of at most ``max_train`` rows: ids that are not held out, smallest hashes first.
+
+    Of rows that repeat an id the text with the smallest hash (ties: the smallest text) is learnt from, so repeated
+    rows do not enlarge the sample; they are reduced by a partial aggregate before the shuffle.
+    """
     marks = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id"), modulus, remainder))
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg(label) >= 0.5).cast("double").alias("y"))
     turn = F.xxhash64(F.lit(11), "doc_id")
     sample = staged(marks.withColumn("turn", turn).orderBy("turn", "doc_id").limit(max_train), "sample")  # narrow rows
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(F.broadcast(sample), "doc_id")
+    found = texts.join(F.broadcast(sample), "doc_id")  # at most max_train ids
+    found = found.groupBy("doc_id", "y", "turn").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+    return found.select("doc_id", F.col("t.text").alias("text"), "y", "turn")
 
 
 def train(sample: DataFrame) -> np.ndarray | None:
     """The weights, or None without a labelled row."""
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("turn")
+        rows = rows.sort_values(["turn", "doc_id"])  # one row per id: a total order
         w = ftrl(list(rows["index"]), list(rows["value"]), rows["y"].to_numpy())
         at = np.flatnonzero(w)
         return pd.DataFrame({"feature": at, "weight": w[at]})

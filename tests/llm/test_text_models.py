@@ -72,10 +72,110 @@ def test_toxicity_grammar_reads_clauses():
     assert at("an idiot like you", "targeted") > 0 and at("an idiot like you", "bare") == pytest.approx(0)
     assert at("you are not an idiot", "negated") > 0 and at("you are not an idiot", "targeted") == 0
     assert at("the report said idiot", "reported") > 0
-    assert at("I will kill you", "threat") > 0 and at("you, I kill", "aimed threat") > 0
+    assert at("I will kill you", "aimed threat") > 0 and at("you, I kill", "aimed threat") > 0  # a target may follow
     assert at("not here. you idiot", "targeted") > 0  # the negation is in another clause
     assert at("blathering blather", "bare") > 0 and at("idiotic", "bare") == 0
-    assert not grammar.features("nothing to see")[:8].any() and not grammar.features(None)[:8].any()
+    assert at("they kill time", "aimed threat") > 0 and at("kill time", "threat") > 0 and at("I will not kill you", "negated") > 0
+    assert not grammar.features("nothing to see").any() and not grammar.features(None).any()
+
+
+def plain_patterns(marks, weights):
+    """The grammar's rules read at each word on its own, without states."""
+    out = dict.fromkeys(toxicity.PATTERNS, 0.0)
+    near = lambda at, mark, ahead: any(m == mark for m in marks[max(0, at - toxicity.REACH) : at + 1 + ahead])
+    for at, (mark, w) in enumerate(zip(marks, weights)):
+        if mark not in ("insult", "threat word"):
+            continue
+        aimed = near(at, "target", toxicity.REACH)
+        name = ("targeted" if aimed else "bare") if mark == "insult" else "aimed threat" if aimed else "threat"
+        out["reported" if near(at, "report", 0) else "negated" if near(at, "negation", 0) else name] += w
+    return [out[p] for p in toxicity.PATTERNS]
+
+
+def test_toxicity_machines_equal_plain_rules():
+    rnd, word = random.Random(5), {"other": "x", "target": "you", "negation": "not", "report": "said", "insult": "idiot", "threat word": "kill"}
+    grammar = toxicity.Grammar({"idiot": 3.0})
+    for _ in range(3000):
+        marks = rnd.choices(toxicity.MARKS, weights=[12, 1, 1, 1, 2, 2], k=rnd.randint(1, 30))
+        words = [word[m] for m in marks]
+        weights = [*map(grammar.weight, words)]
+        assert grammar.clause(words, weights).tolist() == plain_patterns(marks, weights)
+
+
+def test_toxicity_weights_keep_the_patterns_order():
+    rnd = np.random.default_rng(2)
+    for _ in range(5):  # whatever the sample says
+        x = np.column_stack([np.ones(80), np.abs(rnd.normal(size=(80, 7))) @ toxicity.GENERATORS.T])
+        bare, targeted, negated, reported, threat, aimed, heaviest = toxicity.fit(x, rnd.integers(0, 2, 80).astype(float))[1:] @ toxicity.GENERATORS
+        assert targeted >= bare >= negated >= 0 and bare >= reported >= 0 and aimed >= threat >= 0 and heaviest >= 0
+
+
+def test_toxicity_ranks_sentences(spark, tables):
+    texts = ["you are such an idiot", "I will kill you", "what an idiot", "you are not an idiot", "the report said idiot", "a fine day", None]
+    docs, labels = tables
+    more = spark.createDataFrame([(-k - 1, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.classify(docs.select("doc_id", "text").unionByName(more), labels).where("doc_id < 0").collect()}
+    aimed, threat, bare, negated, reported, clean, null = (got[-k - 1] for k in range(7))
+    assert aimed >= 0.7 and threat >= 0.7 and aimed > bare > max(negated, reported) > clean == null
+
+
+def test_training_rows_are_bounded_by_ids_that_repeat(spark):
+    docs = spark.range(500).selectExpr("case when id < 400 then 3 else id end as doc_id", "concat('text ', id) as text")
+    labels = spark.range(500).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    got = quality_classifier.labelled(docs, labels, "quality", 4, 2, 100).collect()
+    ids = [r.doc_id for r in got]
+    assert len(ids) == len(set(ids)) <= 100
+    again = quality_classifier.labelled(docs.repartition(7), labels, "quality", 4, 2, 100).collect()
+    assert {r.doc_id: r.text for r in got} == {r.doc_id: r.text for r in again}
+
+
+def plain_quality(sample, texts, epochs):
+    """FTRL over dicts of weights, one feature at a time; the same hashes by Python integers."""
+    import math
+    import re
+    import zlib
+    from collections import Counter
+
+    top = 2**64 - 1
+
+    def vector(text):
+        tokens = re.findall(r"\w+|[^\w\s]+", text or "")
+        shape = [1 if t.isupper() and len(t) > 1 else 2 if t[0].isalpha() else 3 for t in tokens]
+        h = [zlib.crc32(t.encode()) << 2 | s for t, s in zip(tokens, shape)]
+        keys = [x * 0xD6E8FEB86659FD93 for x in h] + [s * 0xA24BAED4963EE407 for s in shape]
+        for i in range(len(h) - 1):
+            keys.append(((h[i] * 0x9E3779B97F4A7C15 + h[i + 1]) & top) * 0xD6E8FEB86659FD93)
+            keys.append((16 * (h[i] == h[i + 1]) + 4 * shape[i] + shape[i + 1] + 32) * 0xA24BAED4963EE407)
+        value = {k: math.log1p(n) for k, n in Counter((k & top) >> (64 - quality_classifier.BITS) for k in keys).items()}
+        size = math.sqrt(sum(v * v for v in value.values())) or 1.0
+        return {**{k: v / size for k, v in value.items()}, "bias": 1.0}
+
+    z, n = Counter(), Counter()
+
+    def weight(k):
+        return 0.0 if abs(z[k]) <= quality_classifier.L1 else -(z[k] - math.copysign(quality_classifier.L1, z[k])) / ((quality_classifier.BETA + math.sqrt(n[k])) / quality_classifier.ALPHA + quality_classifier.L2)
+
+    def chance(x):
+        return 1 / (1 + math.exp(-sum(v * weight(k) for k, v in x.items())))
+
+    rows = [(vector(r.text), r.y) for r in sorted(sample, key=lambda r: (r.turn, r.doc_id))]
+    for _ in range(epochs):
+        for x, y in rows:
+            p, w = chance(x), {k: weight(k) for k in x}
+            for k, v in x.items():
+                g = (p - y) * v
+                z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / quality_classifier.ALPHA * w[k]
+                n[k] += g * g
+    return [chance(vector(t)) for t in texts]
+
+
+def test_quality_equals_plain_ftrl(spark, tables):
+    docs, labels = tables[0].where("doc_id < 150").selectExpr("doc_id", "substr(text, 1, 120) as text"), tables[1]
+    sample = quality_classifier.labelled(docs, labels, "quality", 4, 2, 60)
+    got = {r.doc_id: r.score for r in quality_classifier.classify(docs, labels, 60).collect()}
+    rows, learnt = docs.collect(), sample.collect()
+    plain = plain_quality(learnt, [r.text for r in rows], -(-quality_classifier.UPDATES // len(learnt)))
+    assert [got[r.doc_id] for r in rows] == pytest.approx(plain, abs=1e-3)  # the sample's values are single precision
 
 
 def test_toxicity_edges(spark, tables):
