@@ -2,18 +2,19 @@
 
 1. Vectors that are equal in label and components become one representative with its number of copies.
 2. Centroids are fitted to a bounded sample (``SAMPLE`` representatives); every representative is assigned to its
-   ``overlap`` nearest clusters, so that clusters overlap.  A cluster of one label is dealt into blocks of about
-   ``BLOCK_ROWS`` rows, so no task holds an unbounded group.
+   ``overlap`` nearest clusters, so that clusters overlap; the nearest is its own.  A cluster of one label is dealt into
+   blocks of about ``BLOCK_ROWS`` rows, so no task holds an unbounded group.
 3. Each block builds a graph: candidates are robust-pruned (an edge is dropped if a kept neighbour is nearer to its end by
    the factor ALPHA), reverse edges are added.  The adjacency lists of a vector from all its blocks are united.
-4. Every vector searches the blocks of its clusters: a greedy beam search from the block's medoid, then the range is
+4. Every vector searches the blocks of its own cluster: a greedy beam search from the block's medoid, then the range is
    expanded along edges from every vector found at least ``threshold - SLACK``.  Pairs are verified by the cosine in
-   double precision.  What the search finds in any cluster goes into the forest of links.  A pair may be found in one
-   common cluster and missed in another, so links are counted by the exact product of query part and block in the smallest
-   common cluster only; tasks return counts and a spanning forest of their links, never all pairs.
+   double precision.  A vector's links are what its search finds: it searches one cluster, whose blocks share no vector,
+   so no pair is met twice and counts add up.  The queries of a cluster are dealt into parts of about ``QUERY_ROWS``; a
+   task takes one part and one block, and returns counts and a spanning forest of its links, never all pairs.
 5. The recall is audited: up to ``AUDIT`` vectors are compared with all vectors of their label by brute force, and the
    recall is the mean over those that have links, so that a dense group does not hide the others.  Below
-   ``LEAST_RECALL`` the overlap is doubled and the search repeated; with all clusters each pair shares a cluster.
+   ``LEAST_RECALL`` the overlap and the beam are doubled and the search repeated; at the end every vector is in all
+   clusters and the beam as wide as a block.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and rows with a null label or
 ``vec_id``, link with nothing (0 links, their own component); vectors of different length link with nothing; repeated rows are vectors like any other; an empty table
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from noticespark.llm.common import connected_components, global_index, staged
 
-SAMPLE, CLUSTER_ROWS, MOST_CLUSTERS, BLOCK_ROWS = 20_000, 1_000, 4_096, 2_048
+SAMPLE, CLUSTER_ROWS, MOST_CLUSTERS, BLOCK_ROWS, QUERY_ROWS = 20_000, 1_000, 4_096, 2_048, 4_096
 OVERLAP, CANDIDATES, DEGREE, ALPHA, BEAM, SLACK = 3, 48, 24, 1.2, 24, 0.04
 AUDIT, LEAST_RECALL = 512, 0.97
 _PAIRS = 8_192  # (query, node) pairs expanded at a time
@@ -93,15 +94,15 @@ def _expand(found: np.ndarray, hold: np.ndarray, seen: np.ndarray, edges: np.nda
     return q, node
 
 
-def search(queries: np.ndarray, v: np.ndarray, edges: np.ndarray, medoid: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def search(queries: np.ndarray, v: np.ndarray, edges: np.ndarray, medoid: int, threshold: float, width: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
     """(query, node) pairs with a cosine of at least ``threshold``, found over the graph."""
     n = len(v)
     small, small_q = v.astype(np.float32), queries.astype(np.float32)
     seen = np.zeros((len(queries), n), bool)
     rows = np.arange(len(queries))
-    beam = np.full((len(queries), BEAM), -1)
-    score = np.full((len(queries), BEAM), -2, np.float32)
-    done = np.ones((len(queries), BEAM), bool)
+    beam = np.full((len(queries), width), -1)
+    score = np.full((len(queries), width), -2, np.float32)
+    done = np.ones((len(queries), width), bool)
     beam[:, 0], score[:, 0], done[:, 0] = medoid, small_q @ small[medoid], False
     seen[:, medoid] = True
     hits_q, hits_n = [], []
@@ -127,12 +128,12 @@ def search(queries: np.ndarray, v: np.ndarray, edges: np.ndarray, medoid: int, t
         note(q, node, s)
         where = np.searchsorted(active, q)
         place = np.arange(len(q)) - np.searchsorted(q, active)[where]
-        width = place.max() + 1
-        new, new_s = np.full((len(active), width), -1), np.full((len(active), width), -2, np.float32)
+        most = place.max() + 1
+        new, new_s = np.full((len(active), most), -1), np.full((len(active), most), -2, np.float32)
         new[where, place], new_s[where, place] = node, s
         all_n, all_s = np.concatenate([beam[active], new], 1), np.concatenate([score[active], new_s], 1)
         all_d = np.concatenate([done[active], new < 0], 1)
-        best = np.argsort(-all_s, axis=1, kind="stable")[:, :BEAM]
+        best = np.argsort(-all_s, axis=1, kind="stable")[:, :width]
         beam[active], score[active], done[active] = (np.take_along_axis(x, best, 1) for x in (all_n, all_s, all_d))
     todo = [(np.concatenate(hits_q), np.concatenate(hits_n))]
     hits = []
@@ -181,7 +182,7 @@ def _centroids(reps: DataFrame, most: int) -> np.ndarray:
     return c
 
 
-def _found(reps: DataFrame, centroids: np.ndarray, threshold: float, overlap: int) -> DataFrame:
+def _found(reps: DataFrame, centroids: np.ndarray, threshold: float, overlap: int, width: int = BEAM) -> DataFrame:
     """``(a, b, n)`` rows: counts of links (b null) and a forest of links (n = 0) of the representatives."""
     spark = reps.sparkSession
     shared = spark.sparkContext.broadcast(centroids)  # at most MOST_CLUSTERS vectors
@@ -190,12 +191,15 @@ def _found(reps: DataFrame, centroids: np.ndarray, threshold: float, overlap: in
         for b in batches:
             if len(b):
                 near = _matrix(b["embedding"], shared.value.shape[1]) @ shared.value.T
-                clusters = np.sort(np.argsort(-near, axis=1, kind="stable")[:, :overlap], axis=1)
+                clusters = np.argsort(-near, axis=1, kind="stable")[:, :overlap]  # nearest first
                 yield b.assign(clusters=list(clusters.astype(np.int32)))
 
     assigned = reps.mapInPandas(assign, "label string, dims int, rep long, copies long, embedding array<float>, clusters array<int>")
-    member = staged(assigned.withColumn("cluster", F.explode("clusters")), "members")
-    sizes = member.groupBy("label", "dims", "cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    member = assigned.withColumn("own", F.col("clusters")[0]).withColumn("cluster", F.explode("clusters")).drop("clusters")
+    member = staged(member.withColumn("own", F.col("own") == F.col("cluster")), "members")
+    sizes = member.groupBy("label", "dims", "cluster").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"), F.ceil(F.count_if("own") / QUERY_ROWS).cast("int").alias("parts")
+    )
     member = staged(member.join(sizes, ["label", "dims", "cluster"]).withColumn("block", F.expr("cast(pmod(xxhash64(rep), blocks) as int)")), "blocks")
     key = ["label", "dims", "cluster", "block"]
 
@@ -206,64 +210,38 @@ def _found(reps: DataFrame, centroids: np.ndarray, threshold: float, overlap: in
 
     graph = member.groupBy(*key).applyInPandas(build, "rep long, edges array<long>")
     graph = staged(graph.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("edges"))).alias("edges")), "graph")  # united lists
-    # A vector searches its own block and the later blocks of its clusters.
-    node = member.join(graph, "rep").select(*key, F.lit(True).alias("node"), "rep", "copies", "embedding", "clusters", "edges")
-    later = member.where("block + 1 < blocks").withColumn("block", F.explode(F.expr("sequence(block + 1, blocks - 1)")))
-    asked = later.select(*key, F.lit(False).alias("node"), "rep", "copies", "embedding", "clusters", F.lit(None).cast("array<long>").alias("edges"))
-    both = node.unionByName(asked)
+    # Every part of a cluster's queries meets every block of its vectors; a cluster that is nobody's own has no part.
+    node = member.where("parts > 0").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).join(graph, "rep")
+    asked = member.where("own").withColumn("part", F.expr("cast(pmod(xxhash64(7, rep), parts) as int)")).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
+    fields = [*key, "part", "rep", "copies", "embedding"]
+    both = node.select(*fields, "edges", F.lit(True).alias("node")).unionByName(asked.select(*fields, F.lit(None).cast("array<long>").alias("edges"), F.lit(False).alias("node")))
 
     def look(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rep", kind="stable")
-        node, cluster = rows[rows["node"]], int(rows["cluster"].iloc[0])
+        node, asked = rows[rows["node"]], rows[~rows["node"]]
+        none = pd.DataFrame({"a": [], "b": [], "n": []}, dtype="Int64")
+        if node.empty or asked.empty:
+            return none
         v, ids, copies = _matrix(node["embedding"]), node["rep"].to_numpy(), node["copies"].to_numpy()
-        n = len(ids)
-        edges = np.full((n, max(1, max(len(e) for e in node["edges"]))), -1)
-        for i, e in enumerate(node["edges"]):
-            at = np.minimum(np.searchsorted(ids, e), n - 1)
+        edges = np.full((len(ids), max(1, max(len(e) for e in node["edges"]))), -1)
+        for i, e in enumerate(node["edges"]):  # the united list's vectors of this block
+            at = np.minimum(np.searchsorted(ids, e), len(ids) - 1)
             at = at[ids[at] == np.asarray(e)]
             edges[i, : len(at)] = at
-        medoid = int((v @ v.mean(0)).argmax())
-
-        def lower(of: pd.Series) -> np.ndarray:
-            """Which clusters before this one each row is in."""
-            out = np.zeros((len(of), max(1, cluster)), np.float32)
-            for i, c in enumerate(of):
-                out[i, [x for x in c if x < cluster]] = 1
-            return out
-
-        node_lower, found = lower(node["clusters"]), np.zeros(n, np.int64)
-        own_pairs, counted, forest = [], [], []
-        for start in range(0, len(rows), 512):
-            part = rows.iloc[start : start + 512]
-            part_ids, part_copies, own = part["rep"].to_numpy(), part["copies"].to_numpy(), part["node"].to_numpy()
-            queries = _matrix(part["embedding"])
-            q, hit = search(queries, v, edges, medoid, threshold)
-            ok = part_ids[q] != ids[hit]
-            forest.append(_forest(part_ids[q[ok]], ids[hit[ok]]))  # also of pairs that an earlier cluster counts
-            counted_before = lower(part["clusters"]) @ node_lower.T > 0  # the pair shares an earlier cluster
-            q, hit = np.nonzero((queries @ v.T >= threshold) & ~counted_before & (part_ids[:, None] != ids))
-            # Inside the block a pair may be found from either end: one number stands for both.
-            mine = own[q]
-            at = np.searchsorted(ids, part_ids[q[mine]])
-            own_pairs.append(np.unique(np.minimum(at, hit[mine]) * n + np.maximum(at, hit[mine])))
-            q, hit = q[~mine], hit[~mine]
-            np.add.at(found, hit, part_copies[q])
+        medoid, out = int((v @ v.mean(0)).argmax()), [none]
+        for start in range(0, len(asked), 512):
+            part = asked.iloc[start : start + 512]
+            part_ids = part["rep"].to_numpy()
+            q, hit = search(_matrix(part["embedding"]), v, edges, medoid, threshold, width)
+            other = part_ids[q] != ids[hit]
+            q, hit = q[other], hit[other]
             total = np.bincount(q, weights=copies[hit], minlength=len(part)).astype(np.int64)
-            counted.append((part_ids[total > 0], total[total > 0]))
-            forest.append(_forest(part_ids[q], ids[hit]))
-        pairs = np.unique(np.concatenate(own_pairs))
-        i, j = pairs // n, pairs % n
-        np.add.at(found, i, copies[j])
-        np.add.at(found, j, copies[i])
-        forest.append(_forest(ids[i], ids[j]))
-        counted.append((ids[found > 0], found[found > 0]))
-        ends = [np.concatenate([np.asarray(x[k], np.int64) for x in forest]) for k in (0, 1)]
-        seen = [np.concatenate([x[k] for x in counted]) for k in (0, 1)]
-        b = pd.array(np.concatenate([np.zeros(len(seen[0]), np.int64), ends[1]]), dtype="Int64")
-        b[: len(seen[0])] = pd.NA
-        return pd.DataFrame({"a": np.concatenate([seen[0], ends[0]]), "b": b, "n": np.concatenate([seen[1], np.zeros(len(ends[0]), np.int64)])})
-
-    return staged(both.groupBy(*key).applyInPandas(look, "a long, b long, n long"), "links")
+            a, b = _forest(part_ids[q], ids[hit])
+            out.append(pd.DataFrame({"a": part_ids[total > 0], "b": pd.array([None] * int((total > 0).sum()), dtype="Int64"), "n": total[total > 0]}))
+            out.append(pd.DataFrame({"a": np.asarray(a, np.int64), "b": pd.array(b, dtype="Int64"), "n": np.zeros(len(a), np.int64)}))
+        return pd.concat(out)
+
+    return staged(both.groupBy(*key, "part").applyInPandas(look, "a long, b long, n long"), "links")
 
 
 def _audit(reps: DataFrame, counts: DataFrame, threshold: float) -> float:
@@ -299,14 +277,14 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame
     if most is None:
         alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
         return alone.select("*", F.lit(True).alias("kept"), F.lit(1.0).alias("recall"))
-    centroids, overlap = _centroids(reps, most), OVERLAP
+    centroids, overlap, width = _centroids(reps, most), OVERLAP, BEAM
     while True:
-        found = _found(reps, centroids, threshold, min(overlap, len(centroids)))
+        found = _found(reps, centroids, threshold, min(overlap, len(centroids)), width)
         counts = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
         recall = _audit(reps, counts, threshold)
-        if recall >= LEAST_RECALL or overlap >= len(centroids):
+        if recall >= LEAST_RECALL or overlap >= len(centroids) and width >= BLOCK_ROWS:
             break
-        overlap *= 2
+        overlap, width = 2 * overlap, 2 * width
     comp = connected_components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
     info = same.join(counts, "rep", "left").join(comp, "rep", "left").withColumn("root", F.coalesce("component", "rep"))
     info = staged(info.select("label", "embedding", "first_id", "root", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "linked")

@@ -206,21 +206,32 @@ def test_embedding_blocks_of_one_dense_group(spark, monkeypatch):
     assert (found <= links).all() and found.sum() >= 0.97 * links.sum()
 
 
-def test_embedding_pair_missed_in_its_first_cluster_counts(spark, monkeypatch):
-    """A pair of clusters 0 and 1 that only the search of cluster 1 finds keeps its count and its edge."""
-    only0, only1 = np.array([1.0, 0, 1, 0]) / 2**0.5, np.array([0, 1.0, 1, 0]) / 2**0.5  # in clusters 0 and 2, 1 and 2
-
-    def lossy(queries, v, edges, medoid, threshold):
-        if (v @ only0 > 0.99).any() and not (v @ only1 > 0.99).any():
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        return np.nonzero(queries @ v.T >= threshold)
-
-    monkeypatch.setattr(embedding_near_dup, "search", lossy)
-    rows = [[1, 1, 0, 0], [1, 0.9, 0, 0.1], only0.tolist(), only1.tolist()]
-    reps = spark.createDataFrame([("1", 4, i, 1, [float(x) for x in v]) for i, v in enumerate(rows)], "label string, dims int, rep long, copies long, embedding array<float>")
-    found = embedding_near_dup._found(reps, np.eye(4)[:3], 0.93, 2).collect()
-    assert {(r.a, r.n) for r in found if r.b is None} == {(0, 1), (1, 1)}
-    assert {frozenset((r.a, r.b)) for r in found if r.b is not None} == {frozenset((0, 1))}
+def test_embedding_links_come_from_the_search_alone(spark, monkeypatch):
+    """Without the search there are no links and the audit says so; with it each pair counts once over all blocks."""
+    rng = np.random.default_rng(6)
+    v = np.concatenate([x + rng.normal(size=(30, 16)) * 0.03 for x in rng.normal(size=(8, 16))])
+    reps = spark.createDataFrame([("1", 16, i, 1 + i % 2, x.tolist()) for i, x in enumerate(v)], "label string, dims int, rep long, copies long, embedding array<float>")
+    monkeypatch.setattr(embedding_near_dup, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(embedding_near_dup, "QUERY_ROWS", 20)
+
+    def counts(found):
+        return found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
+
+    found = embedding_near_dup._found(reps, v[::60], 0.93, 3)
+    unit = v.astype(np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.93
+    np.fill_diagonal(near, False)
+    true = near @ (1 + np.arange(len(v)) % 2)
+    got = {r.rep: r.n for r in counts(found).collect()}
+    assert all(got.get(i, 0) <= true[i] for i in range(len(v))) and sum(got.values()) >= 0.97 * true.sum()
+    assert embedding_near_dup._audit(reps, counts(found), 0.93) >= 0.97
+    links = found.where("b is not null").collect()
+    assert links and all(near[r.a, r.b] for r in links)
+
+    monkeypatch.setattr(embedding_near_dup, "search", lambda *_: (np.empty(0, np.int64), np.empty(0, np.int64)))
+    found = embedding_near_dup._found(reps, v[::60], 0.93, 3)
+    assert found.isEmpty() and embedding_near_dup._audit(reps, counts(found), 0.93) == 0
 
 
 def test_embedding_audit_is_not_hidden_by_a_dense_group(spark):
