@@ -504,6 +504,10 @@ SELECT rule, severity, violations::BIGINT AS violations FROM (
   SELECT 'hts_code_pattern' AS rule, 'error' AS severity, 0 AS violations
   UNION ALL SELECT 'effective_date >= publication_date', 'error', count(*) FILTER (WHERE eff_iso < pub_iso) FROM store
   UNION ALL SELECT 'expiration_date > effective_date', 'warning', 0
+  UNION ALL SELECT 'hts_code_length', 'error', count(*) FILTER (WHERE len(codes) > 0) FROM store
+  UNION ALL SELECT 'rate_types', 'error', 0
+  UNION ALL SELECT 'rate_ad_valorem_pattern', 'error', 0
+  UNION ALL SELECT 'rate_specific_pattern', 'error', 0
   UNION ALL SELECT 'required:source', 'error', 0
   UNION ALL SELECT 'required:document_type', 'error', 0
   UNION ALL SELECT 'required:title', 'error', count(*) FILTER (WHERE title_norm = '') FROM store
@@ -517,7 +521,26 @@ SELECT rule, severity, violations::BIGINT AS violations FROM (
   UNION ALL SELECT 'confidence:very_poor', 'info', count(*) FILTER (WHERE confidence_raw < 0.4) FROM store
 )""")
 
-
+_RULES_BROKEN = [
+    ("hts_code_pattern", "error", "k % 20 = 0 AND len(codes) > 0"),
+    ("hts_code_length", "error", "k % 20 <> 0 AND len(codes) > 0"),
+    ("effective_date >= publication_date", "error", "CASE WHEN k % 20 = 13 THEN pub_iso IS NOT NULL ELSE k % 20 <> 5 AND eff_iso < pub_iso END"),
+    ("expiration_date > effective_date", "warning", "k % 20 = 1 AND eff_iso IS NOT NULL"),
+    ("rate_types", "error", "k % 20 = 12"),
+    ("rate_ad_valorem_pattern", "error", "k % 20 = 9"),
+    ("rate_specific_pattern", "error", "k % 20 = 11"),
+    ("required:source", "error", "k % 20 = 2"),
+    ("required:document_type", "error", "k % 20 = 3"),
+    ("required:title", "error", "k % 20 = 4 OR title_norm = ''"),
+    ("required:publication_date", "error", "k % 20 = 5 OR pub_iso IS NULL"),
+    ("required:tariff_action.type", "error", "k % 20 = 6"),
+    ("required:source_url", "error", "k % 20 = 7"),
+]
+_SCORE = "CASE k % 20 WHEN 14 THEN 0.95 WHEN 15 THEN 0.8 WHEN 16 THEN 0.65 WHEN 17 THEN 0.45 WHEN 18 THEN 0.1 ELSE confidence_raw END"
+for _name, _low, _high in (("excellent", 0.9, 9), ("good", 0.75, 0.9), ("fair", 0.6, 0.75), ("poor", 0.4, 0.6), ("very_poor", -9, 0.4)):
+    _RULES_BROKEN.append((f"confidence:{_name}", "info", f"({_SCORE})::DOUBLE >= {_low}::DOUBLE AND ({_SCORE})::DOUBLE < {_high}::DOUBLE"))
+reg("rule_table_damaged", "SELECT rule, severity, violations::BIGINT AS violations FROM (\n" + "\n  UNION ALL ".join(
+    f"SELECT '{rule}' AS rule, '{severity}' AS severity, count(*) FILTER (WHERE {broken}) AS violations FROM store" for rule, severity, broken in _RULES_BROKEN) + ")")
 
 
 # ----------------------------------------------------------------- title ratio (X14) and the queries that use it

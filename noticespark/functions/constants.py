@@ -102,3 +102,25 @@ LINK_MIN_CONFIDENCE = 0.5
 LINK_CANDIDATE_LIMIT = 5
 DUPLICATE_THRESHOLD = 0.85
 VALIDATION_STATUSES = ["verified", "pending", "failed", "manual_review"]
+
+# The declared validation rules (rule, severity, kind, path, argument, path and value of the condition).
+RULES = [
+    ("hts_code_pattern", "error", "pattern", "tariff_action.products.hts_code", HTS_VALID_FORMAT, "", ""),
+    ("hts_code_length", "error", "length", "tariff_action.products.hts_code", "13", "", ""),
+    ("effective_date >= publication_date", "error", "not_before", "effective_date", "publication_date", "", ""),
+    ("expiration_date > effective_date", "warning", "after", "expiration_date", "effective_date", "", ""),
+    ("rate_types", "error", "one_of", "tariff_action.rate_type", "ad_valorem|specific|compound", "", ""),
+    ("rate_ad_valorem_pattern", "error", "pattern", "tariff_action.rate_original", r"^\d+(\.\d+)?%$", "tariff_action.rate_type", "ad_valorem"),
+    ("rate_specific_pattern", "error", "pattern", "tariff_action.rate_original", r"^\$\d+(\.\d+)?\s*(per|/)", "tariff_action.rate_type", "specific"),
+    ("required:source", "error", "required", "source", "", "", ""),
+    ("required:document_type", "error", "required", "document_type", "", "", ""),
+    ("required:title", "error", "required", "title", "", "", ""),
+    ("required:publication_date", "error", "required", "publication_date", "", "", ""),
+    ("required:tariff_action.type", "error", "required", "tariff_action.type", "", "", ""),
+    ("required:source_url", "error", "required", "source_url", "", "", ""),
+    ("confidence:excellent", "info", "band", "confidence_raw", "0.9,", "", ""),
+    ("confidence:good", "info", "band", "confidence_raw", "0.75,0.9", "", ""),
+    ("confidence:fair", "info", "band", "confidence_raw", "0.6,0.75", "", ""),
+    ("confidence:poor", "info", "band", "confidence_raw", "0.4,0.6", "", ""),
+    ("confidence:very_poor", "info", "band", "confidence_raw", ",0.4", "", ""),
+]

@@ -853,6 +853,28 @@ def q_rules(spark, sf):
     return Q.rule_violations(SC.store_events(spark, sf))
 
 
+@query("rule_table_damaged")
+def q_rules_damaged(spark, sf):
+    """K6 on damaged events: every declared rule is broken by some of them, and every band is met."""
+    kind, text = F.col("ingest_seq") % 20, lambda v: F.lit(v).cast("string")
+    fields = ["source", "document_type", "title", "publication_date", "tariff_action.type", "source_url"]   # kinds 2 to 7
+    rates = {8: ("7%", "ad_valorem"), 9: ("7 percent", "ad_valorem"), 10: ("$2.5 per kg", "specific"), 11: ("2 cents per kg", "specific"), 12: ("7%", "free")}
+    longer = F.transform(F.col("data.tariff_action.products"), lambda p: p.withField("hts_code", F.concat(p.getField("hts_code"), F.lit("X"))))
+    changes = [("tariff_action.products", 0, longer), ("expiration_date", 1, F.col("data.effective_date")), ("effective_date", 13, text("1900-01-01"))]
+    changes += [(f, n, text(None)) for n, f in enumerate(fields, 2)]
+    changes += [(f"tariff_action.{c}", n, text(v)) for n, pair in rates.items() for c, v in zip(("rate_original", "rate_type"), pair)]
+    data = {}
+    for path, n, value in changes:
+        data[path] = F.when(kind == n, value).otherwise(data.get(path, F.col(f"data.{path}")))
+    score = F.col("confidence_raw")
+    for n, v in enumerate((0.95, 0.8, 0.65, 0.45, 0.1), 14):
+        score = F.when(kind == n, v).otherwise(score)
+    doc = F.col("data")
+    for path, value in data.items():
+        doc = doc.withField(path, value)
+    return Q.rule_violations(SC.store_events(spark, sf).withColumns({"data": doc, "confidence_raw": score}))
+
+
 # ------------------------------------------------------------------ T: streaming, K1-K4 sinks
 
 def _scratch(spark, name: str) -> str:
