@@ -10,8 +10,9 @@ of whole chunks are required; a chance collision of one digest never makes a spa
 every ``WORD_POINTS`` code points, or ``WIDE_POINTS`` code points of three or more bytes (see ``word_count``).
 
 Chunks are staged once as narrow rows.  Equal chunks are aggregated before they are shuffled, so a passage that a third
-of all documents share is one row per map task; the join that marks later copies has one row per digest on its other
-side and can be split where a digest is hot.  Texts themselves never pass through a shuffle keyed by content.
+of all documents share is one row per map task.  A digest that more than one in ``HOT_SHARE`` of all chunks carry is hot;
+there are fewer than ``HOT_SHARE`` of them, so they are broadcast and their chunks are marked where they lie, while the
+other digests are joined by shuffle.  Texts themselves never pass through a shuffle keyed by content.
 
 Defined cases: null and empty texts have no chunk; rows with a null ``doc_id`` are returned whole and unmarked; rows
 that share a ``doc_id`` are parts of one document: they are not compared with each other, and each gets the spans found
@@ -35,6 +36,7 @@ MIN_BYTES, MAX_BYTES, MASK = 16, 512, 3  # after the least size one word start i
 MIN_WORDS = 20
 WORDLESS = 32  # from here on after a word start, one code point border in eight is a cut
 WORD_POINTS, WIDE_POINTS = 12, 3
+HOT_SHARE = 10_000  # a digest of more than one chunk in this many is hot: fewer than this many digests can be
 #: The gear table: one fixed random 16-bit number for each byte value.
 GEAR = np.random.Generator(np.random.PCG64(2024)).integers(0, 1 << 16, 256, dtype=np.uint16)
 _SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
@@ -138,9 +140,13 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ``spans``: array of (start, end) in bytes; ``sources``: ids of documents that keep the first copies of the chunks.
     """
     all_chunks = staged(chunks(docs), "chunks")
-    first = all_chunks.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.max("again").alias("any"))
-    first = first.where("first_id < last_id or any").select("digest", "first_id")
-    marked = all_chunks.join(first, "digest").where("doc_id > first_id or again")
+    first = all_chunks.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.max("again").alias("any"), F.count(F.lit(1)).alias("n"))
+    first = staged(first.where("first_id < last_id or any").select("digest", "first_id", "n"), "digests")
+    total = all_chunks.count()  # read from the files' footers
+    is_hot = F.col("n") * HOT_SHARE > total
+    hot, cold = (first.where(c).select("digest", "first_id") for c in (is_hot, ~is_hot))
+    marked = all_chunks.join(F.broadcast(hot), "digest").unionByName(all_chunks.join(F.broadcast(hot.select("digest")), "digest", "left_anti").join(cold, "digest"))
+    marked = marked.where("doc_id > first_id or again")
     per_doc = marked.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "size", "words", "first_id")).alias("found"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -283,7 +283,9 @@ def test_repeated_passages_are_cut_from_later_documents(spark):
     assert substring_dedup.repeated_spans(docs.limit(0)).count() == 0
 
 
-def test_spans_equal_brute_force(spark):
+@pytest.mark.parametrize("share", [1, substring_dedup.HOT_SHARE, 10**12])  # no digest is hot, the production share, all are
+def test_spans_equal_brute_force(spark, monkeypatch, share):
+    monkeypatch.setattr(substring_dedup, "HOT_SHARE", share)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     rows = sorted((r.doc_id, r.text.encode()) for r in docs.collect())
     first = {}
