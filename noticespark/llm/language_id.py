@@ -8,8 +8,11 @@ estimates p; languages then enter in order of their proportion, each refit by EM
 by more than the penalty ``PENALTY * log(trigrams) / 2`` a language plus ``GAIN`` a trigram, which a related language's
 stray trigrams do not reach.  The prediction is the language with the largest proportion, the score that proportion.
 
+At most ``MAX_LANGS`` languages are learnt, those of the most labelled rows (ties: first in code point order), so the
+table that is broadcast is at most 2**BITS * MAX_LANGS numbers of four bytes, 64 MB, however many tags ``lang`` holds.
+
 Defined cases: a null text and a text without a letter are ``und`` with score 0, and so is every text if nothing could be
-learnt; texts with null ``lang`` and documents with a null ``doc_id`` are predicted and never learnt from; ties go to the
+learnt; a language beyond ``MAX_LANGS`` is never predicted; texts with null ``lang`` and documents with a null ``doc_id`` are predicted and never learnt from; ties go to the
 language first in code point order; repeated rows are each predicted and each counted; other columns are ignored.
 """
 
@@ -26,6 +29,7 @@ from noticespark.llm.common import held_out, staged
 
 BITS = 15
 PENALTY, GAIN, ROUNDS = 2.0, 0.05, 10
+MAX_LANGS = 512
 _BLOCK = 1 << 20  # characters hashed at a time
 _HELD_LANGS = 32  # languages counted at a time by a task
 
@@ -58,8 +62,11 @@ class Trigrams:
         return out
 
 
-def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages in code point order and their trigram probabilities, smoothed by half a count; from all rows of ``docs``."""
+def learn(docs: DataFrame, max_langs: int = MAX_LANGS) -> tuple[list[str], np.ndarray]:
+    """Languages in code point order and their trigram probabilities, smoothed by half a count; from all rows of ``docs``.
+
+    With more than ``max_langs`` tags, from the rows of the most frequent ones.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trigrams, held = Trigrams(), {}
@@ -78,13 +85,19 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
                     held[lang] = held[lang] + n if lang in held else n
         yield from out()
 
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+    tags = docs.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    common = tags.orderBy(F.desc("rows"), "lang").limit(max_langs).select("lang")
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text").join(F.broadcast(common), "lang", "left_semi")
     counts = known.mapInPandas(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    rows = staged(counts, "trigrams").toPandas()  # one number per language and bucket
-    langs = sorted(rows["lang"].unique().tolist())
-    table = np.full((len(langs), 1 << BITS), 0.5)
-    table[rows["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(int), rows["bucket"].to_numpy()] += rows["n"].to_numpy()
-    return langs, (table / table.sum(1, keepdims=True)).astype(np.float32)
+    rows = staged(counts, "trigrams")  # one number per language and bucket
+    langs = sorted(r.lang for r in rows.select("lang").distinct().collect())
+    table = np.full((len(langs), 1 << BITS), 0.5, np.float32)
+    for i, lang in enumerate(langs):  # a language's numbers at a time
+        of = rows.where(F.col("lang") == lang).select("bucket", "n").toPandas()
+        row = np.full(1 << BITS, 0.5)
+        row[of["bucket"].to_numpy()] += of["n"].to_numpy()
+        table[i] = row / row.sum()
+    return langs, table
 
 
 def _em(p: np.ndarray, n: np.ndarray, share: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
@@ -116,11 +129,11 @@ def infer(table: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return chosen, fit
 
 
-def identify(docs: DataFrame) -> DataFrame:
+def identify(docs: DataFrame, max_langs: int = MAX_LANGS) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, langs`` of every row; ids with crc32 mod 4 = 2 are never learnt from."""
     out_of = held_out(F.col("doc_id"), 4, 2)
-    langs, table = learn(docs.where(F.col("doc_id").isNotNull() & ~out_of))
-    shared = docs.sparkSession.sparkContext.broadcast((langs, table))  # 2**BITS numbers a language
+    langs, table = learn(docs.where(F.col("doc_id").isNotNull() & ~out_of), max_langs)
+    shared = docs.sparkSession.sparkContext.broadcast((langs, table))  # 2**BITS numbers a language, MAX_LANGS languages
 
     @F.pandas_udf("lang_pred string, score double, langs array<struct<lang:string,share:double>>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -207,6 +207,17 @@ def test_language_mixture_and_edges(spark, tables):
     assert {r.lang_pred for r in nothing} == {"und"} and language_id.identify(more.limit(0)).count() == 0
 
 
+def test_languages_beyond_the_bound_are_not_learnt(spark):
+    rows = [(i, "der hund und die katze", "de") for i in range(40)] + [(100 + i, "the dog and the cat", "en") for i in range(40)]
+    rows += [(200 + i, "junk words of one tag", f"x{i:03d}") for i in range(300)]  # a row each: ties go by code point
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, table = language_id.learn(docs, 4)
+    assert langs == ["de", "en", "x000", "x001"] and table.shape == (4, 1 << language_id.BITS)
+    assert table.sum(1) == pytest.approx(np.ones(4), abs=1e-3)
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(docs, 2).collect()}
+    assert got[0] == "de" and got[100] == "en" and set(got.values()) == {"de", "en"}
+
+
 def plain_viterbi(pieces, text):
     score = {p: (s, i) for i, (p, s, k) in enumerate(pieces) if k == "normal"}
     byte = {p: i for i, (p, _, k) in enumerate(pieces) if k == "byte"}
