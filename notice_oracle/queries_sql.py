@@ -489,12 +489,15 @@ LEFT JOIN (SELECT k, string_agg(DISTINCT code, ',' ORDER BY code) AS codes FROM
 reg("confidence_score", "SELECT k, required, hts, date_v, date_basic, rate, quality, confidence_raw FROM scored2", SC3)
 reg("quality_label", f"SELECT k, {LABEL} AS label FROM scored2", SC3)
 reg("content_hash", "SELECT k::BIGINT AS arrival_seq, content_hash, confidence_raw, validation_status FROM docs4")
-reg("fuzzy_hash", """
-SELECT id, md5('{"hts_codes": [' || coalesce(array_to_string(list_transform(list_slice(list_sort(list_transform(codes, lambda x: substr(x, 1, 7))), 1, 5),
+FUZZY = """md5('{"hts_codes": [' || coalesce(array_to_string(list_transform(list_slice(list_sort(list_transform(codes, lambda x: substr(x, 1, 7))), 1, 5),
                                                              lambda x: '"' || x || '"'), ', '), '') ||
                 '], "publication_date": ' || CASE WHEN pub_iso IS NULL THEN 'null' ELSE '"' || pub_iso || '"' END ||
-                ', "source": "' || source || '"}') AS fuzzy_hash
-FROM store""")
+                ', "source": "' || source || '"}')"""
+reg("fuzzy_hash", f"SELECT id, {FUZZY} AS fuzzy_hash FROM store")
+reg("review_blocks", f"""
+SELECT id, fuzzy_hash, count(*) OVER (PARTITION BY fuzzy_hash) AS block_size,
+       first_value(id) OVER (PARTITION BY fuzzy_hash ORDER BY ingestion_timestamp, k, id) AS representative
+FROM (SELECT *, {FUZZY} AS fuzzy_hash FROM store)""")
 
 # ----------------------------------------------------------------- K: constraints / rules
 
@@ -710,3 +713,7 @@ RAW_ZONE = ("raw_rows", f"""
     FROM page_lines GROUP BY k) s ON s.k = f.k""")
 reg("raw_zone", "SELECT source, doc_id, name, body_chars FROM raw_rows", [RAW_ZONE])
 reg("read_raw", "SELECT source, doc_id, name, body_chars FROM raw_rows WHERE pdf_url IS NOT NULL", [RAW_ZONE])
+reg("raw_lineage", """
+SELECT n.id, t.kind, 'federal_register_' || f.no || '_20260101_061500.' || t.kind AS name, true AS is_landed
+FROM fr_new n JOIN filings f ON f.k = n.k JOIN (VALUES ('html'), ('pdf'), ('json')) t(kind)
+  ON t.kind <> 'pdf' OR (f.pdf_url IS NOT NULL AND f.pk IN (SELECT l_orderkey FROM plines))   -- a PDF of no line has no page""")

@@ -20,6 +20,7 @@ from ..operators import enrich as E
 from ..operators import parse as P
 from ..operators.dedup import dedup_against_store, dedup_within_batch, distinct_by_docnum, edge_upsert_ignore, skip_seen_urls
 from ..operators.link import link_documents
+from .raw import with_raw_paths
 from .sinks import append_events, append_relationships, read_table_or_empty, staged
 
 DEFAULT_AS_OF = "2026-01-01 00:00:00"
@@ -113,9 +114,11 @@ def fresh_documents(docs: DataFrame, source: str, store: DataFrame | None) -> Da
 def run_batch(parsed: DataFrame, source: str, store: DataFrame | None = None, pages: DataFrame | None = None,
               pdf_docs: DataFrame | None = None, as_of: str = DEFAULT_AS_OF, link: bool = True,
               link_limit: int | None = None, existing_edges: DataFrame | None = None,
-              with_title: bool = True, skip_urls: bool = False) -> BatchResult:
+              with_title: bool = True, skip_urls: bool = False, lineage: DataFrame | None = None) -> BatchResult:
     """Run one source's batch against the events store (``skip_urls``: the J2 check before any page is read).
 
+    ``lineage``: the names under which ``raw.store_raw`` kept the batch's bodies; events then carry their raw paths.
+
     A7 keeps the first of equal hashes inside the batch, J1 drops hashes the store
     already holds for this source (the two commute), then new events are linked
     against stored events of the other sources (F5) and edges are upsert-ignored (A8).
@@ -127,6 +130,8 @@ def run_batch(parsed: DataFrame, source: str, store: DataFrame | None = None, pa
         docs = staged(docs, "documents")   # linking reads both sides many times: they start from files
     first = fresh_documents(docs, source, store)
     events = event_envelope(first, as_of)
+    if lineage is not None:
+        events = with_raw_paths(events, lineage)
 
     outcome = (docs.select("arrival_seq", "source", "content_hash", "_failed",
                            F.size("tariff_action.products").alias("product_count"))

@@ -27,10 +27,12 @@ from ..operators import enrich as E
 from ..operators import link as L
 from ..operators import parse as P
 from ..operators import quality as Q
+from ..operators.review import review_blocks
 from ..sources import fixtures as X
 from ..sources import landed as LD
 from ..sources.tables import read_table
 from . import pipelines as PL
+from . import raw as RW
 from . import scenario as SC
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -302,6 +304,7 @@ def q_dedup_store(spark, sf):
     st = SC.store_events(spark, sf, l)
     docs = PL.prepare_documents(PL.fr_documents(l.fr_raw), "federal_register", l.pages,
                                 PL.fr_pdf_codes(l.pdf_pages))
+    st = st.where(F.col("source") == "federal_register")   # one partition of the store, as in the pipelines
     return DD.dedup_against_store(docs, st.select("source", "content_hash")).select("arrival_seq", "content_hash")
 
 
@@ -799,6 +802,12 @@ def q_fuzzy(spark, sf):
     return lp.select("id", I.fuzzy_hash(F.col("source"), F.col("publication_date"), F.col("codes")).alias("fuzzy_hash"))
 
 
+@query("review_blocks")
+def q_review_blocks(spark, sf):
+    """Every stored event with the size and the representative of its fuzzy-hash block."""
+    return review_blocks(PL.link_projection(SC.store_events(spark, sf)))
+
+
 @query("doc_similarity")
 def q_doc_sim(spark, sf):
     """Scores of all pairs with equal numbers, without the threshold."""
@@ -940,32 +949,55 @@ def q_append_edges(spark, sf):
     return spark.read.parquet(path).select("parent_event_id", "related_event_id", "relationship_type", "confidence_raw")
 
 
+def _raw_pages(l) -> DataFrame:
+    return l.pages.select("source", F.col("k").cast("string").alias("doc_id"), F.lit("html").alias("kind"), "url", F.col("html").alias("body"))
+
+
+def _body_rows(back: DataFrame) -> DataFrame:
+    return back.select("source", "doc_id", "name", F.length(F.col("body").cast("string")).alias("body_chars"))
+
+
 @query("raw_zone")
 def q_raw_zone(spark, sf):
-    """K3 + K4: landed pages kept in the raw zone with their lineage names, then read back."""
-    from .sinks import raw_zone, read_raw
-    l = SC.landed(spark, sf)
-    bodies = l.pages.select("source", F.col("k").cast("string").alias("doc_id"), F.lit("html").alias("kind"),
-                            F.col("html").alias("body"))
+    """K3 + K4: landed pages kept in the raw zone, each body once, then read back under all their names."""
     path = _scratch(spark, "raw")
-    raw_zone(bodies, path, "2026-01-01 06:15:00")
-    back = read_raw(spark, path)
-    return back.select("source", "doc_id", "name", F.length("body").alias("body_chars"))
+    RW.store_raw(_raw_pages(SC.landed(spark, sf)), path, SC.AS_OF["federal_register"])
+    return _body_rows(RW.read_raw(spark, path))
 
 
 @query("read_raw")
 def q_read_raw(spark, sf):
-    """K4: raw bodies read back for reparsing — only the FR filings that carry a PDF."""
-    from .sinks import raw_zone, read_raw
+    """K4: raw bodies read back by path for reparsing — only the FR filings that carry a PDF."""
+    l = SC.landed(spark, sf)
+    path = _scratch(spark, "raw")
+    lineage = RW.store_raw(_raw_pages(l), path, SC.AS_OF["federal_register"])
+    wanted = l.fr_raw.where(F.col("pdf_url").isNotNull()).select(F.col("arrival_seq").cast("string").alias("doc_id"))
+    paths = lineage.where(F.col("source") == "federal_register").join(wanted, "doc_id", "left_semi")
+    return _body_rows(RW.read_raw(spark, path, paths))
+
+
+@query("raw_lineage")
+def q_raw_lineage(spark, sf):
+    """P6 + K3 + K4: the raw paths on the FR run's events (page, PDF text, search record), and whether each leads to the landed bytes."""
     l = SC.landed(spark, sf)
-    bodies = l.pages.select("source", F.col("k").cast("string").alias("doc_id"), F.lit("html").alias("kind"),
-                            F.col("html").alias("body"))
+    docs = PL.fr_documents(l.fr_raw).select(F.col("identifiers.fr_document_number").alias("doc_id"), "source_url", "pdf_url", "arrival_seq",
+                                            F.to_json(F.struct("title", "publication_date", "source_url", "pdf_url", "abstract")).alias("record"))
+    src = F.lit("federal_register").alias("source")
+    pages = l.pages.where(F.col("source") == "federal_register").select("url", "html")
+    html = docs.join(pages, docs.source_url == pages.url).select(src, "doc_id", F.lit("html").alias("kind"), "url", F.col("html").alias("body"))
+    texts = E.pdf_pages_to_doc(l.pdf_pages, "k", "page_no", "text", None).select("k", "pdf_text")
+    pdf = docs.join(texts, docs.arrival_seq == texts.k).select(src, "doc_id", F.lit("pdf").alias("kind"), F.col("pdf_url").alias("url"), F.col("pdf_text").alias("body"))
+    json = docs.select(src, "doc_id", F.lit("json").alias("kind"), F.col("source_url").alias("url"), F.col("record").alias("body"))
+    bodies = html.unionByName(pdf).unionByName(json)
     path = _scratch(spark, "raw")
-    raw_zone(bodies, path, "2026-01-01 06:15:00")
-    wanted = l.fr_raw.where(F.col("pdf_url").isNotNull()).select(F.lit("federal_register").alias("source"),
-                                                                  F.col("arrival_seq").cast("string").alias("doc_id"))
-    back = read_raw(spark, path, wanted)
-    return back.select("source", "doc_id", "name", F.length("body").alias("body_chars"))
+    lineage = RW.store_raw(bodies, path, SC.AS_OF["federal_register"])
+    events = PL.fr_pipeline(l.fr_raw, l.pages, l.pdf_pages, SC.store_events(spark, sf, l), as_of=SC.AS_OF["federal_register"], link=False, lineage=lineage).events
+    carried = events.select("id", F.explode(F.array(*[F.col(f"raw_{k}_path") for k in RW.KINDS])).alias("raw_path")).where(F.col("raw_path").isNotNull())
+    carried = RW.staged(carried, "carried")
+    back = RW.read_raw(spark, path, carried).select("raw_path", "doc_id", "kind", "name", F.sha2("body", 256).alias("read_hash"))
+    was = bodies.select("doc_id", "kind", F.sha2(F.col("body").cast("binary"), 256).alias("landed_hash"))
+    return carried.join(back, "raw_path", "left").join(was, ["doc_id", "kind"], "left").select(
+        "id", "kind", "name", F.coalesce(F.col("read_hash") == F.col("landed_hash"), F.lit(False)).alias("is_landed"))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -61,7 +61,7 @@ def existing_hashes(events: DataFrame, source: str | None = None) -> DataFrame:
 
 def scan_events(events: DataFrame, limit: int | None = None) -> DataFrame:
     """Events newest first, optional limit."""
-    out = events.orderBy(F.col("ingestion_timestamp").desc(), F.col("ingest_seq").desc())
+    out = events.orderBy(F.col("ingestion_timestamp").desc(), F.col("ingest_seq").desc(), F.col("id"))   # the id settles ties, so a limit is reproducible
     return out.limit(limit) if limit else out
 
 
