@@ -9,6 +9,7 @@ from ..functions import codes as C
 from ..functions import dates as D
 from ..functions import scoring as S
 from ..functions.rates import validate_rate
+from ..functions.text import bound
 
 
 def hts_batch_summary(df: DataFrame, code_col: str = "code", keys: list[str] | None = None) -> DataFrame:
@@ -45,7 +46,13 @@ def products_from_tables(df: DataFrame, key: str, tables_col: str) -> DataFrame:
     t = df.select(key, F.posexplode(tables_col).alias("t_idx", "tbl"))
     r = t.select(key, "t_idx", F.posexplode("tbl").alias("r_idx", "cells"))
     zipped = F.transform("cells", lambda c: F.struct(c.alias("c"), C.extract_hts_codes(c).alias("k")))
-    codes = F.flatten(F.transform(zipped, lambda z: z.getField("k")))
-    desc_cells = F.filter(zipped, lambda z: (F.size(z.getField("k")) == 0) & (F.length(z.getField("c")) > 10))
-    desc = F.coalesce(F.try_element_at(F.transform(desc_cells, lambda z: z.getField("c")), F.lit(-1)), F.lit(""))
-    return r.select(key, "t_idx", "r_idx", codes.alias("hts_codes"), desc.alias("description")).where(F.size("hts_codes") > 0)
+
+    def product(z):
+        """The row's codes and description; cells are searched once for both, and for the choice of rows."""
+        codes = F.flatten(F.transform(z, lambda x: x.getField("k")))
+        desc_cells = F.filter(z, lambda x: (F.size(x.getField("k")) == 0) & (F.length(x.getField("c")) > 10))
+        desc = F.coalesce(F.try_element_at(F.transform(desc_cells, lambda x: x.getField("c")), F.lit(-1)), F.lit(""))
+        return F.struct(codes.alias("hts_codes"), desc.alias("description"))
+
+    found = F.filter(F.array(bound(zipped, product)), lambda x: F.size(x.getField("hts_codes")) > 0)
+    return r.select(key, "t_idx", "r_idx", F.inline(found))
