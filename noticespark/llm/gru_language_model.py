@@ -9,8 +9,8 @@ so every text has a probability.
 
 Training is truncated backpropagation in numpy over every training document, in ``ROUNDS`` rounds (a document's round is
 the hash of its id).  In a round each task starts from the same weights and makes AdaGrad steps from ``LANES`` windows at
-a time: every ``EVERY``-th window of each document, with the state that the window before it leaves (truncated carrying:
-scoring carries the state through the whole document).  The tasks' weights are averaged, weighted by their tokens, in
+a time: every window of each document (``EVERY`` is 1), with the state that the window before it leaves (truncated
+carrying: scoring carries the state through the whole document).  The tasks' weights are averaged, weighted by their tokens, in
 two levels of groups.  Before the first round the outputs have the logarithms of the training counts as biases.  Scores
 follow the partitions of the input: the same files and settings give the same weights.
 
@@ -47,7 +47,7 @@ WORDS = CLASSES * MEMBERS - 1
 END = WORDS  # the end takes the last place of the last class
 SYMBOLS = WORDS + 1 + TAILS
 EMBED, HIDDEN, WINDOW, LANES = 16, 16, 32, 512
-ROUNDS, EVERY, RATE, CLIP = 3, 8, 0.1, 1.0
+ROUNDS, EVERY, RATE, CLIP = 3, 1, 0.1, 1.0
 _FLUSH, _BLOCK, _FAN = 300_000, 16_384, 32
 
 Weights = dict[str, np.ndarray]
@@ -155,18 +155,13 @@ class Vocabulary:
         return at, symbols, rare
 
     def stretches(self, text: str | None) -> Iterator[np.ndarray]:
-        """Symbols of every ``EVERY``-th window of the text with the window before it and the token before both.
+        """Symbols of every window of the text with the window before it and the token before both.
 
-        The first of them is chosen by the text, so that all places of a text are learnt alike.  A stretch whose window is
-        the first of the text has no window before it: it begins with the end of the text before.
+        A stretch whose window is the first of the text has no window before it: it begins with the end of the text before.
         """
-        found = tokens(text)
-        for first in range(zlib.crc32(found[0] + found[-1]) % EVERY * WINDOW if len(found) >= EVERY * WINDOW else 0, len(found) + 1, EVERY * WINDOW):
-            begin = max(0, first - WINDOW - 1)
-            symbols = self._symbols(found[begin:first + WINDOW])[1]
-            if first + WINDOW > len(found):
-                symbols = np.append(symbols, np.int32(END))
-            yield symbols if first > WINDOW else np.append(np.int32(END), symbols)
+        symbols = np.r_[np.int32(END), self._symbols(tokens(text))[1], np.int32(END)].astype(np.int32)
+        for first in range(0, len(symbols) - 1, EVERY * WINDOW):
+            yield symbols[max(0, first - WINDOW):first + WINDOW + 1]
 
 
 # ------------------------------------------------------------------ the network

@@ -318,3 +318,13 @@ def test_language_model_stretches(monkeypatch):
         first = 0 if n < LM.EVERY * LM.WINDOW else LM.zlib.crc32(b"0" + str(n - 1).encode()) % LM.EVERY
         chosen = range(first, n // LM.WINDOW + 1, LM.EVERY)
         assert found == [whole[max(0, k - 1) * LM.WINDOW:(k + 1) * LM.WINDOW + 1] for k in chosen]
+
+
+def test_language_model_learns_from_every_token():
+    """Each token of a text, its end included, is the target of one learnt window."""
+    voc = LM.Vocabulary.__new__(LM.Vocabulary)
+    voc.index = {str(i).encode(): i for i in range(1_000)}
+    voc.symbol = np.arange(1_000, dtype=np.int32)
+    for n in (0, 31, 32, 255, 256, 300, 900):
+        learnt = [t for x in voc.stretches(" ".join(map(str, range(n)))) for t in x[LM.WINDOW + 1 if len(x) - 1 > LM.WINDOW else 1:].tolist()]
+        assert learnt == [*range(n), LM.END]
