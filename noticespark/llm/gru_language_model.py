@@ -48,7 +48,7 @@ END = WORDS  # the end takes the last place of the last class
 SYMBOLS = WORDS + 1 + TAILS
 EMBED, HIDDEN, WINDOW, LANES = 16, 16, 32, 512
 ROUNDS, EVERY, RATE, CLIP = 3, 1, 0.1, 1.0
-_FLUSH, _BLOCK, _FAN = 300_000, 16_384, 32
+_FLUSH, _BLOCK, _FAN, _ROWS = 300_000, 16_384, 32, 2_048
 
 Weights = dict[str, np.ndarray]
 
@@ -194,23 +194,26 @@ def recur(w: Weights, ids: np.ndarray, h: np.ndarray, keep: bool = False):
     steps, lanes = ids.shape
     read = (w["embed"] @ w["input"] + w["gate"]).T.copy()  # what each symbol adds to the gates
     carry = w["carry"].T.copy()
-    states = np.empty((steps + 1, HIDDEN, lanes), np.float32)
+    states = np.empty((steps + 1, HIDDEN, lanes), read.dtype)
     states[0] = h
+    ids = ids.astype(np.intp)
+    # All steps write to the same memory unless they are kept: fresh pages for every step took longer than the arithmetic.
+    gates, sums = (np.empty((steps if keep else 1, 3 * HIDDEN, lanes), read.dtype) for _ in range(2))
     kept = []
     for t in range(steps):
-        h = states[t]
-        u = carry @ h
-        x = read[:, ids[t]]
-        s = x[:2 * HIDDEN]
+        h, x, u = states[t], gates[t if keep else 0], sums[t if keep else 0]
+        np.matmul(carry, h, out=u)
+        read.take(ids[t], axis=1, out=x, mode="clip")  # symbols are below SYMBOLS
+        s, n = x[:2 * HIDDEN], x[2 * HIDDEN:]
         s += u[:2 * HIDDEN]
         _logistic(s, -1)
         z, r = s[:HIDDEN], s[HIDDEN:]
-        n = r * u[2 * HIDDEN:]
-        n += x[2 * HIDDEN:]
+        out = states[t + 1]
+        np.multiply(r, u[2 * HIDDEN:], out=out)
+        n += out
         _logistic(n, -2)  # the hyperbolic tangent of n is 2 logistic(2 n) - 1
         n *= 2
         n -= 1
-        out = states[t + 1]
         np.subtract(h, n, out=out)
         out *= z
         out += n
@@ -224,49 +227,67 @@ def rows_of(states: np.ndarray, valid: np.ndarray) -> np.ndarray:
     return states[1:].transpose(0, 2, 1)[valid]
 
 
-def _soft(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray, rows: np.ndarray, soft: bool):
-    """Log-probability of entry ``at`` of each row's softmax; with ``soft`` the probabilities as well."""
-    a = h @ weights
+def _soft(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray, rows: np.ndarray, soft: bool, room: np.ndarray):
+    """Log-probability of entry ``at`` of each row's softmax; with ``soft`` the probabilities as well (in ``room``)."""
+    a = np.matmul(h, weights, out=room[:len(h) * weights.shape[1]].reshape(len(h), -1))
     a += bias
     out = a[rows, at]
     with np.errstate(over="ignore"):
-        e = np.exp(a, out=a if not soft else None)
-    total = e @ np.ones(a.shape[1], np.float32)
+        e = np.exp(a, out=a)
+    total = e @ np.ones(a.shape[1], e.dtype)
     if not np.isfinite(total).all() or not total.all():  # too large or small for exponentials: take the largest off first
         a = (h @ weights).astype(np.float64) + bias
         a -= a.max(1, keepdims=True)
         out, e = a[rows, at], np.exp(a)
         total = e.sum(1)
     if soft:
-        e = (e * (1 / total)[:, None]).astype(np.float32)
-    return out - np.log(total), e
+        e *= (1 / total)[:, None]
+    return out - np.log(total), e.astype(room.dtype, copy=False)
 
 
 def outputs(w: Weights, h: np.ndarray, target: np.ndarray, grads: Weights | None = None):
     """Log-probability (natural) of each target after state ``h``; with ``grads`` also the gradient of the loss by ``h``."""
     learn = grads is not None
-    of_class = np.where(target <= END, target // MEMBERS, target - (WORDS + 1) + CLASSES)
-    order = np.argsort(of_class.astype(np.int16), kind="stable")  # rows of a class follow each other
-    h, of_class, member = h[order], of_class[order], target[order] % MEMBERS
+    of_class = np.where(target <= END, target // MEMBERS, target - (WORDS + 1) + CLASSES).astype(np.int16)
+    order = np.argsort(of_class, kind="stable")  # rows of a class follow each other
+    h, of_class, member = h.take(order, axis=0), of_class[order], target[order] % MEMBERS
+    room = np.empty(min(len(target), _ROWS) * (CLASSES + TAILS), h.dtype)
+    ones = np.ones(len(target), h.dtype)
     rows = np.arange(len(target))
-    found, soft = _soft(h, w["class"], w["class_bias"], of_class, rows, learn)
-    back = None
+    found, back = np.empty(len(target), h.dtype), None
     if learn:
-        soft[rows, of_class] -= 1
-        grads["class"], grads["class_bias"] = h.T @ soft, soft.sum(0)
-        back = soft @ w["class"].T
+        back = np.empty_like(h)
+        grads["class"], grads["class_bias"] = np.zeros_like(w["class"]), np.zeros_like(w["class_bias"])
         grads["word"], grads["word_bias"] = {}, {}
-    ends = np.searchsorted(of_class, np.arange(CLASSES + 1)).tolist()
-    for c, (first, last) in enumerate(zip(ends, ends[1:])):
-        if first == last:
-            continue
-        some, at, spot = h[first:last], member[first:last], rows[:last - first]
-        more, soft = _soft(some, w["word"][c], w["word_bias"][c], at, spot, learn)
-        found[first:last] += more
+
+    def add(first: int, last: int, weights: np.ndarray, bias: np.ndarray, at: np.ndarray, fresh: bool):
+        """Adds (or sets, if ``fresh``) what one softmax gives rows ``first`` to ``last``; gradients by weights and bias."""
+        some, spot = h[first:last], rows[:last - first]
+        more, soft = _soft(some, weights, bias, at, spot, learn, room)
+        found[first:last] = more if fresh else found[first:last] + more
+        if not learn:
+            return None
+        soft[spot, at] -= 1
+        if fresh:
+            np.matmul(soft, weights.T, out=back[first:last])
+        else:
+            back[first:last] += soft @ weights.T
+        return some.T @ soft, ones[:last - first] @ soft
+
+    for first in range(0, len(target), _ROWS):  # blocks that stay in the cache
+        last = min(len(target), first + _ROWS)
+        got = add(first, last, w["class"], w["class_bias"], of_class[first:last], True)
         if learn:
-            soft[spot, at] -= 1
-            grads["word"][c], grads["word_bias"][c] = some.T @ soft, soft.sum(0)
-            back[first:last] += soft @ w["word"][c].T
+            grads["class"] += got[0]
+            grads["class_bias"] += got[1]
+    ends = np.searchsorted(of_class, np.arange(CLASSES + 1, dtype=np.int16)).tolist()
+    for c, (start, end) in enumerate(zip(ends, ends[1:])):
+        for first in range(start, end, _ROWS):
+            last = min(end, first + _ROWS)
+            got = add(first, last, w["word"][c], w["word_bias"][c], member[first:last], False)
+            if learn:
+                grads["word"][c] = grads["word"][c] + got[0] if c in grads["word"] else got[0]
+                grads["word_bias"][c] = grads["word_bias"][c] + got[1] if c in grads["word_bias"] else got[1]
     out = np.empty_like(found)
     out[order] = found
     if learn:
@@ -295,33 +316,41 @@ class Trainer:
         out, back = outputs(w, rows_of(states, valid), target[valid], grads)
         d_out = np.zeros((steps, lanes, HIDDEN), np.float32)
         d_out[valid] = back
-        dx = np.empty((steps, 3 * HIDDEN, lanes), np.float32)
+        dx = np.empty((3 * HIDDEN, steps, lanes), np.float32)
         d_carry = np.zeros_like(w["carry"])
         dh = np.zeros((HIDDEN, lanes), np.float32)
+        du = np.empty((3 * HIDDEN, lanes), np.float32)
         for t in range(steps - 1, -1, -1):
             z, r, n, u = kept[t]
             dh += d_out[t].T
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (states[t] - n) * z * (1 - z)
-            dr = dn * u * r * (1 - r)
-            dx[t, :HIDDEN], dx[t, HIDDEN:2 * HIDDEN], dx[t, 2 * HIDDEN:] = dz, dr, dn
-            du = dx[t].copy()
+            rest = 1 - z
+            np.multiply(dh, rest, out=du[2 * HIDDEN:])
+            du[2 * HIDDEN:] *= 1 - n * n
+            np.subtract(states[t], n, out=du[:HIDDEN])
+            du[:HIDDEN] *= dh
+            du[:HIDDEN] *= z
+            du[:HIDDEN] *= rest
+            np.multiply(du[2 * HIDDEN:], u, out=du[HIDDEN:2 * HIDDEN])
+            du[HIDDEN:2 * HIDDEN] *= r
+            du[HIDDEN:2 * HIDDEN] *= 1 - r
+            dx[:, t] = du
             du[2 * HIDDEN:] *= r
             d_carry += states[t] @ du.T
-            dh = dh * z + w["carry"] @ du
+            dh *= z
+            dh += w["carry"] @ du
         scale = 1.0 / max(1, int(valid.sum()))
-        flat = dx.transpose(0, 2, 1).reshape(-1, 3 * HIDDEN)
+        flat = dx.reshape(3 * HIDDEN, -1)
         symbols = ids.ravel()
         order = np.argsort(symbols.astype(np.int16), kind="stable")
         starts = np.flatnonzero(np.r_[True, np.diff(symbols[order]) != 0])
-        d_embed = np.add.reduceat((flat @ w["input"].T)[order], starts)
-        d_input = w["embed"][symbols].T @ flat
+        d_embed = np.add.reduceat((w["input"] @ flat).T.copy().take(order, axis=0), starts)
+        d_input = w["embed"].take(symbols, axis=0).T @ flat.T
         lift = math.sqrt(1 / scale)  # rows that few tokens touch have small mean gradients
         for c, g in grads["word"].items():
             self._update("word", c, np.clip(g * scale * lift, -CLIP, CLIP))
             self._update("word_bias", c, np.clip(grads["word_bias"][c] * scale * lift, -CLIP, CLIP))
         for name, at, g in (("class", slice(None), grads["class"]), ("class_bias", slice(None), grads["class_bias"]), ("carry", slice(None), d_carry),
-                            ("input", slice(None), d_input), ("gate", slice(None), flat.sum(0)), ("embed", symbols[order][starts], d_embed)):
+                            ("input", slice(None), d_input), ("gate", slice(None), flat.sum(1)), ("embed", symbols[order][starts], d_embed)):
             self._update(name, at, np.clip(g * scale * lift, -CLIP, CLIP))
         return states[-1], float(out.sum())
 
@@ -367,7 +396,9 @@ def windows(docs: Iterator[tuple], done: Callable) -> Iterator[tuple]:
             state = np.concatenate([state, np.zeros((HIDDEN, fresh), np.float32)], axis=1)
             sums = np.r_[sums, np.zeros(fresh)]
         left = np.array([len(s) - 1 - p for s, p in zip(seqs, pos)])
-        size = np.minimum(left, WINDOW)
+        # Few documents that are left read on until the shortest ends, in no more memory than a window of all lanes.
+        width = max(WINDOW, min(int(left.min()), WINDOW * LANES // len(names)))
+        size = np.minimum(left, width)
         steps = int(size.max())
         both = np.full((len(names), steps + 1), END, np.int32)
         for k, (s, p, n) in enumerate(zip(seqs, pos, size)):
@@ -376,7 +407,7 @@ def windows(docs: Iterator[tuple], done: Callable) -> Iterator[tuple]:
         valid = (np.arange(steps)[:, None] < size)
         state, gained = yield both[:, :-1].T, both[:, 1:].T, valid, state
         sums += gained
-        stay = left > WINDOW
+        stay = left > width
         if not stay.all():
             for k in np.flatnonzero(~stay):
                 done(names[k], sums[k])
