@@ -30,11 +30,12 @@ import hashlib
 import math
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,11 +56,19 @@ Weights = dict[str, np.ndarray]
 
 # ------------------------------------------------------------------ tokens and counts
 
-def tokens(text: str | None) -> list[bytes]:
+def _bytes(text: str | bytes | None) -> bytes:
+    return text if isinstance(text, bytes) else (text or "").encode("utf-8", "replace")
+
+
+def _key(word: bytes) -> bytes:
+    return word if len(word) <= KEY else b"\xff" + hashlib.blake2b(word, digest_size=16).digest()
+
+
+def tokens(text: str | bytes | None) -> list[bytes]:
     """Words of the text as keys: the bytes themselves, or a byte that no text has and a digest."""
-    found = (text or "").encode("utf-8", "replace").lower().split()  # bytes: A-Z alone are lowered, ASCII spaces alone split
+    found = _bytes(text).lower().split()  # bytes: A-Z alone are lowered, ASCII spaces alone split
     if found and max(map(len, found)) > KEY:
-        found = [t if len(t) <= KEY else b"\xff" + hashlib.blake2b(t, digest_size=16).digest() for t in found]
+        found = [*map(_key, found)]
     return found
 
 
@@ -75,27 +84,95 @@ def _learning(docs: DataFrame) -> DataFrame:
 def count_words(rows: DataFrame) -> DataFrame:
     """``key, n_train, n_held`` of every word."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        train, held = Counter(), Counter()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both, held = Counter(), Counter()  # few documents are held out: their words are counted twice
 
-        def out() -> Iterator[pd.DataFrame]:
-            keys = [*({*train} | {*held})]
-            if keys:
-                yield pd.DataFrame({"key": keys, "n_train": [train[k] for k in keys], "n_held": [held[k] for k in keys]})
-            train.clear()
+        def out() -> Iterator[pa.RecordBatch]:
+            if both:
+                n, n_held = np.fromiter(both.values(), np.int64, len(both)), np.fromiter(map(held.get, both, repeat(0)), np.int64, len(both))
+                yield pa.RecordBatch.from_arrays([pa.array([*both], pa.binary()), pa.array(n - n_held), pa.array(n_held)], ["key", "n_train", "n_held"])
+            both.clear()
             held.clear()
 
         for b in batches:
-            for text, learn in zip(b["text"], b["train"]):
-                (train if learn else held).update(tokens(text))
-                if len(train) + len(held) > _FLUSH:
+            for text, learn in zip(b.column("text").to_pylist(), b.column("train").to_pylist()):
+                found = tokens(text)
+                both.update(found)
+                if not learn:
+                    held.update(found)
+                if len(both) > _FLUSH:
                     yield from out()
         yield from out()
 
-    found = rows.select("text", "train").mapInPandas(run, "key binary, n_train long, n_held long")
+    found = rows.select(F.col("text").cast("binary").alias("text"), "train").mapInArrow(run, "key binary, n_train long, n_held long")
     return found.groupBy("key").agg(F.sum("n_train").alias("n_train"), F.sum("n_held").alias("n_held"))
 
 
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz     ")
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # masks of the first bytes of eight
+_SHORT, _SLOTS, _PIECE = 15, 19, 1 << 16
+_AFTER = np.array([(1 << 8 * min(max(n - 8, 0), 7)) - 1 for n in range(_SHORT + 2)], np.uint64)
+_SIZE = np.arange(_SHORT + 2, dtype=np.uint64) << np.uint64(56)
+_MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
+def _packed(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each word as two numbers, its first 8 bytes, then its next 7 and its length (16 if larger), and its slot among 2 ** ``_SLOTS``."""
+    eight = np.ndarray((len(data) + 9,), "<u8", data + bytes(16), 0, (1,))  # the eight bytes from each place on
+    size = np.minimum(ends - starts, _SHORT + 1)
+    low = eight[starts]
+    low &= _FIRST[np.minimum(size, 8)]
+    high = eight[np.minimum(starts + 8, len(data))]
+    high &= _AFTER[size]
+    high |= _SIZE[size]
+    mixed = high * _MIX[0]
+    mixed ^= low
+    mixed *= _MIX[1]
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= _MIX[1]
+    mixed >>= np.uint64(64 - _SLOTS)
+    return low, high, mixed.view(np.int64)
+
+
+class Lookup:
+    """Numbers of short words, for all words of a text at once: each slot has the first of its words of at most ``_SHORT`` bytes.
+
+    Words are compared by all their bytes and their length; a word that is not found here may still be in the index.
+    """
+
+    def __init__(self, index: dict[bytes, int]):
+        short = [(k, i) for k, i in index.items() if len(k) <= _SHORT]
+        ends = np.cumsum([len(k) for k, _ in short], dtype=np.int64)
+        starts = np.r_[np.int64(0), ends][:len(short)]
+        low, high, slot = _packed(b"".join(k for k, _ in short), starts, ends)
+        at, first = np.unique(slot, return_index=True)
+        self.table = np.full(1 << _SLOTS, len(short), np.int32)  # a free slot leads to a word of no length, which no text has
+        self.table[at] = first
+        self.low, self.high = np.append(low, np.uint64(0)), np.append(high, np.uint64(0))
+        self.number = np.array([i for _, i in short] + [-1], np.int32)
+
+    def find(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each word, -1 if its slot has another or none."""
+        low, high, slot = _packed(data, starts, ends)
+        at = self.table[slot]
+        found = self.number[at]
+        low ^= self.low[at]
+        high ^= self.high[at]
+        low |= high
+        found[low != 0] = -1
+        return found
+
+
+def _pieces(data: bytes) -> Iterator[bytes]:
+    """A lowered text with single-byte spaces in pieces that end between words."""
+    first = 0
+    while first < len(data):
+        last = data.find(b" ", first + _PIECE)
+        last = len(data) if last < 0 else last
+        yield data[first:last]
+        first = last
+
+
 class Vocabulary:
     """The broadcast part of the counts: at most ``HEAD`` words; the first ``WORDS`` of them have network outputs."""
 
@@ -112,6 +189,7 @@ class Vocabulary:
         head = counts.where(band >= least).toPandas()  # at most HEAD keys of at most KEY + 1 bytes
         rows = sorted(zip(head["n_train"], map(bytes, head["key"])), key=lambda r: (-r[0], r[1]))
         self.index = {k: i for i, (_, k) in enumerate(rows)}
+        self.lookup = Lookup(self.index)
         self.n = np.array([n for n, _ in rows], np.int64)
         own = rows[:WORDS]
         tail = F.crc32(F.substring("key", -3, 3)) % TAILS
@@ -142,26 +220,63 @@ class Vocabulary:
 
     def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Symbols of the tokens (the end last), numbers of the head words, the keys of the other words."""
-        found = tokens(text)
-        at, symbols, rare = self._symbols(found)
-        return np.append(symbols, np.int32(END)), at[at >= 0], rare
-
-    def _symbols(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        at = np.fromiter(map(self.index.get, found, repeat(-1)), np.int32, len(found))
+        return next(self.reads([text]))
+
+    def reads(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+        """``read`` of each text; short texts are looked up together."""
+        some, size = [], 0
+        for text in texts:
+            data = _bytes(text).translate(_PLAIN)
+            if some and size + len(data) > _PIECE:
+                yield from self._together(some)
+                some, size = [], 0
+            some.append(data)
+            size += len(data)
+        if some:
+            yield from self._together(some)
+
+    def _together(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+        numbers, places, rare, base = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [], 0
+        for piece in _pieces(b" ".join(texts)):
+            gap = np.ones(len(piece) + 2, bool)
+            np.equal(np.frombuffer(piece, np.uint8), 32, out=gap[1:-1])
+            borders = np.flatnonzero(gap[1:] != gap[:-1])
+            starts, ends = borders[::2], borders[1::2]
+            at = self.lookup.find(piece, starts, ends)
+            left = np.flatnonzero(at < 0)
+            keys = [piece[start:end] for start, end in zip(starts[left].tolist(), ends[left].tolist())]
+            if keys and max(map(len, keys)) > KEY:
+                keys = [*map(_key, keys)]
+            at[left] = again = [*map(self.index.get, keys, repeat(-1))]
+            rare += [k for k, i in zip(keys, again) if i < 0]
+            numbers.append(at)
+            places.append(starts + base)
+            base += len(piece)
+        at = np.concatenate(numbers)
         symbols = self.symbol[np.maximum(at, 0)]
-        spots = np.flatnonzero(at < 0).tolist()
-        rare = [found[i] for i in spots]
-        symbols[spots] = [WORDS + 1 + tail_of(t) for t in rare]
-        return at, symbols, rare
+        others = np.flatnonzero(at < 0)
+        symbols[others] = [tail_of(t) for t in rare]
+        symbols[others] += WORDS + 1
+        # Where each text ends, among all words and among those that are not in the head.
+        cuts = np.searchsorted(np.concatenate(places), np.cumsum([len(t) + 1 for t in texts]))
+        first = first_rare = 0
+        for last, last_rare in zip(cuts.tolist(), np.searchsorted(others, cuts).tolist()):
+            own = at[first:last]
+            yield np.append(symbols[first:last], np.int32(END)), own[own >= 0], rare[first_rare:last_rare]
+            first, first_rare = last, last_rare
 
     def stretches(self, text: str | None) -> Iterator[np.ndarray]:
         """Symbols of every window of the text with the window before it and the token before both.
 
         A stretch whose window is the first of the text has no window before it: it begins with the end of the text before.
         """
-        symbols = np.r_[np.int32(END), self._symbols(tokens(text))[1], np.int32(END)].astype(np.int32)
-        for first in range(0, len(symbols) - 1, EVERY * WINDOW):
-            yield symbols[max(0, first - WINDOW):first + WINDOW + 1]
+        return self.all_stretches([text])
+
+    def all_stretches(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        for own, *_ in self.reads(texts):
+            symbols = np.append(np.int32(END), own)
+            for first in range(0, len(symbols) - 1, EVERY * WINDOW):
+                yield symbols[max(0, first - WINDOW):first + WINDOW + 1]
 
 
 # ------------------------------------------------------------------ the network
@@ -181,14 +296,14 @@ def initial(vocabulary: Vocabulary) -> Weights:
 
 
 def _logistic(a: np.ndarray, scale: float) -> None:
-    """1 / (1 + exp(scale a)) in place; beyond 40 it is flat in single precision."""
+    """1 / (1 + exp(scale a)) in place; where the exponential is too large it is zero."""
     a *= scale
-    np.minimum(a, 40, out=a)
     np.exp(a, out=a)
     a += 1
     np.reciprocal(a, out=a)
 
 
+@np.errstate(over="ignore")
 def recur(w: Weights, ids: np.ndarray, h: np.ndarray, keep: bool = False):
     """States (steps + 1, hidden, lanes) from state ``h`` (hidden, lanes) on; with ``keep`` also what the way back needs."""
     steps, lanes = ids.shape
@@ -441,7 +556,7 @@ def train(rows: DataFrame, vocabulary: Vocabulary) -> Weights:
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             vocabulary, trainer, trained = shared_words.value, Trainer(shared.value), 0
-            found = (x for b in batches for text in b["text"] for x in vocabulary.stretches(text))
+            found = (x for b in batches for x in vocabulary.all_stretches(b["text"]))
             while some := [*islice(found, LANES)]:
                 trained += trainer.step(some)
             if trained:
@@ -480,8 +595,7 @@ def _parts(rows: DataFrame, vocabulary: Vocabulary, weights: Weights) -> DataFra
         def docs() -> Iterator[tuple]:
             number = first
             for b in batches:
-                for doc_id, text in zip(b["doc_id"], b["text"]):
-                    symbols, head, rare = vocabulary.read(text)
+                for doc_id, (symbols, head, rare) in zip(b["doc_id"], vocabulary.reads(b["text"])):
                     tails = symbols[symbols > END] - (END + 1)
                     log = vocabulary.log[head]
                     score = log[vocabulary.symbol[head] > END].sum() - vocabulary.tail_log[tails].sum()

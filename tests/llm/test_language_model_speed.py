@@ -58,3 +58,20 @@ def test_language_model_blocks_of_rows(monkeypatch):
             assert np.allclose(grads[name], found[0][2][name], atol=1e-3)
         for name in ("word", "word_bias"):
             assert all(np.allclose(grads[name][c], found[0][2][name][c], atol=1e-3) for c in found[0][2][name])
+
+
+def test_language_model_looks_up_the_words_of_many_texts_at_once():
+    known = ["end", "of", "a", "a\x00", "fifteenletters1", "sixteenletters12", "é" * 8, "w" * 40, *(f"word{i}" for i in range(3_000))]
+    keys = [LM.tokens(w)[0] for w in known]
+    vocabulary = LM.Vocabulary.__new__(LM.Vocabulary)
+    vocabulary.index = {k: i for i, k in enumerate(keys)}
+    vocabulary.lookup, vocabulary.symbol = LM.Lookup(vocabulary.index), np.arange(len(keys), dtype=np.int32) % LM.END
+    texts = ["", None, " ", "The END\tof\n a\x00 A", "W" * 40 + " \x0b" + "v" * 40, "É" * 8 + " é" + " of a", "of " * 60_000 + "WORD2999",
+             " ".join(known), "x" * 200_000 + " a", "", " ".join(f"word{i} other{i}" for i in range(3_000))]
+    read = [*vocabulary.reads(texts)]
+    assert len(read) == len(texts)
+    for text, (symbols, head, rare) in zip(texts, read):
+        found = LM.tokens(text)
+        at = [vocabulary.index.get(k, -1) for k in found]
+        assert rare == [k for k, i in zip(found, at) if i < 0] and head.tolist() == [i for i in at if i >= 0]
+        assert symbols.tolist() == [i % LM.END if i >= 0 else LM.WORDS + 1 + LM.tail_of(k) for k, i in zip(found, at)] + [LM.END]
