@@ -86,3 +86,16 @@ def test_frequent_cases_take_no_slow_path(spark):
     day = spark.createDataFrame([("1998-02-28",)], "s string")
     plan = day.select(D.parse_date(F.col("s")))._jdf.queryExecution().optimizedPlan().toString()
     assert "AS DATE" in plan.upper()   # the cast stands before the formats
+
+
+def test_only_event_fields_go_through_the_deduplication_and_staged_tables_are_compressed(spark):
+    from noticespark.plans import pipelines as PL
+    from noticespark.session import staged
+
+    docs = spark.createDataFrame([(1, "h", "codes"), (2, "h", "codes")], "arrival_seq long, content_hash string, html_hts_codes string")
+    rest = [c for c in PL.EVENT_FIELDS if c not in docs.columns]
+    docs = docs.select("*", F.lit(False).alias("_failed"), *[F.lit(c).alias(c) for c in rest])
+    first = PL.fresh_documents(docs, "ustr", None)
+    assert "html_hts_codes" not in first.columns
+    assert [(r.arrival_seq, r.title) for r in first.collect()] == [(1, "title")]
+    assert all(".zstd." in f for f in staged(first, "test").inputFiles())
