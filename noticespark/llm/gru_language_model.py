@@ -31,6 +31,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property
 from itertools import islice, repeat
 
 import numpy as np
@@ -189,7 +190,7 @@ class Vocabulary:
         head = counts.where(band >= least).toPandas()  # at most HEAD keys of at most KEY + 1 bytes
         rows = sorted(zip(head["n_train"], map(bytes, head["key"])), key=lambda r: (-r[0], r[1]))
         self.index = {k: i for i, (_, k) in enumerate(rows)}
-        self.lookup = Lookup(self.index)
+        self.lookup  # made here, so that it is broadcast
         self.n = np.array([n for n, _ in rows], np.int64)
         own = rows[:WORDS]
         tail = F.crc32(F.substring("key", -3, 3)) % TAILS
@@ -209,6 +210,10 @@ class Vocabulary:
         own_output = [n > 0 and i < WORDS for i, (n, _) in enumerate(rows)]
         self.symbol = np.array([i if own else WORDS + 1 + tail_of(k) for i, (own, (_, k)) in enumerate(zip(own_output, rows))] or [0], np.int32)
 
+    @cached_property
+    def lookup(self) -> Lookup:
+        return Lookup(self.index)
+
     def biases(self) -> tuple[np.ndarray, np.ndarray]:
         """Logarithms of the shares of the words in their classes and of all classes, by training counts."""
         n = np.full(WORDS + 1, 1e-6)
