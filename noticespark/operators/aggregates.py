@@ -43,7 +43,8 @@ def score_cases_scored(sc: DataFrame) -> DataFrame:
 def products_from_tables(df: DataFrame, key: str, tables_col: str) -> DataFrame:
     """Per table row, codes of all cells (concatenated, not deduplicated) and the last
     cell without a code longer than 10 characters as description; rows with codes only."""
-    t = df.select(key, F.posexplode(tables_col).alias("t_idx", "tbl"))
+    # The outer form: the other filters empty lists first, and makes the tables of every page twice for that.
+    t = df.select(key, F.posexplode_outer(tables_col).alias("t_idx", "tbl"))
     r = t.select(key, "t_idx", F.posexplode("tbl").alias("r_idx", "cells"))
     zipped = F.transform("cells", lambda c: F.struct(c.alias("c"), C.extract_hts_codes(c).alias("k")))
 
