@@ -4,6 +4,8 @@ import datetime as dt
 import difflib
 import random
 
+import pytest
+
 from noticespark.functions.similarity import POPULAR_FROM, ratio_of
 from noticespark.operators import link as L
 
@@ -29,9 +31,10 @@ def _reachable(a, b):
     return near or bool(a[2]) and a[2].lower() == (b[2] or "").lower()
 
 
-def test_reachable_pairs_equal_all_pairs(spark):
+@pytest.mark.parametrize("few", [False, True])
+def test_reachable_pairs_equal_all_pairs(spark, few):
     new, store = _side("a", 120, 1), _side("b", 150, 2)
-    got = L.reachable_pairs(spark.createDataFrame(new, SHAPE), spark.createDataFrame(store, SHAPE))
+    got = L.reachable_pairs(spark.createDataFrame(new, SHAPE), spark.createDataFrame(store, SHAPE), few)
     want = {(a[0], b[0]) for a in new for b in store if a[3] is not None and _reachable(a, b)}
     rows = [tuple(r) for r in got.collect()]
     assert set(rows) == want and len(rows) == len(want) > 100
